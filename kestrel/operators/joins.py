@@ -62,7 +62,8 @@ def first_non_null_per_key(df: DataFrame, key: str, order: list[Column], cols: l
 def resolve_dimensions(dim_frames: list[DataFrame], key: str, name: str, cols: list[str]) -> DataFrame:
     """Stack per-source dimension rows and keep, per key, the first non-null of each column
     ordered by (name nulls last, name, source order)."""
+    cols = [c for c in cols if c != key]
     tagged = [f.select(key, *cols).distinct().withColumn("__src", F.lit(i)) for i, f in enumerate(dim_frames)]
     stacked = reduce(lambda a, b: a.unionByName(b), tagged)
     order = [F.col(name).isNull(), F.col(name), F.col("__src")]
-    return first_non_null_per_key(stacked, key, order, [c for c in cols if c != key])
+    return first_non_null_per_key(stacked, key, order, cols)
