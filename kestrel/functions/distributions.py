@@ -2,98 +2,97 @@
 
 Used only on a handful of already-aggregated rows (one per feature), so a small
 Arrow-batched pandas UDF is the right tool. The regularised incomplete beta is
-evaluated with the standard continued fraction (modified Lentz).
+evaluated with the standard continued fraction (modified Lentz). The math lives in a
+factory so the UDF closures are shipped by value (executors need not import this module).
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = tiny if abs(d) < tiny else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def betainc_regularized(a: float, b: float, x: float) -> float:
-    """I_x(a, b) for a, b > 0 and 0 <= x <= 1."""
-    if x is None or a is None or b is None or any(map(math.isnan, (a, b, x))) or a <= 0 or b <= 0:
-        return float("nan")
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    bt = math.exp(lbt)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
-
-
-def f_sf(f: float, d1: float, d2: float) -> float:
-    """P(F > f) for F(d1, d2)."""
-    if f is None or np.isnan(f) or d1 <= 0 or d2 <= 0:
-        return float("nan")
-    if np.isinf(f):
-        return 0.0
-    if f <= 0:
-        return 1.0
-    return betainc_regularized(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
-
-
-def t_two_sided(t: float, df: float) -> float:
-    """P(|T| > |t|) for Student t with (possibly fractional) df."""
-    if t is None or np.isnan(t) or df is None or np.isnan(df) or df <= 0:
-        return float("nan")
-    if np.isinf(t):
-        return 0.0
-    return betainc_regularized(df / 2.0, 0.5, df / (df + t * t))
-
-
-@F.pandas_udf("double")
-def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([f_sf(a, b, c) if pd.notna(a) and pd.notna(b) and pd.notna(c) else None
-                      for a, b, c in zip(f, d1, d2)], dtype="float64")
-
-
-@F.pandas_udf("double")
-def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided(a, b) if pd.notna(a) and pd.notna(b) else None
-                      for a, b in zip(t, df)], dtype="float64")
+def _math():
+    import math
+
+    def betacf(a, b, x):
+        tiny, eps = 1e-300, 3e-16
+        qab, qap, qam = a + b, a + 1.0, a - 1.0
+        c, d = 1.0, 1.0 - qab * x / qap
+        d = 1.0 / (tiny if abs(d) < tiny else d)
+        h = d
+        for m in range(1, 400):
+            m2 = 2 * m
+            for aa in (m * (b - m) * x / ((qam + m2) * (a + m2)),
+                       -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))):
+                d = 1.0 + aa * d
+                d = 1.0 / (tiny if abs(d) < tiny else d)
+                c = 1.0 + aa / c
+                c = tiny if abs(c) < tiny else c
+                h *= d * c
+            if abs(d * c - 1.0) < eps:
+                break
+        return h
+
+    def betainc(a, b, x):
+        """Regularised incomplete beta I_x(a, b)."""
+        if any(v is None or math.isnan(v) for v in (a, b, x)) or a <= 0 or b <= 0:
+            return float("nan")
+        if x <= 0.0:
+            return 0.0
+        if x >= 1.0:
+            return 1.0
+        lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+        if x < (a + 1.0) / (a + b + 2.0):
+            return math.exp(lbt) * betacf(a, b, x) / a
+        return 1.0 - math.exp(lbt) * betacf(b, a, 1.0 - x) / b
+
+    def f_sf(f, d1, d2):
+        """P(F > f) for F(d1, d2)."""
+        if f is None or math.isnan(f) or d1 <= 0 or d2 <= 0:
+            return float("nan")
+        if math.isinf(f):
+            return 0.0
+        if f <= 0:
+            return 1.0
+        return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+
+    def t_two_sided(t, df):
+        """P(|T| > |t|) for Student t with (possibly fractional) df."""
+        if t is None or math.isnan(t) or df is None or math.isnan(df) or df <= 0:
+            return float("nan")
+        if math.isinf(t):
+            return 0.0
+        return betainc(df / 2.0, 0.5, df / (df + t * t))
+
+    return betainc, f_sf, t_two_sided
+
+
+betainc_regularized, f_sf, t_two_sided = _math()
+
+
+def _f_udf():
+    _, fsf, _ = _math()
+
+    def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
+        return pd.Series([fsf(a, b, c) if pd.notna(a) and pd.notna(b) and pd.notna(c) else None
+                          for a, b, c in zip(f, d1, d2)], dtype="float64")
+    return F.pandas_udf(f_pvalue, "double")
+
+
+def _t_udf():
+    _, _, tts = _math()
+
+    def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
+        return pd.Series([tts(a, b) if pd.notna(a) and pd.notna(b) else None
+                          for a, b in zip(t, df)], dtype="float64")
+    return F.pandas_udf(t_pvalue, "double")
 
 
 def anova_p(f: Column, d1: Column, d2: Column) -> Column:
-    return f_pvalue(f.cast("double"), d1.cast("double"), d2.cast("double"))
+    return _f_udf()(f.cast("double"), d1.cast("double"), d2.cast("double"))
 
 
 def welch_p(t: Column, df: Column) -> Column:
-    return t_pvalue(t.cast("double"), df.cast("double"))
+    return _t_udf()(t.cast("double"), df.cast("double"))
