@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from kestrel import spec as S
 from kestrel.functions.text import coerce_numeric, normalize_name, standardize_columns
+from kestrel.session import cut_lineage
 
 
 def _c(c):
@@ -168,12 +169,16 @@ class DatasetSpec:
     defaults: tuple[tuple[str, object], ...] = ()
 
 
-def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """Scrub one metric source. Returns (cleaned rows, one-row quality profile), both lazy.
 
     Order of steps: standardise names → required columns → defaults → subset → typing
     → drop null keys → dimension filter → exact dedup → keep-last per key →
     zero-as-missing → interpolation → imputed flag.
+
+    The profile needs the typed source several times (raw counters, duplicate counts,
+    the dedup path). With ``materialize`` the projected source (raw and typed columns
+    side by side) is checkpointed once, so the raw table is scanned a single time.
     """
     df = standardize_columns(raw)
     keys = [ds.entity, ds.period]
@@ -185,15 +190,20 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame
     df = df.select(*keep)
     dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
 
-    typed = df.withColumns({
+    typed_cols = {
         ds.entity: typed_key(ds.entity, dtypes[ds.entity]),
         ds.period: typed_key(ds.period, dtypes[ds.period]),
         ds.metric: coerce_numeric(ds.metric, dtypes[ds.metric]),
         **({ds.entity_name: normalize_name(ds.entity_name)} if ds.entity_name else {}),
-    })
-    raw_stats = df.agg(F.count(F.lit(1)).alias("rows_raw"), null_cells(keep).alias("missing_values_before"))
-    key_stats = typed.agg(count_null_keys(keys).alias("rows_dropped_missing_keys"))
-
+    }
+    staged = df.select(*[F.col(c).alias(f"__raw_{c}") for c in keep],
+                       *[typed_cols.get(c, F.col(c)).alias(c) for c in keep])
+    if materialize:
+        staged = cut_lineage(staged)
+    raw_stats = staged.agg(F.count(F.lit(1)).alias("rows_raw"),
+                           null_cells([f"__raw_{c}" for c in keep]).alias("missing_values_before"),
+                           count_null_keys(keys).alias("rows_dropped_missing_keys"))
+    typed = staged.select(*keep)
     kept = drop_null_keys(typed, keys)
     if ds.dim_filter:
         kept = dimension_filter(kept, *ds.dim_filter)
@@ -222,7 +232,7 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame
         F.count_if(F.col(flag) | F.col(ds.metric).isNull()).alias("missing_metric_before_impute"),
         F.count_if(F.col(flag)).alias("imputed_values"),
     )
-    profile = combine_single_rows([raw_stats, key_stats, dups, zeros, after])
+    profile = combine_single_rows([raw_stats, dups, zeros, after])
     profile = profile.select(
         F.lit(ds.name).alias("logical_name"), F.lit(ds.metric).alias("metric"),
         *[F.col(c).cast("bigint").alias(c) for c in PROFILE_COUNTERS])

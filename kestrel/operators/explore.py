@@ -9,6 +9,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.functions.numeric import round_half_even
+
 from kestrel import spec as S
 from kestrel.functions.labels import entity_type
 from kestrel.operators.joins import join_small
@@ -69,13 +71,13 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 def high_correlation_pairs(df: DataFrame, cols: list[str], threshold: float = 0.8) -> DataFrame:
     pairs = correlation_pairs(df, cols)
     return (pairs.where(F.col("pearson_r").isNotNull() & (F.abs("pearson_r") >= threshold))
-            .withColumn("pearson_r", F.round("pearson_r", 4)))
+            .withColumn("pearson_r", round_half_even("pearson_r", 4)))
 
 
 def yearly_trend(panel: DataFrame, spec: PanelSpec, digits: int = 4) -> DataFrame:
     """Mean of each metric per period; scored-entity count is null (not 0) when none."""
     return panel.groupBy(spec.period).agg(
-        *[F.round(F.avg(m), digits).alias(m) for m in spec.metric_names],
+        *[round_half_even(F.avg(m), digits).alias(m) for m in spec.metric_names],
         F.nullif(F.count(spec.score_col), F.lit(0)).alias("entities_with_score"))
 
 
@@ -91,8 +93,8 @@ def entity_change(panel: DataFrame, spec: PanelSpec, metric: str | None = None,
     if spec.entity_name:
         cols.append(F.col("l.name").alias(spec.entity_name))
     return g.select(*cols, F.col("f.p").alias("period_first"), F.col("l.p").alias("period_last"),
-                    F.round(F.col("f.v"), digits).alias("value_first"), F.round(F.col("l.v"), digits).alias("value_last"),
-                    F.round(F.col("l.v") - F.col("f.v"), digits).alias("change"))
+                    round_half_even(F.col("f.v"), digits).alias("value_first"), round_half_even(F.col("l.v"), digits).alias("value_last"),
+                    round_half_even(F.col("l.v") - F.col("f.v"), digits).alias("change"))
 
 
 def group_comparison(frame: DataFrame, spec: PanelSpec, type_source: str, prefix: str = S.CITY_PREFIX,
@@ -100,7 +102,7 @@ def group_comparison(frame: DataFrame, spec: PanelSpec, type_source: str, prefix
     """Means per administrative type (name prefix rule) plus group size."""
     typed = frame.withColumn("entity_type", entity_type(type_source, prefix))
     return typed.groupBy("entity_type").agg(
-        *[F.round(F.avg(m), digits).alias(m) for m in spec.metric_names],
+        *[round_half_even(F.avg(m), digits).alias(m) for m in spec.metric_names],
         F.count(F.lit(1)).alias("n_entities"))
 
 

@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel import spec as S
+from kestrel.functions.numeric import round_half_even
 from kestrel.functions.labels import priority_bucket, trend_direction
 from kestrel.operators.joins import join_small
+from kestrel.session import cut_lineage
 from kestrel.spec import PanelSpec
 
 
@@ -105,7 +107,7 @@ def add_composite_score(df: DataFrame, spec: PanelSpec, count_name: str = "n_sco
         total = total + z
     return df.withColumns({
         count_name: n_present.cast("int"),
-        spec.score_col: F.round(total / F.lit(float(len(zs))), spec.score_digits),
+        spec.score_col: round_half_even(total / F.lit(float(len(zs))), spec.score_digits),
     })
 
 
@@ -142,13 +144,14 @@ def add_ranks(df: DataFrame, spec: PanelSpec, score: str | None = None,
             rank_name: F.when(has, F.dense_rank().over(w)).cast("bigint"),
             pct_name: F.when(has, F.rank().over(w) / cnt),
         })
-    ranks = rank_table(df, spec, score, rank_name, pct_name)
-    scored = df.where(F.col(score).isNotNull()).join(ranks, [spec.period, score], "left")
-    # Unscored rows never match; keep them out of the join so a large null group
-    # cannot become one hot shuffle partition.
-    unscored = df.where(F.col(score).isNull()).withColumns({
-        rank_name: F.lit(None).cast("bigint"), pct_name: F.lit(None).cast("double")})
-    return scored.unionByName(unscored)
+    ranks = (rank_table(df, spec, score, rank_name, pct_name).withColumnRenamed(score, "__key")
+             .withColumn("__scored", F.lit(True)))
+    # Unscored rows cannot match a rank; instead of one null key (one hot shuffle
+    # partition for a large unscored group) each gets a hashed salt and a flag that no
+    # rank row carries.
+    salt = (F.xxhash64(*[F.col(c) for c in spec.keys]) % 4096).cast("double")
+    keyed = df.withColumns({"__key": F.coalesce(F.col(score), salt), "__scored": F.col(score).isNotNull()})
+    return keyed.join(ranks, [spec.period, "__key", "__scored"], "left").drop("__key", "__scored")
 
 
 def add_priority_bucket(df: DataFrame, pct: str = "priority_pct", name: str = "priority_bucket") -> DataFrame:
@@ -163,8 +166,17 @@ def add_row_reductions(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.withColumns({"n_imputed": n_imp.cast("int"), "n_available": n_avail.cast("int")})
 
 
-def add_features(panel: DataFrame, spec: PanelSpec, rank_strategy: str = "distinct") -> DataFrame:
-    """All panel features in dependency order (mirrors the scrub stage's feature step)."""
+def add_features(panel: DataFrame, spec: PanelSpec, rank_strategy: str = "distinct",
+                 materialize: bool = False) -> DataFrame:
+    """All panel features in dependency order (mirrors the scrub stage's feature step).
+
+    The feature plan reads the panel more than once (per-period statistics, ranks), so
+    with ``materialize`` the panel is first hash-partitioned by entity and checkpointed
+    to the shared checkpoint folder: upstream work runs once, and the entity-ordered
+    windows need no further shuffle.
+    """
+    if materialize:
+        panel = cut_lineage(panel.repartition(spec.entity))
     out = add_changes(panel, spec)
     out = add_rolling_mean(out, spec)
     out = add_trend_direction(out, spec)

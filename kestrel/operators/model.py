@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.functions.numeric import round_half_even
+
 from kestrel import spec as S
 from kestrel.functions.distributions import anova_p, welch_p
 from kestrel.functions.labels import archetype, entity_type, priority_action, slope_label, tier_name
@@ -42,7 +44,7 @@ def trend_slope(panel: DataFrame, spec: PanelSpec, period: int | None = None, wi
     span = p.where(F.col(spec.period).between(F.col("__t") - window + 1, F.col("__t")))
     slope = F.regr_slope(F.col(m), F.col(spec.period).cast("double"))
     return span.groupBy(spec.entity).agg(
-        F.when(F.count(m) >= min_points, F.round(slope, digits)).alias("trend_slope"))
+        F.when(F.count(m) >= min_points, round_half_even(slope, digits)).alias("trend_slope"))
 
 
 def model_frame(panel: DataFrame, spec: PanelSpec, period: int | None, features: list[str],
@@ -149,7 +151,7 @@ def cluster_profiles(frame: DataFrame, k: int, profile_cols: list[str], dev_metr
     arche = archetype(F.col(f"__m_{dev_metric}"), F.col(f"__m_{trend_metric}"), F.col("dev_low"),
                       F.col("dev_high"), F.col("pov_low"), F.col("pov_high"))
     out = prof.withColumns({"tier": tier_name(cluster, k), "archetype": arche})
-    out = out.withColumns({f"mean_{c}": F.round(F.col(f"__m_{c}"), digits) for c in profile_cols})
+    out = out.withColumns({f"mean_{c}": round_half_even(F.col(f"__m_{c}"), digits) for c in profile_cols})
     keep = [cluster, "tier", "archetype", "n_entities", "n_city", "n_regency",
             *[f"mean_{c}" for c in profile_cols]] + (["members"] if members is not None else [])
     return out.select(*keep)
@@ -183,11 +185,11 @@ def anova(frame: DataFrame, features: list[str], cluster: str = "cluster_id",
     long = agg.select(F.inline(rows))
     eta = F.when(F.col("sst") > 0, F.col("ssb") / F.col("sst")).otherwise(F.lit(0.0))
     fstat = F.try_divide(F.col("ssb") / (F.col("g") - 1), F.col("ssw") / (F.col("n") - F.col("g")))
-    out = long.select("feature", "label", F.round(eta, digits).alias("eta_squared"),
-                      F.round(fstat, digits).alias("anova_f"), fstat.alias("__f"),
+    out = long.select("feature", "label", round_half_even(eta, digits).alias("eta_squared"),
+                      round_half_even(fstat, digits).alias("anova_f"), fstat.alias("__f"),
                       (F.col("g") - 1).alias("__d1"), (F.col("n") - F.col("g")).alias("__d2"))
     if with_p:
-        out = out.withColumn("anova_p", F.round(anova_p(F.col("__f"), F.col("__d1"), F.col("__d2")), 6))
+        out = out.withColumn("anova_p", round_half_even(anova_p(F.col("__f"), F.col("__d1"), F.col("__d2")), 6))
     return out.drop("__f", "__d1", "__d2")
 
 
@@ -214,12 +216,12 @@ def two_group_stats(frame: DataFrame, group: str, a: str, b: str, features: list
     t = F.try_divide(ma - mb, F.sqrt(se2))
     df = F.try_divide(se2 * se2, (va / na) ** 2 / (na - 1) + (vb / nb) ** 2 / (nb - 1))
     out = long.select("feature", "label",
-                      F.round(F.when(na > 0, ma), digits).alias(f"mean_{a}"),
-                      F.round(F.when(nb > 0, mb), digits).alias(f"mean_{b}"),
-                      F.round(d, digits).alias("cohens_d"),
+                      round_half_even(F.when(na > 0, ma), digits).alias(f"mean_{a}"),
+                      round_half_even(F.when(nb > 0, mb), digits).alias(f"mean_{b}"),
+                      round_half_even(d, digits).alias("cohens_d"),
                       F.when((na >= 2) & (nb >= 2), t).alias("__t"), df.alias("__df"))
     if with_p:
-        out = out.withColumn("welch_p", F.round(welch_p(F.col("__t"), F.col("__df")), 6))
+        out = out.withColumn("welch_p", round_half_even(welch_p(F.col("__t"), F.col("__df")), 6))
     return out.drop("__t", "__df")
 
 

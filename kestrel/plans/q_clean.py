@@ -20,21 +20,21 @@ DS_TAX = C.DatasetSpec("tax_lines", metric="l_tax", entity="l_orderkey",
 DS_QTY = C.DatasetSpec("quantity_lines", metric="l_quantity", entity="l_orderkey",
                        period="l_linenumber", id_col="l_partkey")
 
-SOURCES = {  # dataset → (row filter on line items, SQL twin of the filter)
-    DS_DISC.name: (DS_DISC, F.col("l_returnflag") != "N", "l_returnflag <> 'N'"),
-    DS_TAX.name: (DS_TAX, F.col("l_linestatus") == "O", "l_linestatus = 'O'"),
-    DS_QTY.name: (DS_QTY, F.lit(True), "TRUE"),
+SOURCES = {  # dataset → (spec, row filter on line items; the same text serves Spark and the oracle)
+    DS_DISC.name: (DS_DISC, "l_returnflag <> 'N'", "l_returnflag <> 'N'"),
+    DS_TAX.name: (DS_TAX, "l_linestatus = 'O'", "l_linestatus = 'O'"),
+    DS_QTY.name: (DS_QTY, "TRUE", "TRUE"),
 }
 
 
 def raw_source(spark, sf_dir, name):
     ds, cond, _ = SOURCES[name]
-    return table(spark, sf_dir, "lineitem").where(cond).select(ds.entity, ds.period, ds.id_col, ds.metric)
+    return table(spark, sf_dir, "lineitem").where(F.expr(cond)).select(ds.entity, ds.period, ds.id_col, ds.metric)
 
 
-def cleaned(spark, sf_dir, name):
+def cleaned(spark, sf_dir, name, materialize=False):
     ds = SOURCES[name][0]
-    return C.clean_dataset(raw_source(spark, sf_dir, name), ds)
+    return C.clean_dataset(raw_source(spark, sf_dir, name), ds, materialize)
 
 
 def clean_sql(name: str) -> str:
@@ -244,7 +244,7 @@ def _profile_sql(name: str) -> str:
        + "\nUNION ALL\n".join(_profile_sql(n) for n in SOURCES))
 def quality_profile(spark, sf_dir):
     """Ten counters per metric source (computed before any period filter)."""
-    profiles = [cleaned(spark, sf_dir, n)[1] for n in SOURCES]
+    profiles = [cleaned(spark, sf_dir, n, materialize=True)[1] for n in SOURCES]
     out = profiles[0]
     for p in profiles[1:]:
         out = out.unionByName(p)

@@ -53,7 +53,7 @@ def correlation_matrix(spark, sf_dir):
 
 @query("high_correlation_pairs", f"""{FEAT},
 pairs AS ({' UNION ALL '.join(f"SELECT '{a}' AS indicator_a, '{b}' AS indicator_b, {_corr_sql(a, b)} AS r FROM feat" for i, a in enumerate(_M) for b in _M[i + 1:])})
-SELECT indicator_a, indicator_b, round(r, 4) AS pearson_r FROM pairs WHERE r IS NOT NULL AND abs(r) >= 0.5""")
+SELECT indicator_a, indicator_b, {r('r')} AS pearson_r FROM pairs WHERE r IS NOT NULL AND abs(r) >= 0.5""")
 def high_correlation_pairs(spark, sf_dir):
     """Near-collinear metric pairs over all panel rows (|r| >= 0.5)."""
     return X.high_correlation_pairs(features_panel(spark, sf_dir), _M, 0.5)
@@ -100,7 +100,7 @@ def top_bottom(spark, sf_dir):
 @query("change_extremes", f"""{FEAT},
 v AS (SELECT * FROM feat WHERE m_ret IS NOT NULL),
 ends AS (SELECT entity, min(period) AS p0, max(period) AS p1 FROM v GROUP BY entity),
-ch AS (SELECT e.entity, round(l.m_ret - f.m_ret, 4) AS change
+ch AS (SELECT e.entity, {r('l.m_ret - f.m_ret')} AS change
        FROM ends e JOIN v f ON f.entity = e.entity AND f.period = e.p0 JOIN v l ON l.entity = e.entity AND l.period = e.p1)
 SELECT entity, change, CASE WHEN change > 0 THEN '{X.CHANGE_UP}' ELSE '{X.CHANGE_DOWN}' END AS direction FROM (
   SELECT * FROM (SELECT * FROM ch ORDER BY change ASC, entity LIMIT 5)

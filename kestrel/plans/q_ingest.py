@@ -41,7 +41,7 @@ def json_records(spark, sf_dir):
 
 
 @query("flatten_struct", """
-SELECT event_id, event_type AS "meta.event_type", round(value, 4) AS "meta.detail.value",
+SELECT event_id, event_type AS "meta.event_type", round_even(CAST(value AS DOUBLE) * 10000e0, 0) / 10000e0 AS "meta.detail.value",
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS "meta.detail.k" FROM events""")
 def flatten_struct(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
@@ -107,7 +107,7 @@ def retention_plan(spark, sf_dir):
 
 
 @query("latest_event", """
-SELECT event_type, event_id, user_id, round(value, 4) AS value, props FROM (
+SELECT event_type, event_id, user_id, round_even(CAST(value AS DOUBLE) * 10000e0, 0) / 10000e0 AS value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) x WHERE rn = 1""")
 def latest_event(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_type", "event_id", "ts", "user_id", "value", "props")
@@ -148,7 +148,7 @@ def newest_version(spark, sf_dir):
 
 @query("scan_csv", """
 SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
-       round(c_acctbal, 4) AS c_acctbal, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment
+       round_even(CAST(c_acctbal AS DOUBLE) * 10000e0, 0) / 10000e0 AS c_acctbal, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment
 FROM customer""")
 def scan_csv(spark, sf_dir):
     """Customers landed as header CSV (with 'N/A' placeholders), scanned back as text and typed."""

@@ -48,7 +48,7 @@ _Q = lambda p: f"quantile_cont(score, {p})"
 MF_SQL = f"""WITH {PANEL_CTE},
 {feature_ctes(SPEC)},
 latest AS (SELECT max(CASE WHEN score IS NOT NULL THEN period END) AS t FROM feat),
-slopes AS (SELECT entity, CASE WHEN count(m_ret) >= 3 THEN round(regr_slope(m_ret, CAST(period AS DOUBLE)), 4) END AS trend_slope
+slopes AS (SELECT entity, CASE WHEN count(m_ret) >= 3 THEN {r('regr_slope(m_ret, CAST(period AS DOUBLE))')} END AS trend_slope
            FROM feat JOIN latest ON period BETWEEN t - 5 AND t GROUP BY entity),
 mf AS (SELECT f.*, s.trend_slope, {case_slope('s.trend_slope')} AS trend_label,
               CASE WHEN starts_with(group_name, '{TYPE_PREFIX}') THEN 'kota' ELSE 'kabupaten' END AS entity_type
@@ -189,8 +189,8 @@ WITH c AS (SELECT quality, toxic, count(*) AS n FROM labels GROUP BY ALL),
 s AS (SELECT sum(n * (n - 1) / 2) AS sij, sum(n) AS total FROM c),
 a AS (SELECT sum(n * (n - 1) / 2) AS sa FROM (SELECT quality, sum(n) AS n FROM c GROUP BY quality) x),
 b AS (SELECT sum(n * (n - 1) / 2) AS sb FROM (SELECT toxic, sum(n) AS n FROM c GROUP BY toxic) y)
-SELECT round(CASE WHEN (sa + sb) / 2 = sa * sb / (total * (total - 1) / 2) THEN 1.0e0
-  ELSE (sij - sa * sb / (total * (total - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (total * (total - 1) / 2)) END, 4) AS adjusted_rand,
+SELECT round_even(CAST(CASE WHEN (sa + sb) / 2 = sa * sb / (total * (total - 1) / 2) THEN 1.0e0
+  ELSE (sij - sa * sb / (total * (total - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (total * (total - 1) / 2)) END AS DOUBLE) * 10000e0, 0) / 10000e0 AS adjusted_rand,
   total AS n
 FROM s, a, b""")
 def adjusted_rand(spark, sf_dir):

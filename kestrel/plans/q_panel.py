@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from kestrel.operators import features as FT
 from kestrel.plans.catalog import query
+from kestrel.session import cut_lineage
 from kestrel.plans.output import canonical, r
 from kestrel.plans.sqltext import case_trend, feature_ctes, feature_select, zscore
-from kestrel.plans.testdata import PANEL_CTE, SMALL_SPEC, small_panel
+from kestrel.plans.testdata import LARGE_PANEL_CTE, LARGE_SPEC, PANEL_CTE, SMALL_SPEC, large_panel, small_panel
 
 SPEC = SMALL_SPEC
 
 
-def features_panel(spark, sf_dir, rank_strategy="distinct"):
-    return FT.add_features(small_panel(spark, sf_dir), SPEC, rank_strategy=rank_strategy)
+def features_panel(spark, sf_dir, rank_strategy="distinct", processed=True):
+    """The processed panel. Later stages (validation, exploration, modelling) read it many
+    times, so it is materialised once, like the processed panel file of a batch pipeline."""
+    out = FT.add_features(small_panel(spark, sf_dir), SPEC, rank_strategy=rank_strategy, materialize=True)
+    return cut_lineage(out) if processed else out
 
 
 FEATURES_SQL = f"""WITH {PANEL_CTE},
@@ -23,13 +27,13 @@ SELECT {feature_select(SPEC, extra=['entity_name', 'group_name'])} FROM feat"""
 @query("priority_rank", FEATURES_SQL)
 def priority_rank(spark, sf_dir):
     """Flagship: panel build + every feature of the scrub stage."""
-    return canonical(features_panel(spark, sf_dir))
+    return canonical(features_panel(spark, sf_dir, processed=False))
 
 
 @query("priority_rank_window", FEATURES_SQL)
 def priority_rank_window(spark, sf_dir):
     """Same result through the direct per-period window (cross-check of the rank strategy)."""
-    return canonical(features_panel(spark, sf_dir, rank_strategy="window"))
+    return canonical(features_panel(spark, sf_dir, rank_strategy="window", processed=False))
 
 
 @query("yoy_change", f"""WITH {PANEL_CTE}
@@ -110,3 +114,14 @@ SELECT entity, period, n_score_components, n_imputed, n_available FROM feat""")
 def row_reductions(spark, sf_dir):
     df = features_panel(spark, sf_dir)
     return canonical(df.select("entity", "period", "n_score_components", "n_imputed", "n_available"))
+
+
+LARGE_FEATURES_SQL = f"""WITH {LARGE_PANEL_CTE},
+{feature_ctes(LARGE_SPEC)}
+SELECT {feature_select(LARGE_SPEC)} FROM feat"""
+
+
+@query("priority_rank_large", LARGE_FEATURES_SQL)
+def priority_rank_large(spark, sf_dir):
+    """The flagship features on the large panel: one row per (customer, month)."""
+    return canonical(FT.add_features(large_panel(spark, sf_dir), LARGE_SPEC, materialize=True))

@@ -8,8 +8,8 @@ from kestrel import spec as S
 from kestrel.operators import panel as P
 from kestrel.operators import validate as V
 from kestrel.plans.catalog import query
-from kestrel.plans.output import canonical
-from kestrel.plans.q_clean import SOURCES, cleaned
+from kestrel.plans.output import canonical, r
+from kestrel.plans.q_clean import SOURCES, clean_sql, cleaned
 from kestrel.plans.q_panel import features_panel
 from kestrel.plans.sqltext import feature_ctes
 from kestrel.plans.testdata import PANEL_CTE, SMALL_SPEC
@@ -105,10 +105,12 @@ def quality_kpis(spark, sf_dir):
                       F.count_if(F.col("status") == S.FAIL).alias("checks_failed"))
 
 
-@query("imputation_kpis", None)
+@query("imputation_kpis", "WITH " + ",\n".join(clean_sql(n) for n in SOURCES) + "\nSELECT " + " + ".join(
+    f"(SELECT count_if({SOURCES[n][0].metric}_was_imputed) FROM {n}_clean)" for n in SOURCES)
+    + f" AS total_imputed, CAST({len(SOURCES)} AS BIGINT) AS sources")
 def imputation_kpis(spark, sf_dir):
     """Total imputed values and sources profiled (from the quality profiles)."""
-    profiles = [cleaned(spark, sf_dir, n)[1] for n in SOURCES]
+    profiles = [cleaned(spark, sf_dir, n, materialize=True)[1] for n in SOURCES]
     out = profiles[0]
     for p in profiles[1:]:
         out = out.unionByName(p)
@@ -122,7 +124,7 @@ def latest_scored_period(spark, sf_dir):
 
 
 @query("cross_section", f"""{FEAT}
-SELECT entity, period, round(score, 4) AS score FROM feat
+SELECT entity, period, {r('score')} AS score FROM feat
 WHERE period = (SELECT max(CASE WHEN score IS NOT NULL THEN period END) FROM feat)""")
 def cross_section(spark, sf_dir):
     snap = P.cross_section(features_panel(spark, sf_dir), SPEC, latest=True)

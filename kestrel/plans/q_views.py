@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kestrel.functions.numeric import round_half_even
+
 from kestrel import spec as S
 from kestrel.functions import text as T
 from kestrel.operators import model as M
@@ -89,7 +91,7 @@ def effect_view(spark, sf_dir):
 
 
 @query("headline_kpis", f"""{FEAT},
-yt AS (SELECT period, round(avg(m_ret), 4) AS m_ret, round(avg(score), 4) AS score FROM feat GROUP BY period),
+yt AS (SELECT period, {r('avg(m_ret)')} AS m_ret, {r('avg(score)')} AS score FROM feat GROUP BY period),
 l AS (SELECT * FROM yt ORDER BY period DESC LIMIT 1),
 p AS (SELECT * FROM yt WHERE period < (SELECT period FROM l) ORDER BY period DESC LIMIT 1)
 SELECT l.period, p.period AS previous_period, {r('l.m_ret')} AS m_ret, {r('l.m_ret - p.m_ret')} AS m_ret_delta,
@@ -97,7 +99,7 @@ SELECT l.period, p.period AS previous_period, {r('l.m_ret')} AS m_ret, {r('l.m_r
 def headline_kpis(spark, sf_dir):
     """Latest-period means with the change from the previous period."""
     feat = features_panel(spark, sf_dir)
-    yt = feat.groupBy("period").agg(F.round(F.avg("m_ret"), 4).alias("m_ret"), F.round(F.avg("score"), 4).alias("score"))
+    yt = feat.groupBy("period").agg(round_half_even(F.avg("m_ret"), 4).alias("m_ret"), round_half_even(F.avg("score"), 4).alias("score"))
     return canonical(VW.latest_and_previous(yt, "period", ["m_ret", "score"]))
 
 

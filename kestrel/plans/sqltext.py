@@ -64,7 +64,7 @@ def feature_ctes(spec: PanelSpec, src: str = "panel", n_roll: int = 3) -> str:
     return f"""chg AS (SELECT *, {', '.join(chg)} FROM {src}),
 zs AS (SELECT *, {case_trend(f'{t}_yoy_change')} AS trend_direction, {', '.join(zs)} FROM chg),
 sc AS (SELECT *, CAST({n_comp} AS BIGINT) AS n_score_components,
-              round(({total}) / {float(len(zcols))}, {spec.score_digits}) AS {spec.score_col},
+              {r(f'({total}) / {float(len(zcols))}', spec.score_digits)} AS {spec.score_col},
               CAST(0 AS BIGINT) AS n_imputed, CAST({n_avail} AS BIGINT) AS n_available FROM zs),
 feat AS (SELECT *,
    CASE WHEN {spec.score_col} IS NOT NULL THEN dense_rank() OVER (PARTITION BY {p} ORDER BY {spec.score_col} DESC NULLS LAST) END AS priority_rank,

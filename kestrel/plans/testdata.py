@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.functions.numeric import round_half_even
+
 from kestrel.spec import CONTEXT_ONLY, HIGH_IS_RISKY, LOW_IS_RISKY, MetricSpec, PanelSpec
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -53,7 +55,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def hundredths(c: str):
     """Two-decimal value as an exact integer count of hundredths."""
-    return F.round(F.col(c) * 100).cast("bigint")
+    return round_half_even(F.col(c) * 100, 0).cast("bigint")
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,3 +144,15 @@ PANEL_CTE = f"""panel AS (
   SELECT b.*, d.entity_name, d.group_name
   FROM ({SMALL_PANEL_SQL}) b LEFT JOIN ({SMALL_DIMS_SQL}) d USING (entity)
 )"""
+
+LARGE_PANEL_SQL = """
+SELECT CAST(o_custkey AS BIGINT) AS entity, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS period,
+       CAST(sum(CAST(round(o_totalprice*100) AS BIGINT)) AS DOUBLE) / (100*count(*)) AS m_ctx,
+       CAST(100*sum(CASE WHEN l_returnflag='R' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS m_ret,
+       CAST(sum(CAST(round(l_discount*100) AS BIGINT)) AS DOUBLE) / count(*) AS m_disc,
+       sum(l_quantity) / count(*) AS m_qty,
+       CAST(sum(CAST(round(l_tax*100) AS BIGINT)) AS DOUBLE) / count(*) AS m_tax
+FROM lineitem JOIN orders ON l_orderkey=o_orderkey
+GROUP BY 1, 2
+"""
+LARGE_PANEL_CTE = f"panel AS ({LARGE_PANEL_SQL})"

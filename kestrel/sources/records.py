@@ -29,7 +29,7 @@ def record_array(text: Column, allow_openapi: bool = False) -> Column:
     values = F.map_values(as_map)
     lists = F.transform(F.filter(values, lambda v: F.startswith(F.ltrim(v), F.lit("["))),
                         lambda v: _objects(F.from_json(v, "array<string>")))
-    first_list = F.element_at(F.filter(lists, lambda a: F.size(a) > 0), 1)
+    first_list = F.try_element_at(F.filter(lists, lambda a: F.size(a) > 0), F.lit(1))
     is_openapi = F.map_contains_key(as_map, F.lit("openapi")) & F.map_contains_key(as_map, F.lit("paths"))
     empty = F.array().cast("array<string>")
     out = (F.when(F.startswith(t, F.lit("[")), _objects(as_array))
