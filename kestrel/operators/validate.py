@@ -136,3 +136,19 @@ def raise_on_failure(checks: DataFrame) -> DataFrame:
     if failed:
         raise RuntimeError(f"validation failed: {[r[0] for r in failed]}")
     return checks
+
+
+def assert_panel(panel: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Inline guard after integration: required metric columns, no null keys, unique
+    keys. Two small aggregate actions; raises on violation, returns the panel."""
+    missing = [m for m in spec.metric_names if m not in panel.columns]
+    if missing:
+        raise RuntimeError(f"panel missing metric columns: {missing}")
+    row = panel.agg((F.count_if(F.col(spec.entity).isNull()) + F.count_if(F.col(spec.period).isNull())).alias("k")).first()
+    if row.k:
+        raise RuntimeError(f"panel has missing keys: {row.k}")
+    dups = (panel.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+            .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("d")).first().d)
+    if dups:
+        raise RuntimeError(f"panel has duplicate keys: {dups}")
+    return panel

@@ -38,4 +38,4 @@ def load_all() -> None:
 
 
 MODULES = ("q_panel", "q_clean", "q_integrate", "q_validate", "q_explore", "q_model", "q_ml",
-           "q_ingest", "q_views")
+           "q_ingest", "q_views", "q_supplier")

@@ -10,6 +10,7 @@ from kestrel.functions import text as T
 from kestrel.operators import clean as C
 from kestrel.plans.catalog import query
 from kestrel.plans.output import canonical, r
+from kestrel.plans.sqltext import clean_ctes
 from kestrel.plans.testdata import table
 
 # ---------------------------------------------------------------- metric sources
@@ -38,27 +39,10 @@ def cleaned(spark, sf_dir, name, materialize=False):
 
 
 def clean_sql(name: str) -> str:
-    """CTE chain raw → dedup → keep-last → zero-null → interpolated; returns CTE text ending in ``{name}_clean``."""
+    """CTE chain raw → dedup → keep-last → zero-null → interpolated, ending in ``{name}_clean``."""
     ds, _, cond = SOURCES[name]
     e, p, i, m = ds.entity, ds.period, ds.id_col, ds.metric
-    w = f"PARTITION BY {e} ORDER BY {p}"
-    return f"""{name}_raw AS (SELECT {e}, {p}, {i}, {m} FROM lineitem WHERE {cond}),
-{name}_dist AS (SELECT DISTINCT * FROM {name}_raw),
-{name}_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {e}, {p}
-     ORDER BY {i} IS NULL DESC, {i} DESC, {m} DESC) AS rn FROM {name}_dist) t WHERE rn = 1),
-{name}_z AS (SELECT {e}, {p}, {i}, {m} AS {m}_orig, NULLIF({m}, 0) AS v,
-     row_number() OVER ({w}) AS pos FROM {name}_last),
-{name}_nb AS (SELECT *,
-     last_value(v IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv,
-     last_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pi,
-     first_value(v IGNORE NULLS) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nv,
-     first_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ni
-   FROM {name}_z),
-{name}_clean AS (SELECT CAST({e} AS BIGINT) AS {e}, CAST({p} AS BIGINT) AS {p}, {i}, {m}_orig, v AS {m}_zeroed,
-     CASE WHEN v IS NOT NULL THEN v WHEN pv IS NOT NULL AND nv IS NOT NULL
-          THEN pv + (nv - pv) * (pos - pi) / (ni - pi) END AS {m},
-     (v IS NULL AND pv IS NOT NULL AND nv IS NOT NULL) AS {m}_was_imputed
-   FROM {name}_nb)"""
+    return clean_ctes(name, f"SELECT {e}, {p}, {i}, {m} FROM lineitem WHERE {cond}", e, p, i, m)
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -249,3 +233,21 @@ def quality_profile(spark, sf_dir):
     for p in profiles[1:]:
         out = out.unionByName(p)
     return out
+
+
+_SOURCE_INFO = [(n, ds.metric, "parquet", "lineitem.parquet") for n, (ds, _, _) in SOURCES.items()]
+
+
+@query("quality_summary", "WITH " + ",\n".join(clean_sql(n) for n in SOURCES) + ",\nprof AS (\n"
+       + "\nUNION ALL\n".join(_profile_sql(n) for n in SOURCES) + "),\ninfo AS ("
+       + " UNION ALL ".join(f"SELECT '{a}' AS logical_name, '{b}' AS metric, '{c}' AS source_mode, '{d}' AS source_file"
+                            for a, b, c, d in _SOURCE_INFO)
+       + ")\nSELECT prof.*, info.source_mode, info.source_file FROM prof LEFT JOIN info USING (logical_name, metric)")
+def quality_summary(spark, sf_dir):
+    """Quality profile joined (left, two keys) with where each source was read from."""
+    profiles = [cleaned(spark, sf_dir, n, materialize=True)[1] for n in SOURCES]
+    prof = profiles[0]
+    for p in profiles[1:]:
+        prof = prof.unionByName(p)
+    info = spark.createDataFrame(_SOURCE_INFO, "logical_name string, metric string, source_mode string, source_file string")
+    return prof.join(info, ["logical_name", "metric"], "left")

@@ -234,3 +234,24 @@ def cluster_z_profile(spark, sf_dir):
     from kestrel.operators.ml import standardize
     z = standardize(model_frame(spark, sf_dir), FEATURES)
     return canonical(z.groupBy("cluster_id").agg(*[F.avg(c).alias(c) for c in FEATURES]))
+
+
+@query("entity_type", f"{MF_SQL}\nSELECT entity, group_name, entity_type FROM mf")
+def entity_type_q(spark, sf_dir):
+    """Administrative type from the name prefix rule (on the region name here)."""
+    mf = M.model_frame(features_panel(spark, sf_dir), SPEC, None, FEATURES, "group_name", TYPE_PREFIX)
+    return mf.select("entity", "group_name", "entity_type")
+
+
+_TIER5 = "CASE WHEN cluster_id = 0 THEN 'kerentanan_tertinggi' WHEN cluster_id = 4 THEN 'kerentanan_terendah' " \
+         "ELSE 'kerentanan_menengah_' || CAST(cluster_id AS VARCHAR) END"
+
+
+@query("cluster_tier", f"""{MF_SQL}
+SELECT entity, CAST(cluster_id AS BIGINT) AS cluster_id, CASE cluster_id {_TIER} END AS tier_k3, {_TIER5} AS tier_k5 FROM cl""")
+def cluster_tier(spark, sf_dir):
+    """Tier names of cluster ids for k = 3 (fixed names) and for another k (ranked names)."""
+    from kestrel.functions.labels import tier_name
+    mf = model_frame(spark, sf_dir)
+    return canonical(mf.select("entity", "cluster_id", tier_name("cluster_id", 3).alias("tier_k3"),
+                               tier_name("cluster_id", 5).alias("tier_k5")))

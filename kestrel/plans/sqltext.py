@@ -41,7 +41,32 @@ def zscore(m: str, part: str = "period") -> str:
             f"ELSE ({m} - {mu}) / {sd} END")
 
 
-def feature_ctes(spec: PanelSpec, src: str = "panel", n_roll: int = 3) -> str:
+def clean_ctes(name: str, raw_sql: str, e: str, p: str, i: str | None, m: str) -> str:
+    """Scrub chain as CTEs: raw → exact dedup → keep-last per (e, p) → zero-null →
+    interior interpolation by position; the last CTE is ``{name}_clean``."""
+    w = f"PARTITION BY {e} ORDER BY {p}"
+    order = f"{i} IS NULL DESC, {i} DESC, {m} DESC" if i else f"{m} DESC"
+    idc = f"{i}, " if i else ""
+    return f"""{name}_raw AS ({raw_sql}),
+{name}_dist AS (SELECT DISTINCT * FROM {name}_raw),
+{name}_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {e}, {p}
+     ORDER BY {order}) AS rn FROM {name}_dist) t WHERE rn = 1),
+{name}_z AS (SELECT {e}, {p}, {idc}{m} AS {m}_orig, NULLIF({m}, 0) AS v,
+     row_number() OVER ({w}) AS pos FROM {name}_last),
+{name}_nb AS (SELECT *,
+     last_value(v IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv,
+     last_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pi,
+     first_value(v IGNORE NULLS) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nv,
+     first_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ni
+   FROM {name}_z),
+{name}_clean AS (SELECT CAST({e} AS BIGINT) AS {e}, CAST({p} AS BIGINT) AS {p}, {idc}{m}_orig, v AS {m}_zeroed,
+     CASE WHEN v IS NOT NULL THEN v WHEN pv IS NOT NULL AND nv IS NOT NULL
+          THEN pv + (nv - pv) * (pos - pi) / (ni - pi) END AS {m},
+     (v IS NULL AND pv IS NOT NULL AND nv IS NOT NULL) AS {m}_was_imputed
+   FROM {name}_nb)"""
+
+
+def feature_ctes(spec: PanelSpec, src: str = "panel", n_roll: int = 3, flags: list[str] | None = None) -> str:
     """CTEs chg → zs → feat; ``feat`` carries every feature column."""
     e, p = spec.entity, spec.period
     w = f"(PARTITION BY {e} ORDER BY {p})"
@@ -61,11 +86,12 @@ def feature_ctes(spec: PanelSpec, src: str = "panel", n_roll: int = 3) -> str:
     n_comp = " + ".join(f"CASE WHEN {z} IS NOT NULL THEN 1 ELSE 0 END" for z in zcols)
     total = " + ".join(zcols)
     n_avail = " + ".join(f"CASE WHEN {m} IS NOT NULL THEN 1 ELSE 0 END" for m in spec.metric_names)
+    n_imp = " + ".join(f"CASE WHEN {f} THEN 1 ELSE 0 END" for f in flags) if flags else "0"
     return f"""chg AS (SELECT *, {', '.join(chg)} FROM {src}),
 zs AS (SELECT *, {case_trend(f'{t}_yoy_change')} AS trend_direction, {', '.join(zs)} FROM chg),
 sc AS (SELECT *, CAST({n_comp} AS BIGINT) AS n_score_components,
               {r(f'({total}) / {float(len(zcols))}', spec.score_digits)} AS {spec.score_col},
-              CAST(0 AS BIGINT) AS n_imputed, CAST({n_avail} AS BIGINT) AS n_available FROM zs),
+              CAST({n_imp} AS BIGINT) AS n_imputed, CAST({n_avail} AS BIGINT) AS n_available FROM zs),
 feat AS (SELECT *,
    CASE WHEN {spec.score_col} IS NOT NULL THEN dense_rank() OVER (PARTITION BY {p} ORDER BY {spec.score_col} DESC NULLS LAST) END AS priority_rank,
    {case_bucket(f"CASE WHEN {spec.score_col} IS NOT NULL THEN rank() OVER (PARTITION BY {p} ORDER BY {spec.score_col} DESC NULLS LAST) / count({spec.score_col}) OVER (PARTITION BY {p}) END")} AS priority_bucket
