@@ -91,15 +91,23 @@ def exact_dedup(df: DataFrame) -> DataFrame:
 
 def duplicate_stats(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows, exact duplicate rows, rows in duplicated key groups (all members),
-    surplus rows per key (all but the first)."""
-    by_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    exact = by_row.agg(F.sum(F.col("__n") - 1).alias("exact_duplicate_rows"),
-                       F.sum("__n").alias("rows"))
+    surplus rows per key (all but the first), distinct keys.
+
+    Identical rows share their key, so exact duplicates are looked for only among rows
+    of duplicated keys (a semi join on the usually tiny set of such keys): the wide
+    all-column aggregate never runs over the whole input."""
     by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    keyed = by_key.agg(F.sum(F.when(F.col("__n") > 1, F.col("__n")).otherwise(0)).alias("duplicate_key_rows"),
-                       F.sum(F.col("__n") - 1).alias("duplicate_key_surplus"),
-                       F.count(F.lit(1)).alias("distinct_keys"))
-    return combine_single_rows([exact, keyed])
+    keyed = by_key.agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n")).otherwise(0)), F.lit(0)).alias("duplicate_key_rows"),
+                       F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_key_surplus"),
+                       F.count(F.lit(1)).alias("distinct_keys"),
+                       F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"))
+    if set(keys) == set(df.columns):
+        exact = keyed.select(F.col("duplicate_key_surplus").alias("exact_duplicate_rows"))
+        return combine_single_rows([keyed, exact])
+    candidates = df.join(by_key.where(F.col("__n") > 1).select(*keys), keys, "left_semi")
+    exact = (candidates.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+             .agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("exact_duplicate_rows")))
+    return combine_single_rows([keyed, exact])
 
 
 def combine_single_rows(frames: list[DataFrame]) -> DataFrame:
@@ -210,7 +218,9 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) ->
     dups = duplicate_stats(kept, keys).select("exact_duplicate_rows", "duplicate_key_rows")
 
     order = [ds.id_col] if ds.id_col and ds.id_col in kept.columns else []
-    deduped = keep_last(exact_dedup(kept), keys, order)
+    # Exact duplicates are identical, so keep-last on the key already removes them; a
+    # separate all-column dedup pass would not change the result.
+    deduped = keep_last(kept, keys, order)
     flag = f"{ds.metric}_was_imputed"
     zeros = deduped.agg(count_zeros(ds.metric).alias("invalid_zero_values"))
     if ds.zero_is_missing:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel import spec as S
-from kestrel.operators.clean import combine_single_rows  # noqa: F401  (re-exported)
+from kestrel.operators.clean import combine_single_rows, duplicate_stats
 from kestrel.spec import PanelSpec
 
 
@@ -61,11 +61,9 @@ def panel_counters(panel: DataFrame, spec: PanelSpec, rank: str = "priority_rank
         aggs.append(F.count_if(domain_violation(m)).alias(f"invalid_{m.name}"))
         aggs.append(F.count_if(F.col(m.name) == 0).alias(f"zeros_{m.name}"))
     main = panel.agg(*aggs)
-    dup_keys = (panel.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
-                .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_keys")))
-    exact = (panel.groupBy(*panel.columns).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("exact_duplicates")))
-    return combine_single_rows([main, dup_keys, exact])
+    dups = duplicate_stats(panel, spec.keys).select(F.col("duplicate_key_surplus").alias("duplicate_keys"),
+                                                    F.col("exact_duplicate_rows").alias("exact_duplicates"))
+    return combine_single_rows([main, dups])
 
 
 def validation_checks(panel: DataFrame, spec: PanelSpec, required: list[str] | None = None) -> DataFrame:

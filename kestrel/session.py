@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,6 +57,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
+    """Reliable checkpoint into the shared folder (survives executor loss); never a local
+    checkpoint. The frame is persisted while the checkpoint is written, otherwise Spark
+    computes it twice (once for the materialising job, once for the checkpoint files)."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = staged.checkpoint(eager=True)
+    staged.unpersist()
+    return out
