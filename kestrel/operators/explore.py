@@ -13,7 +13,9 @@ from kestrel.functions.numeric import round_half_even
 
 from kestrel import spec as S
 from kestrel.functions.labels import entity_type
+from kestrel.operators.clean import combine_single_rows
 from kestrel.operators.joins import join_small
+from kestrel.operators.quantiles import quantile_row
 from kestrel.spec import PanelSpec
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -22,20 +24,22 @@ QUARTILES = (0.25, 0.5, 0.75)
 def describe(df: DataFrame, cols: list[str], labels: dict | None = None) -> DataFrame:
     """count, mean, std (ddof=1), min, exact linear quartiles, max per column, long layout.
 
-    ``DataFrame.summary()`` is not used: its percentiles are approximate and it returns strings.
+    ``DataFrame.summary()`` is not used: its percentiles are approximate and it returns
+    strings. Quartiles come from :func:`exact_quantiles` (no single-task value map).
     """
     labels = labels or {}
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
-                 F.percentile(F.col(c), list(QUARTILES)).alias(f"{c}__q"), F.max(c).cast("double").alias(f"{c}__max")]
-    wide = df.agg(*aggs)
+                 F.max(c).cast("double").alias(f"{c}__max")]
+    quart = quantile_row(df, cols, list(QUARTILES), [f"{c}__{q}" for c in cols for q in ("p25", "p50", "p75")])
+    wide = combine_single_rows([df.agg(*aggs), quart])
     rows = F.array(*[F.struct(
         F.lit(c).alias("indicator"), F.lit(labels.get(c, c)).alias("label"),
         F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-        F.col(f"{c}__min").alias("min"), F.col(f"{c}__q")[0].alias("p25"), F.col(f"{c}__q")[1].alias("p50"),
-        F.col(f"{c}__q")[2].alias("p75"), F.col(f"{c}__max").alias("max")) for c in cols])
+        F.col(f"{c}__min").alias("min"), F.col(f"{c}__p25").alias("p25"), F.col(f"{c}__p50").alias("p50"),
+        F.col(f"{c}__p75").alias("p75"), F.col(f"{c}__max").alias("max")) for c in cols])
     return wide.select(F.inline(rows))
 
 

@@ -63,9 +63,10 @@ def model_frame(panel: DataFrame, spec: PanelSpec, period: int | None, features:
 # ------------------------------------------------------------------ tertiles & priority
 def tertile_edges(frame: DataFrame, col: str, probs=(1 / 3, 2 / 3)) -> DataFrame:
     """One row: min, the two exact linear quantiles, max."""
-    q = F.percentile(F.col(col), list(probs))
-    return frame.agg(F.min(col).cast("double").alias("__e0"), q[0].alias("__e1"), q[1].alias("__e2"),
-                     F.max(col).cast("double").alias("__e3"))
+    from kestrel.operators.clean import combine_single_rows
+    from kestrel.operators.quantiles import quantile_row
+    ends = frame.agg(F.min(col).cast("double").alias("__e0"), F.max(col).cast("double").alias("__e3"))
+    return combine_single_rows([ends, quantile_row(frame, col, list(probs), ["__e1", "__e2"])])
 
 
 def add_tertile_level(frame: DataFrame, col: str, name: str = "vulnerability_level") -> DataFrame:
@@ -129,9 +130,9 @@ def relabel_by_score(frame: DataFrame, raw: str, score: str, name: str = "cluste
 
 def archetype_thresholds(frame: DataFrame, dev_metric: str, trend_metric: str,
                          probs=S.ARCHETYPE_TERTILES) -> DataFrame:
-    qd = F.percentile(F.col(dev_metric), list(probs))
-    qp = F.percentile(F.col(trend_metric), list(probs))
-    return frame.agg(qd[0].alias("dev_low"), qd[1].alias("dev_high"), qp[0].alias("pov_low"), qp[1].alias("pov_high"))
+    """Tertile cut points of the two indicators (exact, linear; see ``exact_quantiles``)."""
+    from kestrel.operators.quantiles import quantile_row
+    return quantile_row(frame, [dev_metric, trend_metric], list(probs), ["dev_low", "dev_high", "pov_low", "pov_high"])
 
 
 def cluster_profiles(frame: DataFrame, k: int, profile_cols: list[str], dev_metric: str, trend_metric: str,

@@ -125,3 +125,25 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     import __spark_entry__ as E
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("n,accuracy", [(1, 100), (25, 100), (1000, 100), (20000, 100)])
+def test_exact_quantiles_match_numpy(spark, n, accuracy):
+    from kestrel.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(n)
+    vals = np.round(rng.normal(size=n) * 10, 1)  # ties included
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "x double")
+    probs = [0.0, 0.25, 1 / 3, 0.33, 0.5, 0.67, 2 / 3, 0.75, 1.0]
+    got = {r.prob_index: r.value for r in exact_quantiles(df, "x", probs, accuracy).collect()}
+    want = np.quantile(vals, probs)
+    assert [got[i] for i in range(len(probs))] == pytest.approx(list(want), abs=1e-9)
+
+
+def test_exact_quantiles_multi_columns(spark):
+    from kestrel.operators.quantiles import quantile_row
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=300), rng.uniform(size=300)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    row = quantile_row(df, ["a", "b"], [0.25, 0.75], ["a1", "a3", "b1", "b3"], accuracy=20).first()
+    assert [row.a1, row.a3, row.b1, row.b3] == pytest.approx(
+        list(np.quantile(a, [0.25, 0.75])) + list(np.quantile(b, [0.25, 0.75])))
