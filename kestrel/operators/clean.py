@@ -175,6 +175,9 @@ class DatasetSpec:
     dims: tuple[str, ...] = ()
     dim_filter: tuple[str, object] | None = None
     defaults: tuple[tuple[str, object], ...] = ()
+    int_cols: tuple[str, ...] = ()     # further integer columns (typed like keys)
+    name_cols: tuple[str, ...] = ()    # further name columns (normalised like the entity name)
+    extra_cols: tuple[str, ...] = ()   # kept for the profile only (e.g. a unit column)
 
 
 def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -194,11 +197,16 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) ->
     if ds.defaults:
         df = with_default_dims(df, dict(ds.defaults))
     keep = list(dict.fromkeys([*ds.dims, *keys, *([ds.entity_name] if ds.entity_name else []),
-                               *([ds.id_col] if ds.id_col and ds.id_col in df.columns else []), ds.metric]))
+                               *([ds.id_col] if ds.id_col and ds.id_col in df.columns else []),
+                               *[c for c in ds.extra_cols if c in df.columns], ds.metric]))
     df = df.select(*keep)
     dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
 
+    defaults = dict(ds.defaults)
     typed_cols = {
+        **{c: typed_key(c, dtypes[c]) for c in ds.int_cols if c in dtypes},
+        **{c: (F.coalesce(normalize_name(c), F.lit(defaults[c])) if c in defaults else normalize_name(c))
+           for c in ds.name_cols if c in dtypes},
         ds.entity: typed_key(ds.entity, dtypes[ds.entity]),
         ds.period: typed_key(ds.period, dtypes[ds.period]),
         ds.metric: coerce_numeric(ds.metric, dtypes[ds.metric]),
