@@ -101,7 +101,7 @@ def coerce_numeric(spark, sf_dir):
 
 
 @query("default_dims", """
-SELECT s_suppkey, s_nationkey, 32 AS kode_provinsi, 'JAWA BARAT' AS nama_provinsi FROM supplier""")
+SELECT s_suppkey, CAST(s_nationkey AS BIGINT) AS s_nationkey, CAST(32 AS BIGINT) AS kode_provinsi, 'JAWA BARAT' AS nama_provinsi FROM supplier""")
 def default_dims(spark, sf_dir):
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return canonical(C.default_province(sup))
@@ -160,7 +160,7 @@ def zero_to_missing(spark, sf_dir):
 
 
 @query("dedup_keep_last", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount FROM (
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
      l_partkey IS NULL DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,
      l_tax DESC, l_returnflag DESC, l_linestatus DESC, l_shipdate DESC) AS rn
@@ -190,10 +190,10 @@ def exact_dedup(spark, sf_dir):
 
 @query("duplicate_key_profile", """
 WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)
-SELECT sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS duplicate_key_rows, sum(n - 1) AS duplicate_key_surplus,
+SELECT CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS duplicate_key_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_key_surplus,
        count(*) AS distinct_keys,
        (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem) x) FROM lineitem) AS exact_duplicate_rows,
-       sum(n) AS rows
+       CAST(sum(n) AS BIGINT) AS rows
 FROM g""")
 def duplicate_key_profile(spark, sf_dir):
     return canonical(C.duplicate_stats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]))
@@ -220,7 +220,7 @@ def _profile_sql(name: str) -> str:
   (SELECT count_if({m}_was_imputed) FROM {name}_clean) AS imputed_values,
   (SELECT count_if({m}_orig = 0) FROM {name}_clean) AS invalid_zero_values,
   CAST(0 AS BIGINT) AS rows_dropped_missing_keys,
-  (SELECT coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) FROM (SELECT count(*) AS n FROM {name}_raw GROUP BY {e}, {p}) g) AS duplicate_key_rows,
+  (SELECT CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {name}_raw GROUP BY {e}, {p}) g) AS duplicate_key_rows,
   (SELECT count(*) FROM {name}_raw) - (SELECT count(*) FROM {name}_dist) AS exact_duplicate_rows"""
 
 

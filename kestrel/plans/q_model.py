@@ -191,7 +191,7 @@ a AS (SELECT sum(n * (n - 1) / 2) AS sa FROM (SELECT quality, sum(n) AS n FROM c
 b AS (SELECT sum(n * (n - 1) / 2) AS sb FROM (SELECT toxic, sum(n) AS n FROM c GROUP BY toxic) y)
 SELECT round_even(CAST(CASE WHEN (sa + sb) / 2 = sa * sb / (total * (total - 1) / 2) THEN 1.0e0
   ELSE (sij - sa * sb / (total * (total - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (total * (total - 1) / 2)) END AS DOUBLE) * 10000e0, 0) / 10000e0 AS adjusted_rand,
-  total AS n
+  CAST(total AS BIGINT) AS n
 FROM s, a, b""")
 def adjusted_rand(spark, sf_dir):
     """Agreement between two labelings of the labelled documents (quality vs toxicity)."""
