@@ -61,11 +61,19 @@ def model_frame(panel: DataFrame, spec: PanelSpec, period: int | None, features:
 
 
 # ------------------------------------------------------------------ tertiles & priority
-def tertile_edges(frame: DataFrame, col: str, probs=(1 / 3, 2 / 3)) -> DataFrame:
-    """One row: min, the two exact linear quantiles, max."""
+def tertile_edges(frame: DataFrame, col: str, probs=(1 / 3, 2 / 3), bounded: bool = True) -> DataFrame:
+    """One row: min, the two exact linear quantiles, max.
+
+    The score is rounded to 4 decimals, so its distinct values are bounded by its range
+    and Spark's exact ``percentile`` (a value -> count map) is safe and cheap. For an
+    unrounded column pass ``bounded=False`` to use the bracketed exact quantiles."""
+    ends = frame.agg(F.min(col).cast("double").alias("__e0"), F.max(col).cast("double").alias("__e3"))
+    if bounded:
+        q = F.percentile(F.col(col), list(probs))
+        return frame.agg(F.min(col).cast("double").alias("__e0"), q[0].alias("__e1"), q[1].alias("__e2"),
+                         F.max(col).cast("double").alias("__e3"))
     from kestrel.operators.clean import combine_single_rows
     from kestrel.operators.quantiles import quantile_row
-    ends = frame.agg(F.min(col).cast("double").alias("__e0"), F.max(col).cast("double").alias("__e3"))
     return combine_single_rows([ends, quantile_row(frame, col, list(probs), ["__e1", "__e2"])])
 
 

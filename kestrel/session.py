@@ -60,7 +60,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss); never a local
     checkpoint. The frame is persisted while the checkpoint is written, otherwise Spark
     computes it twice (once for the materialising job, once for the checkpoint files)."""
-    checkpoint_dir(df.sparkSession)
+    try:
+        checkpoint_dir(df.sparkSession)
+    except AttributeError:  # Spark Connect: the server's spark.checkpoint.dir applies
+        pass
     staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     out = staged.checkpoint(eager=True)
     staged.unpersist()
