@@ -9,6 +9,7 @@
   silhouette needs every pair of points and is deliberately not offered.
 * Per-cluster tables have k rows; they are packed into one array (bounded by k) and
   evaluated with higher-order functions instead of joining points to every cluster.
+  Points are arrays, so the plan does not grow with the number of features.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from functools import reduce
 
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,81 +63,97 @@ def kmeans_best(vectors: DataFrame, k: int, seeds=SEEDS, features: str = "featur
 
 
 # ------------------------------------------------------------------ quality measures
-def centroids(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
-    sq = reduce(lambda a, b: a + b, [F.col(f) * F.col(f) for f in features])
-    return frame.groupBy(cluster).agg(F.count(F.lit(1)).alias("__n"),
-                                      *[F.avg(f).alias(f"__c_{f}") for f in features],
-                                      F.avg(sq).alias("__m2"))
+# Points are handled as one array<double> column and every per-point formula is a
+# higher-order function over it, so plan size (and driver work) does not grow with the
+# number of features. Per-cluster means come from Spark ML's vector Summarizer.
 
+def _sum(arr: Column) -> Column:
+    return F.aggregate(arr, F.lit(0.0), lambda a, b: a + b)
 
-def _dist2(a: list[Column], b: list[Column]) -> Column:
-    return reduce(lambda x, y: x + y, [(p - q) * (p - q) for p, q in zip(a, b)])
+
+def _sqdist(a: Column, b: Column) -> Column:
+    return _sum(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)))
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return _sum(F.zip_with(a, b, lambda p, q: p * q))
+
+
+def _points(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
+    return frame.select(F.col(cluster), F.array(*[F.col(f).cast("double") for f in features]).alias("__v"))
+
+
+def _mean_vector(col: str = "__v") -> Column:
+    return vector_to_array(Summarizer.mean(array_to_vector(F.col(col))))
+
+
+def centroids(points: DataFrame, cluster: str) -> DataFrame:
+    """Per cluster: size, mean vector, mean squared norm."""
+    return points.groupBy(cluster).agg(F.count(F.lit(1)).alias("__n"), _mean_vector().alias("__c"),
+                                       F.avg(_dot(F.col("__v"), F.col("__v"))).alias("__m2"))
+
+
+def _with_centroid(points: DataFrame, c: DataFrame, cluster: str) -> DataFrame:
+    return join_small(points, c, cluster, "inner", bound=10_000)
 
 
 def inertia(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
-    c = centroids(frame, features, cluster)
-    j = join_small(frame, c, cluster, "inner", bound=10_000)
-    return j.agg(F.sum(_dist2([F.col(f) for f in features], [F.col(f"__c_{f}") for f in features])).alias("inertia"))
+    pts = _points(frame, features, cluster)
+    j = _with_centroid(pts, centroids(pts, cluster), cluster)
+    return j.agg(F.sum(_sqdist(F.col("__v"), F.col("__c"))).alias("inertia"))
 
 
 def calinski_harabasz(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
-    c = centroids(frame, features, cluster)
-    j = join_small(frame, c, cluster, "inner", bound=10_000)
-    ssw = j.agg(F.sum(_dist2([F.col(f) for f in features], [F.col(f"__c_{f}") for f in features])).alias("ssw"),
-                F.count(F.lit(1)).alias("n"))
-    grand = frame.agg(*[F.avg(f).alias(f"__g_{f}") for f in features])
+    pts = _points(frame, features, cluster)
+    c = centroids(pts, cluster)
+    ssw = _with_centroid(pts, c, cluster).agg(F.sum(_sqdist(F.col("__v"), F.col("__c"))).alias("ssw"),
+                                              F.count(F.lit(1)).alias("n"))
+    grand = pts.agg(_mean_vector().alias("__g"))
     cg = join_small(_one(c), _one(grand), "__one", "inner", bound=1)
-    ssb = cg.agg(F.sum(F.col("__n") * _dist2([F.col(f"__c_{f}") for f in features],
-                                               [F.col(f"__g_{f}") for f in features])).alias("ssb"),
-                 F.count(F.lit(1)).alias("k"))
+    ssb = cg.agg(F.sum(F.col("__n") * _sqdist(F.col("__c"), F.col("__g"))).alias("ssb"), F.count(F.lit(1)).alias("k"))
     both = join_small(_one(ssw), _one(ssb), "__one", "inner", bound=1)
     ch = F.when(F.col("ssw") == 0, F.lit(1.0)).otherwise(
         F.col("ssb") * (F.col("n") - F.col("k")) / (F.col("ssw") * (F.col("k") - 1)))
     return both.select(ch.alias("calinski_harabasz"))
 
 
-def _packed_centroids(c: DataFrame, features: list[str], cluster: str, extra: list[str]) -> DataFrame:
-    item = F.struct(F.col(cluster).alias("id"), F.array(*[F.col(f"__c_{f}") for f in features]).alias("c"),
-                    *[F.col(x).alias(x) for x in extra])
+def _packed(c: DataFrame, cluster: str, extra: list[str]) -> DataFrame:
+    item = F.struct(F.col(cluster).alias("id"), F.col("__c").alias("c"), *[F.col(x).alias(x) for x in extra])
     return c.agg(F.collect_list(item).alias("__all"))  # k elements
 
 
 def davies_bouldin(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
-    c = centroids(frame, features, cluster)
-    j = join_small(frame, c, cluster, "inner", bound=10_000)
-    dist = F.sqrt(_dist2([F.col(f) for f in features], [F.col(f"__c_{f}") for f in features]))
-    spread = j.groupBy(cluster).agg(F.avg(dist).alias("__s"))
+    pts = _points(frame, features, cluster)
+    c = centroids(pts, cluster)
+    spread = _with_centroid(pts, c, cluster).groupBy(cluster).agg(
+        F.avg(F.sqrt(_sqdist(F.col("__v"), F.col("__c")))).alias("__s"))
     cs = c.join(spread, cluster)
-    packed = _packed_centroids(cs, features, cluster, ["__s"])
-    rows = join_small(_one(cs), _one(packed), "__one", "inner", bound=1)
-    me = F.array(*[F.col(f"__c_{f}") for f in features])
+    rows = join_small(_one(cs), _one(_packed(cs, cluster, ["__s"])), "__one", "inner", bound=1)
 
     def ratio(o):
-        d = F.sqrt(F.aggregate(F.zip_with(o["c"], me, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda a, b: a + b))
+        d = F.sqrt(_sqdist(o["c"], F.col("__c")))
         return F.when((o["id"] == F.col(cluster)) | (d == 0), F.lit(0.0)).otherwise((o["__s"] + F.col("__s")) / d)
 
-    worst = F.array_max(F.transform(F.col("__all"), ratio))
-    return rows.agg(F.avg(worst).alias("davies_bouldin"))
+    return rows.agg(F.avg(F.array_max(F.transform(F.col("__all"), ratio))).alias("davies_bouldin"))
 
 
 def silhouette_sq(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
     """Mean silhouette with squared Euclidean distance (singleton clusters score 0)."""
-    c = centroids(frame, features, cluster)
-    packed = _packed_centroids(c, features, cluster, ["__n", "__m2"])
-    pts = join_small(_one(frame.select(cluster, *features)), _one(packed), "__one", "inner", bound=1)
-    x = F.array(*[F.col(f).cast("double") for f in features])
-    xx = reduce(lambda a, b: a + b, [F.col(f) * F.col(f) for f in features])
+    pts = _points(frame, features, cluster)
+    packed = _packed(centroids(pts, cluster), cluster, ["__n", "__m2"])
+    j = join_small(_one(pts), _one(packed), "__one", "inner", bound=1)
+    x = F.col("__v")
+    xx = _dot(x, x)
 
     def mean_d2(o):  # mean squared distance from x to the members of cluster o
-        dot = F.aggregate(F.zip_with(o["c"], x, lambda p, q: p * q), F.lit(0.0), lambda a, b: a + b)
-        return xx - 2 * dot + o["__m2"]
+        return xx - 2 * _dot(o["c"], x) + o["__m2"]
 
     own = F.filter(F.col("__all"), lambda o: o["id"] == F.col(cluster))[0]
     others = F.filter(F.col("__all"), lambda o: o["id"] != F.col(cluster))
     a = mean_d2(own) * own["__n"] / (own["__n"] - 1)
     b = F.array_min(F.transform(others, mean_d2))
     s = F.when(own["__n"] <= 1, F.lit(0.0)).otherwise(F.try_divide(b - a, F.greatest(a, b)))
-    return pts.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
+    return j.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
 
 
 def quality_row(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:

@@ -121,3 +121,33 @@ def region_table(spark, sf_dir):
     return canonical(out.select(*cols))
 
 
+
+
+def _embedding_frame(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from kestrel.plans.testdata import table
+    emb = table(spark, sf_dir, "embeddings")
+    dim = len(emb.select("embedding").first()[0])  # one row: the vector width (schema-level fact)
+    cols = [f"e{i}" for i in range(dim)]
+    flat = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    return flat, cols
+
+
+@query("embedding_kmeans", None)
+def embedding_kmeans(spark, sf_dir):
+    """k-means on the stored embedding vectors (k = 10, best of 10 seeds) and its agreement
+    (adjusted Rand) with the stored labels."""
+    flat, cols = _embedding_frame(spark, sf_dir)
+    vec = ML.prepare(flat, cols)
+    model, _ = ML.kmeans_best(vec, 10)
+    from kestrel.operators.model import adjusted_rand
+    return canonical(adjusted_rand(model.transform(vec), "label", "raw_cluster"))
+
+
+@query("embedding_label_quality", None)
+def embedding_label_quality(spark, sf_dir):
+    """Silhouette (squared Euclidean), CH, DB and inertia of the stored labels as a partition
+    of the embedding space."""
+    flat, cols = _embedding_frame(spark, sf_dir)
+    return canonical(ML.quality_row(flat, cols, "label"))
