@@ -31,7 +31,7 @@ def pivot_counts(df: DataFrame, row: str, col: str, col_values: list[str], row_v
 
 
 def pivot_values(df: DataFrame, row: str, col: str, value: str, col_values: list) -> DataFrame:
-    return df.groupBy(row).pivot(col, col_values).agg(F.first(value))
+    return df.groupBy(row).pivot(col, col_values).agg(F.max(value))  # one value per cell
 
 
 def minmax_normalize(df: DataFrame, cols: list[str]) -> DataFrame:

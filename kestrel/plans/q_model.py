@@ -44,7 +44,6 @@ def model_frame(spark, sf_dir):
     return cut_lineage(mf.withColumn("cluster_id", cluster.cast("int")))
 
 
-_Q = lambda p: f"quantile_cont(score, {p})"
 MF_SQL = f"""WITH {PANEL_CTE},
 {feature_ctes(SPEC)},
 latest AS (SELECT max(CASE WHEN score IS NOT NULL THEN period END) AS t FROM feat),

@@ -60,6 +60,7 @@ def json_file_records(spark: SparkSession, path: str, schema: StructType | str |
     files = spark.read.text(path, wholetext=True).withColumn("source_file", F.input_file_name())
     recs = extract_records(files, "value", ["source_file"])
     if schema is None:
+        # schema inference over the record texts (Spark's JSON reader takes an RDD of strings)
         schema = spark.read.json(recs.select("record").rdd.map(lambda r: r[0])).schema
     return type_records(recs, schema)
 
