@@ -194,3 +194,39 @@ def test_adjusted_rand_identical_and_independent(spark):
     df = spark.createDataFrame([(i % 3, i % 3, (i // 3) % 3) for i in range(30)], "a int, b int, c int")
     assert M.adjusted_rand(df, "a", "b").first().adjusted_rand == pytest.approx(1.0)
     assert M.adjusted_rand(df, "a", "c").first().adjusted_rand < 0.1
+
+
+def test_ingest_decisions_and_retention(spark):
+    from kestrel.sources import ingest as I
+    batches = spark.createDataFrame([("a", 3), ("b", 4), ("c", 5)], "checksum string, n_records int")
+    manifest = spark.createDataFrame([("a", "success"), ("b", "failed")], "checksum string, status string")
+    got = {r.checksum: (r.status, r.notes) for r in I.ingest_decisions(batches, manifest).collect()}
+    assert got == {"a": ("skipped", "duplicate_checksum"), "b": ("success", ""), "c": ("success", "")}
+    versions = spark.createDataFrame([("x", f"2024010{i}T000000Z") for i in range(1, 8)] + [("y", "20240101T000000Z")],
+                                     "name string, version string")
+    plan = {(r.name, r.version): r.keep for r in I.retention_plan(versions, "name", "version", 5).collect()}
+    assert [plan[("x", f"2024010{i}T000000Z")] for i in range(1, 8)] == [False, False, True, True, True, True, True]
+    assert plan[("y", "20240101T000000Z")] is True
+
+
+def test_checksum_is_order_and_partition_insensitive(spark):
+    from kestrel.sources import ingest as I
+    df = spark.range(200).select((F.col("id") % 3).alias("b"), F.col("id").alias("v"), (F.col("id") * 2).alias("w"))
+    a = {r.b: r.checksum for r in I.batch_checksums(df, ["b"], ["v", "w"]).collect()}
+    c = {r.b: r.checksum for r in I.batch_checksums(df.orderBy(F.rand(1)).repartition(7), ["b"], ["v", "w"]).collect()}
+    assert a == c and len(set(a.values())) == 3
+
+
+def test_repeated_page_flag(spark):
+    from kestrel.sources import ingest as I
+    rows = [(1, 1, 10), (1, 1, 11), (1, 2, 10), (1, 2, 11), (1, 3, 12)]
+    df = spark.createDataFrame(rows, "batch int, page int, v int")
+    got = {r.page: r.repeated for r in I.page_signatures(df, ["batch"], "page", ["v"]).collect()}
+    assert got == {1: False, 2: True, 3: False}
+
+
+def test_flatten_nested(spark):
+    from kestrel.sources.records import flatten
+    df = spark.createDataFrame([(1, (("x", 2.0),))], "id int, a struct<b: struct<c: string, d: double>>")
+    out = flatten(df)
+    assert out.columns == ["id", "a.b.c", "a.b.d"] and tuple(out.first()) == (1, "x", 2.0)
