@@ -34,6 +34,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+# Settings this library assumes on a cluster (set by the deployment, not by the library).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",                      # runtime join / partition re-planning
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",  # target shuffle partition size
+    "spark.sql.adaptive.skewJoin.enabled": "true",              # splits hot join partitions
+    "spark.sql.shuffle.partitions": "8000",                     # upper bound; AQE coalesces down
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",              # file-size checked broadcast
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",     # runtime-size checked broadcast
+    "spark.checkpoint.dir": "<shared folder, e.g. the cluster's distributed file system>",
+}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
