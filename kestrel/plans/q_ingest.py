@@ -80,11 +80,22 @@ def ingest_dedup(spark, sf_dir):
     return I.ingest_decisions(batches, _manifest(batches)).select("batch_day", "n_records", "status", "notes")
 
 
-@query("repeated_pages", None)
+@query("repeated_pages", """
+WITH p AS (SELECT CAST(day(ts) AS BIGINT) AS batch_day, user_id % 10 AS page, count(*) AS n_records,
+                  string_agg(CAST(event_id AS VARCHAR) || '|' || CAST(ts AS VARCHAR) || '|' || CAST(user_id AS VARCHAR)
+                             || '|' || event_type || '|' || CAST(value AS VARCHAR) || '|' || props, '#'
+                             ORDER BY event_id, ts, user_id, event_type, value, props) AS content
+           FROM events GROUP BY 1, 2)
+SELECT batch_day, CAST(page AS BIGINT) AS page, n_records,
+       coalesce(content = lag(content) OVER (PARTITION BY batch_day ORDER BY page), false) AS repeated
+FROM p""")
 def repeated_pages(spark, sf_dir):
-    """Pages (user_id mod 10) of each day batch with a flag for a page equal to the previous one."""
-    ev = table(spark, sf_dir, "events").withColumns({"batch_day": F.dayofmonth("ts"), "page": F.col("user_id") % 10})
-    return I.page_signatures(ev, ["batch_day"], "page", RECORD_COLS)
+    """Pages (user_id mod 10) of each day batch, flagged when a page's records equal the
+    previous page's (compared by content fingerprint)."""
+    ev = table(spark, sf_dir, "events").withColumns({"batch_day": F.dayofmonth("ts").cast("bigint"),
+                                                     "page": (F.col("user_id") % 10).cast("bigint")})
+    sig = I.page_signatures(ev, ["batch_day"], "page", RECORD_COLS)
+    return sig.select("batch_day", "page", "n_records", "repeated")
 
 
 @query("run_manifest", None)
