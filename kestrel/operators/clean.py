@@ -89,14 +89,16 @@ def exact_dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def duplicate_stats(df: DataFrame, keys: list[str]) -> DataFrame:
+def duplicate_stats(df: DataFrame, keys: list[str], by_key: DataFrame | None = None) -> DataFrame:
     """One row: rows, exact duplicate rows, rows in duplicated key groups (all members),
     surplus rows per key (all but the first), distinct keys.
 
     Identical rows share their key, so exact duplicates are looked for only among rows
     of duplicated keys (a semi join on the usually tiny set of such keys): the wide
-    all-column aggregate never runs over the whole input."""
-    by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    all-column aggregate never runs over the whole input. ``by_key`` may pass in an
+    existing per-key count (column ``__n``) to reuse its shuffle."""
+    if by_key is None:
+        by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     keyed = by_key.agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n")).otherwise(0)), F.lit(0)).alias("duplicate_key_rows"),
                        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_key_surplus"),
                        F.count(F.lit(1)).alias("distinct_keys"),
@@ -118,6 +120,17 @@ def combine_single_rows(frames: list[DataFrame]) -> DataFrame:
     return stacked.groupBy("__one").agg(*[F.max(c).alias(c) for c in value_cols]).drop("__one")
 
 
+def keep_last_counted(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key: the row count ``__n`` and the kept row ``__row`` (see :func:`keep_last`),
+    from one grouped aggregate, so duplicate counting and dedup share one shuffle."""
+    rest = [c for c in df.columns if c not in keys]
+    tie = [c for c in rest if c not in order]
+    ordering = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"{c}__null"), F.col(c))],
+                        *[F.col(c) for c in tie])
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                 F.max_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("__row"))
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the last row under ``order`` ascending, nulls sorted last
     (so a null in the first order column wins). Remaining columns break ties.
@@ -126,10 +139,7 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     collapses hot keys before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    tie = [c for c in rest if c not in order]
-    ordering = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"{c}__null"), F.col(c))],
-                        *[F.col(c) for c in tie])
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("__row"))
+    picked = keep_last_counted(df, keys, order)
     return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
@@ -223,12 +233,15 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) ->
     kept = drop_null_keys(typed, keys)
     if ds.dim_filter:
         kept = dimension_filter(kept, *ds.dim_filter)
-    dups = duplicate_stats(kept, keys).select("exact_duplicate_rows", "duplicate_key_rows")
-
     order = [ds.id_col] if ds.id_col and ds.id_col in kept.columns else []
+    # One grouped aggregate per key gives both the duplicate counts and the kept row.
     # Exact duplicates are identical, so keep-last on the key already removes them; a
     # separate all-column dedup pass would not change the result.
-    deduped = keep_last(kept, keys, order)
+    grouped = keep_last_counted(kept, keys, order)
+    dups = duplicate_stats(kept, keys, grouped.select(*keys, "__n")).select("exact_duplicate_rows",
+                                                                            "duplicate_key_rows")
+    rest = [c for c in kept.columns if c not in keys]
+    deduped = grouped.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*kept.columns)
     flag = f"{ds.metric}_was_imputed"
     zeros = deduped.agg(count_zeros(ds.metric).alias("invalid_zero_values"))
     if ds.zero_is_missing:
