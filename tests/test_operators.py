@@ -230,3 +230,14 @@ def test_flatten_nested(spark):
     df = spark.createDataFrame([(1, (("x", 2.0),))], "id int, a struct<b: struct<c: string, d: double>>")
     out = flatten(df)
     assert out.columns == ["id", "a.b.c", "a.b.d"] and tuple(out.first()) == (1, "x", 2.0)
+
+
+def test_many_unscored_rows_get_null_ranks(spark):
+    spec = PanelSpec(entity="e", period="t", metrics=SPEC1.metrics)
+    df = spark.range(1000).select(F.col("id").alias("e"), F.lit(1).alias("t"),
+                                  F.when(F.col("id") < 100, (F.col("id") % 7).cast("double")).alias("score"))
+    out = FT.add_ranks(df, spec).cache()
+    assert out.count() == 1000
+    assert out.where(F.col("score").isNull() & F.col("priority_rank").isNotNull()).count() == 0
+    ranks = {r.score: r.priority_rank for r in out.where(F.col("score").isNotNull()).select("score", "priority_rank").distinct().collect()}
+    assert ranks == {6.0 - i: i + 1 for i in range(7)}
