@@ -171,12 +171,12 @@ def add_features(panel: DataFrame, spec: PanelSpec, rank_strategy: str = "distin
     """All panel features in dependency order (mirrors the scrub stage's feature step).
 
     The feature plan reads the panel more than once (per-period statistics, ranks), so
-    with ``materialize`` the panel is first hash-partitioned by entity and checkpointed
-    to the shared checkpoint folder: upstream work runs once, and the entity-ordered
-    windows need no further shuffle.
+    with ``materialize`` the panel is checkpointed to the shared checkpoint folder and the
+    upstream work runs once. (A checkpoint does not keep a hash partitioning, so no
+    repartition is done before it: the entity windows shuffle once either way.)
     """
     if materialize:
-        panel = cut_lineage(panel.repartition(spec.entity))
+        panel = cut_lineage(panel)
     out = add_changes(panel, spec)
     out = add_rolling_mean(out, spec)
     out = add_trend_direction(out, spec)
