@@ -7,8 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kestrel.llm import rlz_dedup, suffix_dedup
-from kestrel.llm.common import ship, table
+from kestrel.llm import decontam, langid, llr_quality, minhash, rlz_dedup, suffix_dedup
+from kestrel.llm.common import ship, table, text_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rlz_dedup.parse(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "coverage", "n_tiles", "longest", "item_tokens")
+
+
+@query
+def op4_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = llr_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.predict(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.coalesce(text_id("id") == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.groups(table(spark, sf_dir, "documents"), percent=85)
+    return out.withColumnRenamed("id", "doc_id")

@@ -158,3 +158,8 @@ def leftmost_minima(values: np.ndarray, w: int) -> np.ndarray:
 def char_starts(data: np.ndarray) -> np.ndarray:
     """True where a code point begins."""
     return (data & 0xC0) != 0x80
+
+
+def text_marks(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A 64-bit mark of every document's bytes: tells rows with the same id and other texts apart."""
+    return pa.array(range_hashes(byte_values(data), bounds[:-1], bounds[1:]).view(np.int64))
