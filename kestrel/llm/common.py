@@ -60,6 +60,23 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     return own, own.dropDuplicates([KEY])
 
 
+SIEVE_WORDS = 1 << 17  # of 64 bits: 1 MB, whatever the number of keys
+
+
+def sieved(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs in two parts: those whose KEY may be among ``keys`` (all that are, and some by chance)
+    and those whose KEY certainly isn't. Only the first part need be shuffled to meet what is
+    known of the keys. A bitmap of fixed size decides; it is broadcast, SIEVE_WORDS rows at most."""
+    def place(df):
+        digest = F.xxhash64(KEY)
+        return df.withColumn("__word", digest.bitwiseAND(SIEVE_WORDS - 1)).withColumn("__bit", F.expr(f"cast(shiftright(xxhash64({KEY}), 40) & 63 as int)"))
+
+    bits = place(keys.select(KEY)).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__bits"))
+    marked = place(docs).join(F.broadcast(stored(bits)), "__word", "left")
+    hit = F.expr("coalesce(shiftright(__bits, __bit) & 1, 0) = 1")
+    return tuple(marked.filter(part).select(*docs.columns) for part in (hit, ~hit))
+
+
 def ordinals(df: DataFrame, by: list[str], name: str) -> DataFrame:
     """df with a dense number from 0 in the order of ``by``: range partitions are counted, and
     each adds the rows of those before it. The sorted rows are written once, so that a lost

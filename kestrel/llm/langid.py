@@ -24,14 +24,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from kestrel.llm import textscan as ts
 from kestrel.llm.common import text_id
+from kestrel.llm.linear import train_svm
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 600   # training documents of a language
 TRAIN_BYTES = 4000          # of each training document
-PASSES = 12
-COST = 10.0
 
 #: Families of the languages with two-letter codes most often met. A language that
 #: is not listed is a family of its own.
@@ -87,25 +86,6 @@ def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, cost: float = COST, passes: int = PASSES) -> np.ndarray:
-    """Weights (with a bias last) of a linear L1-loss support vector machine: dual coordinate
-    descent in a fixed shuffled order. y is +1 / -1; classes weigh the same in total."""
-    n = len(x)
-    x = np.hstack([x, np.ones((n, 1), x.dtype)]).astype(np.float64)
-    bound = np.where(y > 0, cost * n / (2 * max((y > 0).sum(), 1)), cost * n / (2 * max((y < 0).sum(), 1)))
-    diagonal = (x * x).sum(axis=1)
-    weights, alpha = np.zeros(x.shape[1]), np.zeros(n)
-    shuffle = np.random.Generator(np.random.PCG64(7))
-    for _ in range(passes):
-        for i in shuffle.permutation(n):
-            step = y[i] * x[i].dot(weights) - 1
-            new = min(max(alpha[i] - step / diagonal[i], 0.0), bound[i])
-            if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
-                alpha[i] = new
-    return weights
-
-
 class Model:
     """Families in order, their one-versus-rest weights, and the pair machines inside each."""
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kestrel.llm import textscan as ts
+from kestrel.llm.common import KEY, sieved
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0          # added to every bucket's count, in both multinomials
@@ -139,7 +140,8 @@ def _scorer(ratios: np.ndarray, threshold: float):
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """SCORED columns, one row per row of ``docs``. ``labels`` is (id_col, quality)."""
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    trusted = labels.filter("quality = 1").select(F.col(id_col).cast("bigint").alias("id")).distinct()
-    target = bucket_counts(slim.join(trusted, "id", "left_semi"))
+    trusted = labels.filter("quality = 1").select(F.col(id_col).cast("bigint").alias(KEY)).distinct()
+    # only documents that may be trusted are shuffled to meet the labels
+    target = bucket_counts(sieved(slim.select(F.col("id").alias(KEY), "text"), trusted)[0].join(trusted, KEY, "left_semi"))
     ratios = log_ratios(target, bucket_counts(slim))
     return slim.mapInArrow(_scorer(ratios, threshold), SCORED)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kestrel.llm import repeats as rp, textscan as ts
-from kestrel.llm.common import KEY, keyed
+from kestrel.llm.common import keyed
 
 WINDOW_WORDS = 20
 ANCHOR_WORDS = 8  # k of the anchors; smaller ones sample more thinly but meet by chance more often
@@ -43,7 +43,7 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     space that stood after it. ``n_factors`` counts the duplicate factors of the parse."""
     own, distinct = keyed(docs, id_col, text_col)
     spans = rp.repeated_spans(distinct, word_symbols, window, k)
-    return own.join(spans, KEY, "left").select("id", "text", "spans").mapInArrow(_cutter(window, single_spaces), PARSED)
+    return rp.with_spans(own, spans).mapInArrow(_cutter(window, single_spaces), PARSED)
 
 
 def factors(lists: list[bytes] | None) -> np.ndarray:

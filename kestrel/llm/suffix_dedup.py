@@ -1,8 +1,8 @@
 """Substring dedup with a logarithmic family of suffix indexes, over UTF-8 bytes.
 
 The corpus comes in batches of ascending keys. A batch gets a suffix array: its anchor suffixes
-(see ``repeats``: the positions where a 100-byte window has its smallest 16-gram), sorted by the
-hash of their first 16 bytes, then of all bytes their windows span, then by place. It is kept in
+(see ``repeats``: the positions where a 100-byte window has its smallest 32-gram), sorted by the
+hash of their first 32 bytes, then of all bytes their windows span, then by place. It is kept in
 hash ranges, one row of arrays per range. The array is merge-scanned against every existing
 level, range by range: equal neighbours in the merged order are long matches, and the later one
 is a duplicate. Level i holds the arrays of 2**i batches. A new batch takes the first empty
@@ -29,8 +29,8 @@ from kestrel.llm import repeats as rp, textscan as ts
 from kestrel.llm.common import KEY, keyed, partitions, stored
 
 WINDOW_BYTES = 100
-ANCHOR_BYTES = 16
-BATCHES = 4
+ANCHOR_BYTES = 32
+BATCHES = 3
 
 CUT = "id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
 #: A scan's rows: settled spans (key set), or the arrays of one hash range of the new level (part set).
@@ -56,13 +56,13 @@ class SuffixIndex:
         come, so no new level is written."""
         full = next((i for i, level in enumerate(self.levels) if level is None), len(self.levels))
         carried = self.levels[:full]  # these merge with the batch into level ``full``
-        packed = docs.select(KEY, "text").mapInArrow(rp.packer(byte_symbols, self.window, self.k, self.parts), rp.PACKED)
+        packed = docs.select(KEY, "text").mapInArrow(rp.packer(byte_symbols, self.window, self.k, self.parts, plain=True), rp.PACKED)
         packed = packed.withColumn("level", F.lit(-1))
         for i, level in enumerate(self.levels):
             if level is not None:
                 packed = packed.unionByName(level.select("part", *ARRAYS, F.lit(i).alias("level")), allowMissingColumns=True)
         scanned = stored(rp.by_part(packed, self.parts).mapInArrow(_merge_scan(full, not last), SCANNED))
-        self.found.append(scanned.filter(f"{KEY} is not null").select(KEY, "open", "spans"))
+        self.found.append(scanned.filter(f"{KEY} is not null").select(KEY, "kind", "spans"))
         if not last:
             self.levels = [None] * len(carried) + [scanned.filter("part is not null")] + self.levels[full + 1:]
 
@@ -71,8 +71,8 @@ class SuffixIndex:
         found = self.found[0]
         for more in self.found[1:]:
             found = found.unionByName(more)
-        edges = rp.edge_spans(docs, found, byte_symbols, self.window, self.parts)
-        return rp.spans_list(found.filter("not open").unionByName(edges))
+        edges = rp.edges_of(docs, found, byte_symbols, self.window, self.k, self.parts)
+        return rp.spans_list(found.filter(F.col("kind") == rp.REPEATED).unionByName(edges))
 
 
 def _merge_scan(full: int, keep: bool):
@@ -94,27 +94,23 @@ def _merge_scan(full: int, keep: bool):
         groups, level = groups[order], level[order]
         same_anchor = groups["anchor"][1:] == groups["anchor"][:-1]
         lead = np.append(True, ~(same_anchor & (groups["span"][1:] == groups["span"][:-1])))[:len(groups)]
-        source = np.maximum.accumulate(np.where(lead, np.arange(len(groups)), 0)) if len(groups) else lead
         later = ~lead  # always of the batch: a level's groups are the earliest of their kind
-        rows = [(key, False, spans) for key, spans in passed]
-        rows += [(key, False, spans) for key, spans in rp.spans_by_key(groups[later], groups[source[later]])]
+        rows = [(key, rp.REPEATED, spans) for key, spans in passed]
+        rows += [(key, rp.REPEATED, spans) for key, spans in rp.spans_by_key(groups[later], None, plain=True)]
         leaders, own = groups[lead], level[lead] < 0
         # an anchor with several spans, one of them of this batch: its earliest groups are open
-        if len(leaders):
-            run_of = np.append(0, np.cumsum(leaders["anchor"][1:] != leaders["anchor"][:-1]))
-            many = (np.bincount(run_of) > 1) & (np.bincount(run_of, weights=own) > 0)
-            rows += [(key, True, spans) for key, spans in rp.spans_by_key(leaders[many[run_of]], None)]
+        rows += rp.open_rows(leaders, lambda run: np.bincount(run, weights=own) > 0)
         for batch in rp.settled_batches(rows):
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), *batch.columns, *[pa.nulls(n, pa.binary())] * 5],
-                                             names=["part", KEY, "open", "spans", *ARRAYS])
+                                             names=["part", KEY, "kind", "spans", *ARRAYS])
         if keep and batches and len(leaders):
             merged = leaders[level[lead] < full]
             part = next(b.column(b.schema.get_field_index("part"))[0].as_py() for b in batches if b.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary()),
-                 *[pa.array([merged[_FIELDS[c]].tobytes()], pa.binary()) for c in ARRAYS]],
-                names=["part", KEY, "open", "spans", *ARRAYS])
+                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+                 *[pa.array([rp.packed_column(merged[_FIELDS[c]])], pa.binary()) for c in ARRAYS]],
+                names=["part", KEY, "kind", "spans", *ARRAYS])
     return run
 
 
@@ -134,7 +130,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
         if high is not None:
             batch = batch.filter(F.col(KEY) <= high)
         index.add(batch, last=i == len(edges) - 2)
-    return own.join(index.spans(distinct), KEY, "left").select("id", "text", "spans").mapInArrow(_cutter(window), CUT)
+    return rp.with_spans(own, index.spans(distinct)).mapInArrow(_cutter(window), CUT)
 
 
 def _cutter(window: int):
