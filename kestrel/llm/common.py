@@ -28,7 +28,7 @@ def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: write df once as Parquet in the shared folder and read it back, so that a
     lost executor costs no recomputation and several readers share one computation."""
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

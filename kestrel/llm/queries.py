@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kestrel.llm import decontam, langid, llr_quality, minhash, rlz_dedup, suffix_dedup, toxicity
+from kestrel.llm import curve_packing, decontam, langid, llr_quality, minhash, rlz_dedup, suffix_dedup, toxicity
 from kestrel.llm.common import ship, table, text_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select(F.col("id").alias("doc_id"), F.coalesce(text_id("id") == 0, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.pack(table(spark, sf_dir, "documents")).drop("ids")
