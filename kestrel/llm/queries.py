@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kestrel.llm import curve_packing, decontam, langid, llr_quality, minhash, rlz_dedup, suffix_dedup, toxicity
+from kestrel.llm import chat_format, curve_packing, decontam, langid, licenses, llr_quality, minhash, rlz_dedup, suffix_dedup, toxicity
 from kestrel.llm.common import ship, table, text_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+@query
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.sql("""select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+                         as t(conv_id, turn, role, text)""")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    out = chat_format.read_back(chat_format.windows(turns))
+    return out.select(F.col("conv").alias("conv_id"), "n_turns", F.sha2(F.col("said").cast("binary"), 256).alias("turns_sha256"),
+                      F.length("loss").cast("bigint").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+                      F.col("formatted_chars").cast("bigint").alias("formatted_chars"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("found").withColumnRenamed("id", "doc_id")
