@@ -41,22 +41,22 @@ def text_id(col="doc_id"):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(5))
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """docs as (KEY bigint, id, text), one row per input row, where KEY orders documents as their
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """docs as (KEY bigint, id, text, and the columns ``keep``), one row per input row, where KEY orders documents as their
     ids do and tells them apart; and the same with one row per key.
 
     Ids that are unique and not null are the keys themselves. Otherwise documents are the
     distinct (id, text) pairs, numbered in the order null ids, id, text hash; rows that repeat a
     pair share its key (each row keeps its own place in the result)."""
-    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *keep)
     bad = slim.groupBy("id").count().filter("id is null or count > 1").limit(1).count()
     if not bad:
-        own = slim.select(F.col("id").alias(KEY), "id", "text")
+        own = slim.select(F.col("id").alias(KEY), "id", "text", *keep)
         return own, own
     slim = slim.withColumn("digest", F.xxhash64(F.coalesce("text", F.lit(""))))
     numbers = ordinals(slim.select("id", "digest").distinct(), ["id", "digest"], KEY)
     joined = slim.alias("a").join(numbers.alias("b"), F.expr("a.id <=> b.id and a.digest = b.digest"))
-    own = joined.select(f"b.{KEY}", F.col("a.id").alias("id"), F.col("a.text").alias("text"))
+    own = joined.select(f"b.{KEY}", F.col("a.id").alias("id"), F.col("a.text").alias("text"), *[f"a.{c}" for c in keep])
     return own, own.dropDuplicates([KEY])
 
 

@@ -1,21 +1,23 @@
 """Near-duplicate detection with b-bit MinHash.
 
-A document's set holds the hashes of its distinct word shingles. Of each of BANDS * ROWS minima
-the low 8 bits are kept, packed side by side into the signature; ROWS neighbouring bytes are a
-band's key. Documents with equal sets form a class first, and one stands for it. Classes that
-share a band key are candidates; their similarity is estimated from the packed signatures: XOR,
-fold every 8-bit lane to one bit, count bits. Unrelated lanes agree once in 256, so the share p of
-equal lanes gives J = (p - 1/256) / (1 - 1/256). Pairs estimated below PRUNE are dropped (at a
-true similarity of 0.85 that is five standard deviations off), all others are confirmed on their
-full sets.
+A document's set holds the hashes of its distinct word shingles. The low 8 bits of BANDS * ROWS
+minima are kept; ROWS neighbouring bytes are a band's key. Documents with equal sets form a class
+first, and one stands for it. Classes that share a band key are candidates. For these a finer
+signature keeps the low 2 bits of LANES minima, packed: XOR, fold every lane to one bit, count
+bits. Unrelated lanes agree once in four, so the share p of equal lanes gives J = (p - 1/4) / (3/4).
+Pairs estimated more than MARGIN standard deviations below the threshold are dropped, all others
+are confirmed on their full sets.
 
 Not all pairs of a band are looked at, and yet no link between components is lost:
 1. Stars: in each band every class is compared with one of it, the same where possible.
    Confirmed links give components.
-2. Rest: only pairs whose components differ can still change the result. In bands with several
-   components these are all compared by signature (classes of the largest component only with
-   those outside), bands of more than BLOCK classes in cells of two blocks, and what passes is
+2. Nearest: in bands with several components every class is compared with the one of another
+   component that its signature is closest to.
+3. Rest: only pairs whose components still differ can change the result. They are all compared by
+   signature (classes of a band's largest component only with those outside), and what passes is
    confirmed. Their links complete the components.
+Bands of more than BLOCK classes are cut into cells of two blocks for 2 and 3. A pair that meets
+in several bands counts in the first.
 
 With 30 bands of 5 rows a pair at similarity 0.85 shares a band but for 2 in 10**8.
 
@@ -32,18 +34,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kestrel.llm import textscan as ts
-from kestrel.llm.common import KEY, keyed, partitions, stored
+from kestrel.llm.common import KEY, keyed, partitions, sieved, stored
 
 SHINGLE = 5
 PERCENT = 80      # similarity from which two documents are linked
 BANDS, ROWS = 30, 5
-PRUNE_BELOW = 0.15  # estimates this far under the threshold are not confirmed
+LANES = 1024        # 2-bit minima of the finer signature
+MARGIN = 5.0        # standard deviations
 BLOCK = 1024      # classes of a band compared at once
 
 _rng = np.random.Generator(np.random.PCG64(11))
 _MULTIPLY = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _ADD = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
-_LANE = np.uint64(0x7F7F7F7F7F7F7F7F)
+_FINE_MULTIPLY = _rng.integers(0, 1 << 32, LANES, dtype=np.uint32) | np.uint32(1)
+_FINE_ADD = _rng.integers(0, 1 << 32, LANES, dtype=np.uint32)
+_ODD_BITS = np.uint64(0x5555555555555555)
 
 SKETCH = f"{KEY} bigint, n bigint, d1 bigint, d2 bigint, signature binary, bands array<bigint>"
 
@@ -62,15 +67,29 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, shingle: int) -> tuple[np
     return (np.concatenate(sets) if sets else np.empty(0, np.uint64)), np.append(0, np.cumsum([len(s) for s in sets], dtype=np.int64))
 
 
-def signatures(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(sets, BANDS * ROWS) uint8: low bits of the minima of each (not empty) set."""
+def minima(hashes: np.ndarray, starts: np.ndarray, multiply: np.ndarray, add: np.ndarray):
+    """One array of minima (of each not empty set) per hash function."""
     small = (hashes >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(starts), len(_ADD)), dtype=np.uint8)
     values = np.empty_like(small)
-    for j, (a, b) in enumerate(zip(_MULTIPLY, _ADD)):
+    for a, b in zip(multiply, add):
         np.multiply(small, a, out=values)
         np.add(values, b, out=values)
-        out[:, j] = np.minimum.reduceat(values, starts) & np.uint32(255)
+        yield np.minimum.reduceat(values, starts)
+
+
+def signatures(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(sets, BANDS * ROWS) uint8: the low 8 bits of the minima."""
+    out = np.empty((len(starts), BANDS * ROWS), dtype=np.uint8)
+    for j, least in enumerate(minima(hashes, starts, _MULTIPLY, _ADD)):
+        out[:, j] = least & np.uint32(255)
+    return out
+
+
+def fine_signatures(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(sets, LANES / 4) uint8: the low 2 bits of the minima, four to a byte."""
+    out = np.zeros((len(starts), LANES // 4), dtype=np.uint8)
+    for j, least in enumerate(minima(hashes, starts, _FINE_MULTIPLY, _FINE_ADD)):
+        out[:, j // 4] |= ((least & np.uint32(3)) << np.uint32(2 * (j % 4))).astype(np.uint8)
     return out
 
 
@@ -118,59 +137,64 @@ def _set_reader(shingle: int):
     def run(batches):
         for batch, data, bounds in ts.slices(batches, "text"):
             hashes, edges = shingle_sets(data, bounds, shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(hashes.view(np.int64)))],
-                                             names=["rep", "shingles"])
+            fine = fine_signatures(hashes, edges[:-1])  # representatives have a shingle at least
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(hashes.view(np.int64))),
+                                              pa.array([row.tobytes() for row in fine], pa.binary())], names=["rep", "shingles", "fine"])
     return run
 
 
-def lanes(signature: np.ndarray) -> np.ndarray:
-    """Packed signatures as rows of 64-bit words, eight lanes each (zero lanes fill the last)."""
-    pad = -signature.shape[1] % 8
-    return np.hstack([signature, np.zeros((len(signature), pad), np.uint8)]).view(np.uint64)
-
-
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Collision-corrected similarity of packed signatures (any broadcastable shapes, words last)."""
+    """Collision-corrected similarity of fine signatures as 64-bit words (last axis; shapes broadcast)."""
     x = a ^ b
-    unequal = ((x & _LANE) + _LANE | x) & ~_LANE  # the top bit of every lane that differs
-    equal = BANDS * ROWS - np.bitwise_count(unequal).sum(axis=-1, dtype=np.int64)
-    return (equal / (BANDS * ROWS) - 1 / 256) / (1 - 1 / 256)
+    equal = LANES - np.bitwise_count((x | x >> np.uint64(1)) & _ODD_BITS).sum(axis=-1, dtype=np.int64)
+    return (equal / LANES - 1 / 4) / (3 / 4)
+
+
+def least_estimate(percent: int) -> float:
+    p = 1 / 4 + 3 / 4 * percent / 100
+    return percent / 100 - MARGIN * (p * (1 - p) / LANES) ** 0.5 / (3 / 4)
 
 
 def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), BANDS * ROWS)
+    """Rows of a binary column of equal lengths as uint8."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
 
 
 def _pruner(least: float):
-    """mapInArrow body over (a, b, signature of a, of b): pairs estimated at ``least`` or more."""
+    """mapInArrow body over (a, b, fine signature of a, of b): pairs estimated at ``least`` or more."""
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                sure = estimate(lanes(_matrix(batch.column(2))), lanes(_matrix(batch.column(3)))) >= least
+                sure = estimate(_matrix(batch.column(2)).view(np.uint64), _matrix(batch.column(3)).view(np.uint64)) >= least
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(sure))
     return run
 
 
-def _cell_pairs(rep, root, size, signature, band: int, least: float, percent: int):
-    """Pairs of one cell whose roots differ, that may be similar, and that meet in no earlier band."""
+def _cell_pairs(rep, root, size, signature, fine, band: int, least: float, percent: int, nearest: bool):
+    """Pairs of one cell whose roots differ and that may be similar: for each class the nearest one,
+    or all pairs, those only that meet in no earlier band."""
     names, at, counts = np.unique(root, return_inverse=True, return_counts=True)
     if len(names) < 2:
         return
-    packed = lanes(signature)
-    for i in np.flatnonzero(at != counts.argmax()):
-        # the largest component's classes are met from the other side; others from the smaller id
-        other = (root != root[i]) & ((at == counts.argmax()) | (rep > rep[i]))
+    main = at == counts.argmax()
+    for i in np.flatnonzero(~main):
+        # the largest component's classes are met from the other side; other pairs once
+        other = (root != root[i]) & (main | (rep > rep[i]) | nearest)
         other &= (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
         other = np.flatnonzero(other)
-        other = other[estimate(packed[i], packed[other]) >= least]
-        if len(other):
+        close = estimate(fine[i], fine[other])
+        if nearest:
+            other = other[close.argmax():][:1] if len(other) and close.max() >= least else other[:0]
+        else:
+            other = other[close >= least]
             meets = (signature[i].reshape(BANDS, ROWS) == signature[other].reshape(-1, BANDS, ROWS)).all(axis=2)
-            other = other[meets.argmax(axis=1) == band]
+            other = other[meets.argmax(axis=1) == band] if len(other) else other
+        if len(other):
             yield np.minimum(rep[i], rep[other]), np.maximum(rep[i], rep[other])
 
 
-def _cells(least: float, percent: int):
-    """mapInArrow body over rows sorted by (band, cell): all candidate pairs of every cell."""
+def _cells(least: float, percent: int, nearest: bool):
+    """mapInArrow body over rows sorted by (band, cell): the candidate pairs of every cell."""
     def run(batches):
         held = None
         for batch in _with_end(batches):
@@ -186,10 +210,12 @@ def _cells(least: float, percent: int):
                 continue
             rep, root, size = (held[c].to_numpy() for c in ("rep", "root", "n"))
             signature = _matrix(held["signature"].slice(0, edges[-1]))
+            fine = _matrix(held["fine"].slice(0, edges[-1])).view(np.uint64)
             found = [pair for a, b in zip(edges[:-1], edges[1:]) if b - a > 1
-                     for pair in _cell_pairs(rep[a:b], root[a:b], size[a:b], signature[a:b], int(band[a]) & 255, least, percent)]
+                     for pair in _cell_pairs(rep[a:b], root[a:b], size[a:b], signature[a:b], fine[a:b], int(band[a]) & 255, least, percent, nearest)]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[0] for p in found])), pa.array(np.concatenate([p[1] for p in found]))], names=["a", "b"])
+                pairs = np.unique(np.stack([np.concatenate([p[0] for p in found]), np.concatenate([p[1] for p in found])]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
             held = held.slice(edges[-1]).combine_chunks()
     return run
 
@@ -228,7 +254,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     """(id, n_shingles, component_id, kept) per row of docs: documents of similarity percent / 100
     or more are linked; a component is named by its smallest id, whose document is kept."""
     spark = docs.sparkSession
-    least = percent / 100 - PRUNE_BELOW
+    least = least_estimate(percent)
     own, distinct = keyed(docs, id_col, text_col)
     sketches = stored(distinct.select(KEY, "text").mapInArrow(_sketcher(shingle), SKETCH))
     classes = sketches.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min(KEY).alias("rep"))
@@ -236,33 +262,34 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     in_bands = reps.select("rep", F.explode("bands").alias("band"))
     size = in_bands.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1")
     crowded = stored(in_bands.join(size, "band"))
-    candidates = stored(reps.select("rep", "n", "signature").join(crowded.select("rep").distinct(), "rep"))
-    sets = stored(distinct.select(F.col(KEY).alias("rep"), "text").join(candidates.select("rep"), "rep").mapInArrow(_set_reader(shingle), "rep bigint, shingles array<bigint>"))
+    members = crowded.select("rep").distinct()
+    texts = sieved(distinct.select(KEY, "text"), members.select(F.col("rep").alias(KEY)))[0].join(members.select(F.col("rep").alias(KEY)), KEY)
+    sets = stored(texts.mapInArrow(_set_reader(shingle), "rep bigint, shingles array<bigint>, fine binary"))
+    candidates = stored(reps.select("rep", "n", "signature").join(sets.select("rep", "fine"), "rep"))
 
     # 1. stars
     star = crowded.withColumn("turn", F.xxhash64("rep"))
     hub = star.groupBy("band").agg(F.min("turn").alias("turn")).join(star, ["band", "turn"]).groupBy("band").agg(F.min("rep").alias("hub"))
     spokes = (star.join(hub, "band").filter("rep != hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-    sign = candidates.select("rep", "signature")
-    likely = (spokes.join(sign.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a")
-              .join(sign.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b")
-              .select("a", "b", "sa", "sb").mapInArrow(_pruner(least), "a bigint, b bigint"))
-    links = stored(confirmed(likely, sets, percent))
-    roots = components(links)
-
-    # 2. pairs across components
-    rooted = candidates.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    apart = crowded.join(rooted.select("rep", "root"), "rep")
-    mixed = apart.groupBy("band").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band", "m")
-    blocks = F.ceil(F.col("m") / BLOCK)
-    rows = (apart.drop("m").join(mixed, "band").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-            .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-            .withColumn("cell", F.least("block", "with") * F.col("blocks") + F.greatest("block", "with"))
-            .select("band", "cell", "rep", "root").join(candidates, "rep").select("band", "cell", "rep", "root", "n", "signature"))
-    cells = rows.repartition(partitions(spark), "band", "cell").sortWithinPartitions("band", "cell")
-    rest = stored(cells.mapInArrow(_cells(least, percent), "a bigint, b bigint").distinct())
-    more = confirmed(rest, sets, percent)
-    roots = components(stored(more.unionByName(roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))))
+    sign = candidates.select("rep", "fine")
+    likely = (spokes.join(sign.select(F.col("rep").alias("a"), F.col("fine").alias("fa")), "a")
+              .join(sign.select(F.col("rep").alias("b"), F.col("fine").alias("fb")), "b")
+              .select("a", "b", "fa", "fb").mapInArrow(_pruner(least), "a bigint, b bigint"))
+    roots = components(confirmed(likely, sets, percent))
+
+    # 2. and 3. pairs across components
+    for nearest in (True, False):
+        rooted = candidates.select("rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("root"))
+        apart = crowded.join(rooted, "rep")
+        mixed = apart.groupBy("band").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band", "m")
+        rows = (apart.drop("m").join(mixed, "band").withColumn("blocks", F.ceil(F.col("m") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+                .withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+                .withColumn("cell", F.least("block", "with") * F.col("blocks") + F.greatest("block", "with"))
+                .select("band", "cell", "rep", "root").join(candidates, "rep").select("band", "cell", "rep", "root", "n", "signature", "fine"))
+        cells = rows.repartition(partitions(spark), "band", "cell").sortWithinPartitions("band", "cell")
+        pairs = cells.mapInArrow(_cells(least, percent, nearest), "a bigint, b bigint").distinct()
+        known = roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(confirmed(pairs, sets, percent).unionByName(known))
 
     # back to the documents
     named = (sketches.select(KEY, "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")

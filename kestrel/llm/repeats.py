@@ -392,12 +392,12 @@ def spans_list(found: DataFrame) -> DataFrame:
     return found.groupBy(KEY).agg(F.collect_list("spans").alias("spans"))
 
 
-def with_spans(own: DataFrame, spans: DataFrame) -> DataFrame:
-    """(id, text, spans) of every row: only documents that may have spans are shuffled to meet them."""
+def with_spans(own: DataFrame, spans: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """(id, text, spans, and the columns ``keep``) of every row: only documents that may have spans are shuffled to meet them."""
     spans = stored(spans)
     some, none = sieved(own, spans)
-    return some.join(spans, KEY, "left").select("id", "text", "spans").unionByName(
-        none.select("id", "text", F.lit(None).cast("array<binary>").alias("spans")))
+    return some.join(spans, KEY, "left").select("id", "text", "spans", *keep).unionByName(
+        none.select("id", "text", F.lit(None).cast("array<binary>").alias("spans"), *keep))
 
 
 def covered(lists: list[bytes] | None, n: int, window: int) -> np.ndarray:

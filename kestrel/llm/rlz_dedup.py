@@ -37,13 +37,14 @@ def word_symbols(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS,
-          k: int = ANCHOR_WORDS, single_spaces: bool = True) -> DataFrame:
-    """(id, kept, n_words, n_removed, n_factors) per row of docs. ``kept`` holds the words outside
+          k: int = ANCHOR_WORDS, single_spaces: bool = True, keep: list[str] = ()) -> DataFrame:
+    """(id, kept, n_words, n_removed, n_factors) per row of docs, and the columns ``keep`` of it. ``kept`` holds the words outside
     duplicate spans: joined by one space, or with ``single_spaces=False`` each followed by the white
     space that stood after it. ``n_factors`` counts the duplicate factors of the parse."""
-    own, distinct = keyed(docs, id_col, text_col)
+    own, distinct = keyed(docs, id_col, text_col, keep)
     spans = rp.repeated_spans(distinct, word_symbols, window, k)
-    return rp.with_spans(own, spans).mapInArrow(_cutter(window, single_spaces), PARSED)
+    extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) if keep else ""
+    return rp.with_spans(own, spans, keep).mapInArrow(_cutter(window, single_spaces), PARSED + extra)
 
 
 def factors(lists: list[bytes] | None) -> np.ndarray:
@@ -65,8 +66,8 @@ def _cutter(window: int, single_spaces: bool):
             dropped = np.append(0, np.cumsum(drop))[words.first]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), texts.cast(pa.string()), pa.array(np.diff(words.first)), pa.array(np.diff(dropped)),
-                 pa.array([len(factors(x)) for x in lists], pa.int64())],
-                names=["id", "kept", "n_words", "n_removed", "n_factors"])
+                 pa.array([len(factors(x)) for x in lists], pa.int64()), *batch.columns[3:]],
+                names=["id", "kept", "n_words", "n_removed", "n_factors", *batch.schema.names[3:]])
     return run
 
 
