@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 
 def _math():
     import math
+    LARGE_DF = 1e7
 
     def betacf(a, b, x):
-        tiny, eps = 1e-300, 3e-16
+        tiny, eps = 1e-300, 1e-15
         qab, qap, qam = a + b, a + 1.0, a - 1.0
         c, d = 1.0, 1.0 - qab * x / qap
         d = 1.0 / (tiny if abs(d) < tiny else d)
         h = d
-        for m in range(1, 400):
+        for m in range(1, 100_000):
             m2 = 2 * m
             for aa in (m * (b - m) * x / ((qam + m2) * (a + m2)),
                        -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))):
@@ -32,8 +33,8 @@ def _math():
                 c = tiny if abs(c) < tiny else c
                 h *= d * c
             if abs(d * c - 1.0) < eps:
-                break
-        return h
+                return h
+        return float("nan")  # not converged: no value rather than a wrong one
 
     def betainc(a, b, x):
         """Regularised incomplete beta I_x(a, b)."""
@@ -48,6 +49,35 @@ def _math():
             return math.exp(lbt) * betacf(a, b, x) / a
         return 1.0 - math.exp(lbt) * betacf(b, a, 1.0 - x) / b
 
+    def gamma_q(a, x):
+        """Regularised upper incomplete gamma Q(a, x)."""
+        if x <= 0.0:
+            return 1.0
+        scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+        if x < a + 1.0:  # series of the lower part
+            term = total = 1.0 / a
+            n = a
+            while abs(term) > abs(total) * 1e-16:
+                n += 1.0
+                term *= x / n
+                total += term
+            return 1.0 - total * scale
+        tiny = 1e-300
+        b = x + 1.0 - a
+        c, d = 1.0 / tiny, 1.0 / b
+        h = d
+        for i in range(1, 100_000):
+            step = -i * (i - a)
+            b += 2.0
+            d = step * d + b
+            d = 1.0 / (tiny if abs(d) < tiny else d)
+            c = b + step / c
+            c = tiny if abs(c) < tiny else c
+            h *= d * c
+            if abs(d * c - 1.0) < 1e-15:
+                return scale * h
+        return float("nan")
+
     def f_sf(f, d1, d2):
         """P(F > f) for F(d1, d2)."""
         if f is None or math.isnan(f) or d1 <= 0 or d2 <= 0:
@@ -56,6 +86,8 @@ def _math():
             return 0.0
         if f <= 0:
             return 1.0
+        if d2 > LARGE_DF:  # d1 F is then chi-squared with d1 degrees of freedom, to 1 part in d2
+            return gamma_q(d1 / 2.0, d1 * f / 2.0)
         return betainc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
     def t_two_sided(t, df):
@@ -64,6 +96,8 @@ def _math():
             return float("nan")
         if math.isinf(t):
             return 0.0
+        if df > LARGE_DF:  # normal, to 1 part in df
+            return math.erfc(abs(t) / math.sqrt(2.0))
         return betainc(df / 2.0, 0.5, df / (df + t * t))
 
     return betainc, f_sf, t_two_sided
@@ -76,8 +110,8 @@ def _f_udf():
     _, fsf, _ = _math()
 
     def f_pvalue(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-        return pd.Series([fsf(a, b, c) if pd.notna(a) and pd.notna(b) and pd.notna(c) else None
-                          for a, b, c in zip(f, d1, d2)], dtype="float64")
+        out = [fsf(a, b, c) if pd.notna(a) and pd.notna(b) and pd.notna(c) else None for a, b, c in zip(f, d1, d2)]
+        return pd.Series([None if v is None or v != v else v for v in out], dtype="float64")
     return F.pandas_udf(f_pvalue, "double")
 
 
@@ -85,8 +119,8 @@ def _t_udf():
     _, _, tts = _math()
 
     def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
-        return pd.Series([tts(a, b) if pd.notna(a) and pd.notna(b) else None
-                          for a, b in zip(t, df)], dtype="float64")
+        out = [tts(a, b) if pd.notna(a) and pd.notna(b) else None for a, b in zip(t, df)]
+        return pd.Series([None if v is None or v != v else v for v in out], dtype="float64")
     return F.pandas_udf(t_pvalue, "double")
 
 

@@ -4,13 +4,13 @@ All steps are Column expressions, grouped aggregates or entity-partitioned windo
 
 Scale notes
 -----------
-* Keep-last deduplication is a grouped ``max_by`` (partial aggregation map-side), not a
+* Keep-last deduplication is a grouped ``max_by`` (reduced per task before the exchange), not a
   ``row_number`` window: a key holding a third of all rows is combined before the
   exchange instead of being sorted inside one task.
 * Interpolation needs the neighbours on both sides; the "next known value" is taken
   from a descending-ordered window with a growing frame (linear), never from an
   ``UNBOUNDED FOLLOWING`` frame (quadratic per partition).
-* The profile is a handful of single-row aggregates combined by key, no cross join.
+* A source's profile and its cleaned rows come from one scan (see ``clean_dataset``).
 """
 
 from __future__ import annotations
@@ -20,10 +20,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NumericType
 
 from kestrel import spec as S
 from kestrel.functions.text import coerce_numeric, normalize_name, standardize_columns
-from kestrel.session import cut_lineage
 
 
 def _c(c):
@@ -50,11 +50,17 @@ def with_default_dims(df: DataFrame, defaults: dict) -> DataFrame:
 
 
 def typed_key(c: Column | str, dtype=None) -> Column:
-    """Coerce a key to bigint; a non-integral value raises instead of truncating."""
+    """Coerce a key to bigint; a non-integral value raises instead of truncating. Integral types
+    and integral text never pass through a double, which would alter keys above 2**53."""
+    if isinstance(dtype, IntegralType):
+        return _c(c).cast("bigint")
     v = coerce_numeric(_c(c), dtype)
     bad = v.isNotNull() & (v != F.floor(v))
-    return F.when(bad, F.raise_error(F.concat(F.lit("non-integer key value: "), v.cast("string")))) \
-        .otherwise(v).cast("bigint")
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("non-integer key value: "), v.cast("string")))).otherwise(v).cast("bigint")
+    if isinstance(dtype, NumericType):
+        return checked
+    text = F.trim(_c(c).cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(checked)
 
 
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -89,27 +95,18 @@ def exact_dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def duplicate_stats(df: DataFrame, keys: list[str], by_key: DataFrame | None = None) -> DataFrame:
+def duplicate_stats(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows, exact duplicate rows, rows in duplicated key groups (all members),
     surplus rows per key (all but the first), distinct keys.
 
-    Identical rows share their key, so exact duplicates are looked for only among rows
-    of duplicated keys (a semi join on the usually tiny set of such keys): the wide
-    all-column aggregate never runs over the whole input. ``by_key`` may pass in an
-    existing per-key count (column ``__n``) to reuse its shuffle."""
-    if by_key is None:
-        by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    keyed = by_key.agg(F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n")).otherwise(0)), F.lit(0)).alias("duplicate_key_rows"),
-                       F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_key_surplus"),
-                       F.count(F.lit(1)).alias("distinct_keys"),
-                       F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"))
-    if set(keys) == set(df.columns):
-        exact = keyed.select(F.col("duplicate_key_surplus").alias("exact_duplicate_rows"))
-        return combine_single_rows([keyed, exact])
-    candidates = df.join(by_key.where(F.col("__n") > 1).select(*keys), keys, "left_semi")
-    exact = (candidates.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-             .agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("exact_duplicate_rows")))
-    return combine_single_rows([keyed, exact])
+    One scan: equal rows are counted first (with partial counts before the shuffle, so a row that
+    is repeated very often arrives once per task), the distinct rows are then summed per key."""
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__c"))
+    by_key = rows.groupBy(*keys).agg(F.sum("__c").alias("__n"), F.sum(F.col("__c") - 1).alias("__again"))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return by_key.agg(zero(F.when(F.col("__n") > 1, F.col("__n")).otherwise(0)).alias("duplicate_key_rows"),
+                      zero(F.col("__n") - 1).alias("duplicate_key_surplus"), F.count(F.lit(1)).alias("distinct_keys"),
+                      zero(F.col("__n")).alias("rows"), zero(F.col("__again")).alias("exact_duplicate_rows"))
 
 
 def combine_single_rows(frames: list[DataFrame]) -> DataFrame:
@@ -120,31 +117,30 @@ def combine_single_rows(frames: list[DataFrame]) -> DataFrame:
     return stacked.groupBy("__one").agg(*[F.max(c).alias(c) for c in value_cols]).drop("__one")
 
 
-def keep_last_counted(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Per key: the row count ``__n`` and the kept row ``__row`` (see :func:`keep_last`),
-    from one grouped aggregate, so duplicate counting and dedup share one shuffle."""
-    rest = [c for c in df.columns if c not in keys]
+def last_row(rest: list[str], order: list[str], when: Column | None = None) -> Column:
+    """Aggregate: the last row of a group under ``order`` ascending, nulls sorted last (so a null
+    in the first order column wins); the remaining columns break ties. ``when`` limits the rows."""
     tie = [c for c in rest if c not in order]
-    ordering = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"{c}__null"), F.col(c))],
-                        *[F.col(c) for c in tie])
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                 F.max_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("__row"))
+    ordering = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"{c}__null"), F.col(c))], *[F.col(c) for c in tie])
+    row = F.struct(*[F.col(c) for c in rest])
+    # max_by over a struct is no hash aggregate: each task sorts its rows by key, but hot keys are
+    # still reduced to one row before the shuffle. Sorting once after the exchange instead would
+    # carry every repeated row through it.
+    return F.max_by(row, ordering if when is None else F.when(when, ordering))
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the last row under ``order`` ascending, nulls sorted last
-    (so a null in the first order column wins). Remaining columns break ties.
-
-    Implemented as a grouped ``max_by`` with a struct ordering: partial aggregation
-    collapses hot keys before the shuffle.
-    """
+    """One row per key: the last row under ``order`` (see :func:`last_row`). ``order`` is required:
+    without an id pass an ingest ordinal (``sources.files.with_ingest_order``)."""
+    if not order:
+        raise ValueError("keep_last needs an order: an id column or an ingest ordinal")
     rest = [c for c in df.columns if c not in keys]
-    picked = keep_last_counted(df, keys, order)
+    picked = df.groupBy(*keys).agg(last_row(rest, order).alias("__row"))
     return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
 # ------------------------------------------------------------------ interpolation
-def interpolate_linear(df: DataFrame, entity: str, order: list[str], value: str,
+def interpolate_linear(df: DataFrame, entity: str | list[str], order: list[str], value: str,
                        out: str | None = None) -> DataFrame:
     """Interior linear interpolation by row position within each entity.
 
@@ -152,8 +148,9 @@ def interpolate_linear(df: DataFrame, entity: str, order: list[str], value: str,
     null. Position, not the order value, is the x-axis.
     """
     out = out or value
-    asc = Window.partitionBy(entity).orderBy(*[F.col(c) for c in order])
-    desc = Window.partitionBy(entity).orderBy(*[F.col(c).desc() for c in order])
+    groups = [entity] if isinstance(entity, str) else entity
+    asc = Window.partitionBy(*groups).orderBy(*[F.col(c) for c in order])
+    desc = Window.partitionBy(*groups).orderBy(*[F.col(c).desc() for c in order])
     before = asc.rowsBetween(Window.unboundedPreceding, -1)
     after = desc.rowsBetween(Window.unboundedPreceding, -1)
     known_pos = F.when(F.col(value).isNotNull(), F.col("__pos"))
@@ -181,6 +178,7 @@ class DatasetSpec:
     period: str
     entity_name: str | None = None
     id_col: str | None = None
+    order_col: str | None = None       # ingest ordinal, for sources without an id: the last row wins
     zero_is_missing: bool = True
     dims: tuple[str, ...] = ()
     dim_filter: tuple[str, object] | None = None
@@ -190,26 +188,31 @@ class DatasetSpec:
     extra_cols: tuple[str, ...] = ()   # kept for the profile only (e.g. a unit column)
 
 
-def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame]:
     """Scrub one metric source. Returns (cleaned rows, one-row quality profile), both lazy.
 
-    Order of steps: standardise names → required columns → defaults → subset → typing
-    → drop null keys → dimension filter → exact dedup → keep-last per key →
-    zero-as-missing → interpolation → imputed flag.
+    Order of steps: standardise names -> required columns -> defaults -> subset -> typing
+    -> drop null keys -> dimension filter -> exact dedup -> keep-last per key ->
+    zero-as-missing -> interpolation -> imputed flag.
 
-    The profile needs the typed source several times (raw counters, duplicate counts,
-    the dedup path). With ``materialize`` the projected source (raw and typed columns
-    side by side) is checkpointed once, so the raw table is scanned a single time.
+    All of it is one flow over one scan, and the profile's counters travel with it: equal rows are
+    counted first (partial counts before the shuffle), then summed and reduced to the kept row per
+    key, then the entity windows run, and a final aggregate adds the counters up. Rows with null
+    keys or another dimension stay in the flow as groups without a kept row.
     """
     df = standardize_columns(raw)
     keys = [ds.entity, ds.period]
     require_columns(df, keys + [ds.metric] + ([ds.entity_name] if ds.entity_name else []), ds.name)
     if ds.defaults:
         df = with_default_dims(df, dict(ds.defaults))
+    order = [c for c in (ds.id_col, ds.order_col) if c and c in df.columns]
+    if not order:
+        raise ValueError(f"{ds.name}: an id column or an ingest ordinal must order repeated keys")
     keep = list(dict.fromkeys([*ds.dims, *keys, *([ds.entity_name] if ds.entity_name else []),
                                *([ds.id_col] if ds.id_col and ds.id_col in df.columns else []),
                                *[c for c in ds.extra_cols if c in df.columns], ds.metric]))
-    df = df.select(*keep)
+    ordinal = [c for c in order if c not in keep]
+    df = df.select(*keep, *ordinal)
     dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
 
     defaults = dict(ds.defaults)
@@ -222,51 +225,47 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec, materialize: bool = False) ->
         ds.metric: coerce_numeric(ds.metric, dtypes[ds.metric]),
         **({ds.entity_name: normalize_name(ds.entity_name)} if ds.entity_name else {}),
     }
-    staged = df.select(*[F.col(c).alias(f"__raw_{c}") for c in keep],
-                       *[typed_cols.get(c, F.col(c)).alias(c) for c in keep])
-    if materialize:
-        staged = cut_lineage(staged)
-    raw_stats = staged.agg(F.count(F.lit(1)).alias("rows_raw"),
-                           null_cells([f"__raw_{c}" for c in keep]).alias("missing_values_before"),
-                           count_null_keys(keys).alias("rows_dropped_missing_keys"))
-    typed = staged.select(*keep)
-    kept = drop_null_keys(typed, keys)
+    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in keep])
+    typed = df.select(*[typed_cols.get(c, F.col(c)).alias(c) for c in keep], *ordinal, nulls.alias("__nulls"))
+
+    # 1. equal rows, 2. keys
+    counted = typed.groupBy(*keep).agg(F.count(F.lit(1)).alias("__c"), F.sum("__nulls").alias("__nulls"), *[F.max(c).alias(c) for c in ordinal])
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    usable = has_key
     if ds.dim_filter:
-        kept = dimension_filter(kept, *ds.dim_filter)
-    order = [ds.id_col] if ds.id_col and ds.id_col in kept.columns else []
-    # One grouped aggregate per key gives both the duplicate counts and the kept row.
-    # Exact duplicates are identical, so keep-last on the key already removes them; a
-    # separate all-column dedup pass would not change the result.
-    grouped = keep_last_counted(kept, keys, order)
-    dups = duplicate_stats(kept, keys, grouped.select(*keys, "__n")).select("exact_duplicate_rows",
-                                                                            "duplicate_key_rows")
-    rest = [c for c in kept.columns if c not in keys]
-    deduped = grouped.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*kept.columns)
+        name, value = ds.dim_filter
+        usable = usable & (F.col(name).isNull() | (F.col(name) == F.lit(value)))
+    rest = [c for c in keep if c not in keys]
+    grouped = counted.withColumn("__ok", usable).groupBy(*keys).agg(
+        F.sum("__c").alias("__rows"), F.sum("__nulls").alias("__nulls"), F.sum(F.when(F.col("__ok"), F.col("__c")).otherwise(0)).alias("__n"),
+        F.sum(F.when(F.col("__ok"), F.col("__c") - 1).otherwise(0)).alias("__again"),
+        last_row(rest + ordinal, order, F.col("__ok")).alias("__row"))
+    flow = grouped.select(*keys, "__rows", "__nulls", "__n", "__again", (F.col("__n") > 0).alias("__kept"),
+                          *[F.col(f"__row.{c}").alias(c) for c in rest])
+
+    # 3. windows over the kept rows of an entity (the others form groups of their own)
     flag = f"{ds.metric}_was_imputed"
-    zeros = deduped.agg(count_zeros(ds.metric).alias("invalid_zero_values"))
+    flow = flow.withColumn("__zero", F.coalesce(F.col("__kept") & (F.col(ds.metric) == 0), F.lit(False)) & F.lit(ds.zero_is_missing))
     if ds.zero_is_missing:
-        deduped = zero_to_missing(deduped, ds.metric)
-    else:
-        zeros = zeros.select(F.lit(0).cast("bigint").alias("invalid_zero_values"))
-    flagged = deduped.withColumn(flag, F.col(ds.metric).isNull())
-    filled = interpolate_linear(flagged, ds.entity, [ds.period], ds.metric)
-    filled = filled.withColumn(flag, F.col(flag) & F.col(ds.metric).isNotNull())
-
-    out_cols = [c for c in [*ds.dims, *keys, *([ds.entity_name] if ds.entity_name else []), ds.metric, flag]
-                if c in filled.columns]
-    out_cols = list(dict.fromkeys(out_cols))
-    cleaned = filled.select(*out_cols)
-    profile_cols = [c for c in filled.columns]
-    after = filled.agg(
-        F.count(F.lit(1)).alias("rows_clean"),
-        null_cells(profile_cols).alias("missing_values_after"),
-        F.count_if(F.col(flag) | F.col(ds.metric).isNull()).alias("missing_metric_before_impute"),
-        F.count_if(F.col(flag)).alias("imputed_values"),
-    )
-    profile = combine_single_rows([raw_stats, dups, zeros, after])
-    profile = profile.select(
-        F.lit(ds.name).alias("logical_name"), F.lit(ds.metric).alias("metric"),
-        *[F.col(c).cast("bigint").alias(c) for c in PROFILE_COUNTERS])
+        flow = zero_to_missing(flow, ds.metric)
+    flow = flow.withColumn(flag, F.col(ds.metric).isNull())
+    flow = interpolate_linear(flow, [ds.entity, "__kept"], [ds.period], ds.metric)
+    flow = flow.withColumn(flag, F.col(flag) & F.col(ds.metric).isNotNull())
+
+    out_cols = [c for c in [*ds.dims, *keys, *([ds.entity_name] if ds.entity_name else []), ds.metric, flag] if c in flow.columns]
+    cleaned = flow.where("__kept").select(*dict.fromkeys(out_cols))
+    add = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    kept = F.col("__kept")
+    nulls_after = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in [*keep, flag]])
+    profile = flow.agg(
+        add(F.col("__rows")).alias("rows_raw"), F.count_if(kept).alias("rows_clean"), add(F.col("__nulls")).alias("missing_values_before"),
+        add(F.when(kept, nulls_after)).alias("missing_values_after"),
+        F.count_if(kept & (F.col(flag) | F.col(ds.metric).isNull())).alias("missing_metric_before_impute"),
+        F.count_if(kept & F.col(flag)).alias("imputed_values"), F.count_if(F.col("__zero")).alias("invalid_zero_values"),
+        add(F.when(has_key, 0).otherwise(F.col("__rows"))).alias("rows_dropped_missing_keys"),
+        add(F.when(F.col("__n") > 1, F.col("__n")).otherwise(0)).alias("duplicate_key_rows"), add(F.col("__again")).alias("exact_duplicate_rows"))
+    profile = profile.select(F.lit(ds.name).alias("logical_name"), F.lit(ds.metric).alias("metric"),
+                             *[F.col(c).cast("bigint").alias(c) for c in PROFILE_COUNTERS])
     return cleaned, profile
 
 

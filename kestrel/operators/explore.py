@@ -135,16 +135,18 @@ def change_extremes(changes: DataFrame, key: str, change: str = "change", limit:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 12) -> DataFrame:
-    """Equal-width bins between min and max; the maximum lands in the last bin."""
-    stats = df.agg(F.min(col).alias("__lo"), F.max(col).alias("__hi")).withColumn("__one", F.lit(1))
+    """``bins`` equal-width bins between min and max, empty ones included; the maximum lands in the
+    last bin. Constant data spans a unit interval around its value. No values: no bins."""
+    stats = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).where("lo is not null")
+    flat = F.col("lo") == F.col("hi")
+    stats = stats.select(F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("__lo"),
+                         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("__hi"), F.lit(1).alias("__one"))
     x = df.select(col).where(F.col(col).isNotNull()).withColumn("__one", F.lit(1))
     joined = join_small(x, stats, "__one", "inner", bound=1)
+    bin_of = F.least(F.floor((F.col(col) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins) + 1, F.lit(bins))
+    counted = joined.groupBy(bin_of.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    every = stats.select("__lo", "__hi", F.explode(F.sequence(F.lit(1), F.lit(bins)).cast("array<bigint>")).alias("bin"))
     width = F.col("__hi") - F.col("__lo")
-    b = F.when(width == 0, F.lit(1)).otherwise(
-        F.least(F.floor((F.col(col) - F.col("__lo")) / width * bins) + 1, F.lit(bins)))
-    binned = joined.select(b.cast("bigint").alias("bin"), "__lo", "__hi")
-    counted = binned.groupBy("bin", "__lo", "__hi").agg(F.count(F.lit(1)).alias("count"))
-    return counted.select(
-        "bin", "count",
-        (F.col("__lo") + (F.col("bin") - 1) * (F.col("__hi") - F.col("__lo")) / bins).alias("lower"),
-        (F.col("__lo") + F.col("bin") * (F.col("__hi") - F.col("__lo")) / bins).alias("upper"))
+    return every.join(counted, "bin", "left").select(
+        "bin", F.coalesce("count", F.lit(0)).alias("count"),
+        (F.col("__lo") + (F.col("bin") - 1) * width / bins).alias("lower"), (F.col("__lo") + F.col("bin") * width / bins).alias("upper"))

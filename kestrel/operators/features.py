@@ -83,7 +83,7 @@ def add_zscores(df: DataFrame, spec: PanelSpec, metrics: list[str] | None = None
     if metrics is None:
         metrics = [m.name for m in (spec.risk_metrics if risk_oriented else spec.metrics)]
     stats = period_stats(df, spec, metrics)
-    out = join_small(df, stats, [spec.period], "left", bound=spec.period_bound())
+    out = df.join(stats, [spec.period], "left")  # one row per period: broadcast by its size at run time
     cols = {}
     for m in metrics:
         z = zscore_expr(m)
@@ -171,9 +171,9 @@ def add_features(panel: DataFrame, spec: PanelSpec, rank_strategy: str = "distin
     """All panel features in dependency order (mirrors the scrub stage's feature step).
 
     The feature plan reads the panel more than once (per-period statistics, ranks), so
-    with ``materialize`` the panel is checkpointed to the shared checkpoint folder and the
-    upstream work runs once. (A checkpoint does not keep a hash partitioning, so no
-    repartition is done before it: the entity windows shuffle once either way.)
+    with ``materialize`` the panel is written once to the shared folder and the upstream work
+    runs once. (A file hand-off does not keep a hash partitioning, so no repartition is done
+    before it: the entity windows shuffle once either way.)
     """
     if materialize:
         panel = cut_lineage(panel)

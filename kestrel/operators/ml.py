@@ -30,6 +30,9 @@ from kestrel.session import cut_lineage
 SEEDS = tuple(42 + 1000 * i for i in range(10))
 
 
+MAX_CLUSTERS = 10_000  # labels beyond that raise: quality measures compare every point with every cluster
+
+
 def _one(df: DataFrame) -> DataFrame:
     return df.withColumn("__one", F.lit(1))
 
@@ -79,7 +82,10 @@ def _dot(a: Column, b: Column) -> Column:
     return _sum(F.zip_with(a, b, lambda p, q: p * q))
 
 
-def _points(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
+def _points(frame: DataFrame, features: list[str] | str, cluster: str) -> DataFrame:
+    """(cluster, __v): the feature columns as one array, or the array column of that name."""
+    if isinstance(features, str):
+        return frame.select(F.col(cluster), F.col(features).cast("array<double>").alias("__v"))
     return frame.select(F.col(cluster), F.array(*[F.col(f).cast("double") for f in features]).alias("__v"))
 
 
@@ -94,7 +100,7 @@ def centroids(points: DataFrame, cluster: str) -> DataFrame:
 
 
 def _with_centroid(points: DataFrame, c: DataFrame, cluster: str) -> DataFrame:
-    return join_small(points, c, cluster, "inner", bound=10_000)
+    return points.join(c, cluster)  # broadcast by its size at run time
 
 
 def inertia(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
@@ -113,13 +119,16 @@ def calinski_harabasz(frame: DataFrame, features: list[str], cluster: str) -> Da
     ssb = cg.agg(F.sum(F.col("__n") * _sqdist(F.col("__c"), F.col("__g"))).alias("ssb"), F.count(F.lit(1)).alias("k"))
     both = join_small(_one(ssw), _one(ssb), "__one", "inner", bound=1)
     ch = F.when(F.col("ssw") == 0, F.lit(1.0)).otherwise(
-        F.col("ssb") * (F.col("n") - F.col("k")) / (F.col("ssw") * (F.col("k") - 1)))
+        F.try_divide(F.col("ssb") * (F.col("n") - F.col("k")), F.col("ssw") * (F.col("k") - 1)))  # one cluster: null
     return both.select(ch.alias("calinski_harabasz"))
 
 
 def _packed(c: DataFrame, cluster: str, extra: list[str]) -> DataFrame:
     item = F.struct(F.col(cluster).alias("id"), F.col("__c").alias("c"), *[F.col(x).alias(x) for x in extra])
-    return c.agg(F.collect_list(item).alias("__all"))  # k elements
+    packed = c.agg(F.collect_list(item).alias("__all"), F.count(F.lit(1)).alias("__k"))
+    # every point is compared with every cluster: k is a model's, never a data column's cardinality
+    return packed.select(F.when(F.col("__k") <= MAX_CLUSTERS, F.col("__all")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CLUSTERS} clusters: the labels are no clustering"))).alias("__all"))
 
 
 def davies_bouldin(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
@@ -153,7 +162,7 @@ def silhouette_sq(frame: DataFrame, features: list[str], cluster: str) -> DataFr
     a = mean_d2(own) * own["__n"] / (own["__n"] - 1)
     b = F.array_min(F.transform(others, mean_d2))
     s = F.when(own["__n"] <= 1, F.lit(0.0)).otherwise(F.try_divide(b - a, F.greatest(a, b)))
-    return j.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
+    return j.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette_sq_euclidean"))
 
 
 def quality_row(frame: DataFrame, features: list[str], cluster: str) -> DataFrame:
@@ -164,7 +173,7 @@ def quality_row(frame: DataFrame, features: list[str], cluster: str) -> DataFram
 
 # ------------------------------------------------------------------ model selection
 def prepare(frame: DataFrame, features: list[str]) -> DataFrame:
-    """Standardised feature columns + vector, checkpointed: it is reused by every fit."""
+    """Standardised feature columns + vector, written once: it is reused by every fit."""
     z = standardize(frame, features)
     return cut_lineage(assemble(z, features))
 
@@ -177,11 +186,23 @@ def select_k(vectors: DataFrame, features: list[str], k_max: int = 6, n_rows: in
     for k in range(2, min(k_max, n - 1) + 1):
         model, _ = kmeans_best(vectors, k, seeds)
         labelled = model.transform(vectors)
-        row = quality_row(labelled, features, "raw_cluster").select(F.lit(k).alias("k"), "*")
+        # the labels are written once; the four measures read them
+        row = quality_row(cut_lineage(labelled.select(*features, "raw_cluster")), features, "raw_cluster").select(F.lit(k).alias("k"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def best_k(selection: DataFrame) -> int:
+    """The k of the largest silhouette, the smallest such k on a tie (one row per k)."""
+    return selection.orderBy(F.col("silhouette_sq_euclidean").desc_nulls_last(), "k").first()["k"]
+
+
+def kmeans_auto(vectors: DataFrame, features: list[str], k: int | None = None, k_max: int = 6, seeds=SEEDS):
+    """(model, cost, k): the given k, or without one the best of :func:`select_k`."""
+    chosen = k if k is not None else best_k(select_k(vectors, features, k_max, seeds=seeds))
+    return (*kmeans_best(vectors, chosen, seeds), chosen)
+
+
 def pca_scores(vectors: DataFrame, n_components: int = 2, features: str = "features") -> DataFrame:
     """Principal-component scores; each component's sign makes its largest loading positive."""
     model = PCA(k=n_components, inputCol=features, outputCol="__pcs").fit(vectors)

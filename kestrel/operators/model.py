@@ -3,14 +3,13 @@ actions and matrix, cluster relabelling and profiles, ANOVA / eta squared, effec
 adjusted Rand index, expectation checks.
 
 Every statistic is an aggregate (or a two-level aggregate) over Spark rows; per-cluster
-tables have k rows (k <= a few dozen) and are joined back with a bounded broadcast.
-Member lists are returned as rows; a joined string is built only when the group size
-bound is known to be small (see ``member_string``).
+tables have one row per cluster and are joined back by size (the planner broadcasts them while
+they are small). Member lists are relations of their own, one row per (group, member).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.functions.numeric import round_half_even
@@ -21,9 +20,6 @@ from kestrel.functions.labels import archetype, entity_type, priority_action, sl
 from kestrel.operators.joins import join_small
 from kestrel.spec import PanelSpec
 
-MEMBER_STRING_MAX = 10_000  # entities per group for which a joined member string is built
-
-
 # ------------------------------------------------------------------ trend & frame
 def with_target_period(panel: DataFrame, spec: PanelSpec, period: int | None) -> DataFrame:
     """Attach the model period as column ``__t``: a literal, or the latest scored period
@@ -61,19 +57,11 @@ def model_frame(panel: DataFrame, spec: PanelSpec, period: int | None, features:
 
 
 # ------------------------------------------------------------------ tertiles & priority
-def tertile_edges(frame: DataFrame, col: str, probs=(1 / 3, 2 / 3), bounded: bool = True) -> DataFrame:
-    """One row: min, the two exact linear quantiles, max.
-
-    The score is rounded to 4 decimals, so its distinct values are bounded by its range
-    and Spark's exact ``percentile`` (a value -> count map) is safe and cheap. For an
-    unrounded column pass ``bounded=False`` to use the bracketed exact quantiles."""
-    ends = frame.agg(F.min(col).cast("double").alias("__e0"), F.max(col).cast("double").alias("__e3"))
-    if bounded:
-        q = F.percentile(F.col(col), list(probs))
-        return frame.agg(F.min(col).cast("double").alias("__e0"), q[0].alias("__e1"), q[1].alias("__e2"),
-                         F.max(col).cast("double").alias("__e3"))
+def tertile_edges(frame: DataFrame, col: str, probs=(1 / 3, 2 / 3)) -> DataFrame:
+    """One row: min, the two exact linear quantiles, max."""
     from kestrel.operators.clean import combine_single_rows
     from kestrel.operators.quantiles import quantile_row
+    ends = frame.agg(F.min(col).cast("double").alias("__e0"), F.max(col).cast("double").alias("__e3"))
     return combine_single_rows([ends, quantile_row(frame, col, list(probs), ["__e1", "__e2"])])
 
 
@@ -96,21 +84,11 @@ def add_priority_action(frame: DataFrame, level: str = "vulnerability_level", tr
     return frame.withColumn(name, priority_action(level, trend))
 
 
-def member_string(name_col: str, bound: int | None) -> Column | None:
-    """'; '-joined sorted members, only when the group size is provably bounded."""
-    if bound is None or bound > MEMBER_STRING_MAX:
-        return None
-    return F.array_join(F.array_sort(F.collect_list(name_col)), "; ")
-
-
-def priority_matrix(frame: DataFrame, name_col: str, bound: int | None, level: str = "vulnerability_level",
-                    trend: str = "trend_label", cluster: str = "cluster_id") -> DataFrame:
-    """Level x trend cells present in the data: action, size, modal cluster (smallest on tie)."""
-    aggs = [F.count(F.lit(1)).alias("n_entities"), F.mode(cluster, True).alias("dominant_cluster_id")]
-    members = member_string(name_col, bound)
-    if members is not None:
-        aggs.append(members.alias("members"))
-    cells = frame.groupBy(level, trend).agg(*aggs)
+def priority_matrix(frame: DataFrame, level: str = "vulnerability_level", trend: str = "trend_label",
+                    cluster: str = "cluster_id") -> DataFrame:
+    """Level x trend cells present in the data: action, size, modal cluster (smallest on tie).
+    The cells' members are :func:`group_members`."""
+    cells = frame.groupBy(level, trend).agg(F.count(F.lit(1)).alias("n_entities"), F.mode(cluster, True).alias("dominant_cluster_id"))
     order_level = F.array_position(F.array(*[F.lit(x) for x in S.LEVEL_ORDER]), F.col(level))
     order_trend = F.array_position(F.array(*[F.lit(x) for x in S.TREND_ORDER]), F.col(trend))
     return cells.withColumns({
@@ -133,7 +111,7 @@ def relabel_by_score(frame: DataFrame, raw: str, score: str, name: str = "cluste
     ordered = means.agg(F.array_sort(F.collect_list(key)).alias("__order")).withColumn("__one", F.lit(1))
     withpos = join_small(means.withColumn("__one", F.lit(1)), ordered, "__one", "inner", bound=1)
     ids = withpos.select(raw, (F.array_position(F.col("__order"), key) - 1).cast("int").alias(name))
-    return join_small(frame, ids, raw, "left", bound=1000)
+    return frame.join(ids, raw, "left")
 
 
 def archetype_thresholds(frame: DataFrame, dev_metric: str, trend_metric: str,
@@ -144,16 +122,13 @@ def archetype_thresholds(frame: DataFrame, dev_metric: str, trend_metric: str,
 
 
 def cluster_profiles(frame: DataFrame, k: int, profile_cols: list[str], dev_metric: str, trend_metric: str,
-                     name_col: str | None, bound: int | None, cluster: str = "cluster_id",
-                     digits: int = 4) -> DataFrame:
-    """Per cluster: size, type counts, rounded means, tier, archetype, member list."""
+                     cluster: str = "cluster_id", digits: int = 4) -> DataFrame:
+    """Per cluster: size, type counts, rounded means, tier, archetype. The clusters' members are
+    :func:`group_members`."""
     aggs = [F.count(F.lit(1)).alias("n_entities"),
             F.count_if(F.col("entity_type") == S.TYPE_CITY).alias("n_city"),
             F.count_if(F.col("entity_type") == S.TYPE_REGENCY).alias("n_regency")]
     aggs += [F.avg(c).alias(f"__m_{c}") for c in profile_cols]
-    members = member_string(name_col, bound) if name_col else None
-    if members is not None:
-        aggs.append(members.alias("members"))
     prof = frame.groupBy(cluster).agg(*aggs)
     th = archetype_thresholds(frame, dev_metric, trend_metric).withColumn("__one", F.lit(1))
     prof = join_small(prof.withColumn("__one", F.lit(1)), th, "__one", "left", bound=1)
@@ -162,12 +137,12 @@ def cluster_profiles(frame: DataFrame, k: int, profile_cols: list[str], dev_metr
     out = prof.withColumns({"tier": tier_name(cluster, k), "archetype": arche})
     out = out.withColumns({f"mean_{c}": round_half_even(F.col(f"__m_{c}"), digits) for c in profile_cols})
     keep = [cluster, "tier", "archetype", "n_entities", "n_city", "n_regency",
-            *[f"mean_{c}" for c in profile_cols]] + (["members"] if members is not None else [])
+            *[f"mean_{c}" for c in profile_cols]]
     return out.select(*keep)
 
 
 def attach_cluster_labels(frame: DataFrame, profiles: DataFrame, cluster: str = "cluster_id") -> DataFrame:
-    return join_small(frame, profiles.select(cluster, "tier", "archetype"), cluster, "left", bound=1000)
+    return frame.join(profiles.select(cluster, "tier", "archetype"), cluster, "left")
 
 
 # ------------------------------------------------------------------ statistics
@@ -193,7 +168,8 @@ def anova(frame: DataFrame, features: list[str], cluster: str = "cluster_id",
                               F.col(f"g_{f}").alias("g")) for f in features])
     long = agg.select(F.inline(rows))
     eta = F.when(F.col("sst") > 0, F.col("ssb") / F.col("sst")).otherwise(F.lit(0.0))
-    fstat = F.try_divide(F.col("ssb") / (F.col("g") - 1), F.col("ssw") / (F.col("n") - F.col("g")))
+    # one cluster, or as many values as clusters: no F (null), as there is no variance to compare
+    fstat = F.try_divide(F.try_divide(F.col("ssb"), F.col("g") - 1), F.try_divide(F.col("ssw"), F.col("n") - F.col("g")))
     out = long.select("feature", "label", round_half_even(eta, digits).alias("eta_squared"),
                       round_half_even(fstat, digits).alias("anova_f"), fstat.alias("__f"),
                       (F.col("g") - 1).alias("__d1"), (F.col("n") - F.col("g")).alias("__d2"))
@@ -218,12 +194,13 @@ def two_group_stats(frame: DataFrame, group: str, a: str, b: str, features: list
                      for f in features])
     long = wide.select(F.inline(rows))
     na, nb, ma, mb, va, vb = (F.col(c) for c in ("na", "nb", "ma", "mb", "va", "vb"))
-    pooled = F.sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2))
+    pooled = F.sqrt(F.try_divide((na - 1) * va + (nb - 1) * vb, na + nb - 2))
     d = (F.when((na < 2) | (nb < 2), F.lit(None).cast("double"))
          .when(pooled == 0, F.lit(0.0)).otherwise((ma - mb) / pooled))
-    se2 = va / na + vb / nb
+    ea, eb = F.try_divide(va, na), F.try_divide(vb, nb)
+    se2 = ea + eb
     t = F.try_divide(ma - mb, F.sqrt(se2))
-    df = F.try_divide(se2 * se2, (va / na) ** 2 / (na - 1) + (vb / nb) ** 2 / (nb - 1))
+    df = F.try_divide(se2 * se2, F.try_divide(ea ** 2, na - 1) + F.try_divide(eb ** 2, nb - 1))
     out = long.select("feature", "label",
                       round_half_even(F.when(na > 0, ma), digits).alias(f"mean_{a}"),
                       round_half_even(F.when(nb > 0, mb), digits).alias(f"mean_{b}"),
@@ -235,7 +212,8 @@ def two_group_stats(frame: DataFrame, group: str, a: str, b: str, features: list
 
 
 def adjusted_rand(frame: DataFrame, a: str, b: str) -> DataFrame:
-    """Adjusted Rand index from the contingency table (one row)."""
+    """Adjusted Rand index from the contingency table (one row). Where chance agreement leaves no
+    room (a single row, or trivial labelings on both sides) it is 1."""
     pairs = lambda c: c * (c - 1) / 2
     cont = frame.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     marg_a = cont.groupBy(a).agg(F.sum("n").alias("n")).agg(F.sum(pairs(F.col("n"))).alias("sa"))
@@ -243,16 +221,27 @@ def adjusted_rand(frame: DataFrame, a: str, b: str) -> DataFrame:
     cells = cont.agg(F.sum(pairs(F.col("n"))).alias("sij"), F.sum("n").alias("total"))
     from kestrel.operators.clean import combine_single_rows
     s = combine_single_rows([cells, marg_a, marg_b])
-    expected = F.col("sa") * F.col("sb") / pairs(F.col("total"))
+    expected = F.coalesce(F.try_divide(F.col("sa") * F.col("sb"), pairs(F.col("total"))), F.lit(0.0))
     maximum = (F.col("sa") + F.col("sb")) / 2
-    ari = F.when(maximum == expected, F.lit(1.0)).otherwise((F.col("sij") - expected) / (maximum - expected))
+    ari = F.coalesce(F.try_divide(F.col("sij") - expected, maximum - expected), F.lit(1.0))
     return s.select(ari.alias("adjusted_rand"), F.col("total").alias("n"))
 
 
 def expectation_check(frame: DataFrame, name_col: str, cluster: str, expected_high: list[str],
                       expected_low: list[str], k: int, min_hits: int = 2) -> DataFrame:
-    """Expected names found in the top (0) and bottom (k-1) clusters; pass iff both >= min_hits."""
+    """Expected names found in the top (0) and bottom (k-1) clusters; pass iff both >= min_hits.
+    :func:`expectation_names` lists them."""
     hi = F.col(name_col).isin(*expected_high) & (F.col(cluster) == 0)
     lo = F.col(name_col).isin(*expected_low) & (F.col(cluster) == k - 1)
     res = frame.agg(F.count_if(hi).alias("high_hits"), F.count_if(lo).alias("low_hits"))
     return res.withColumn("passed", (F.col("high_hits") >= min_hits) & (F.col("low_hits") >= min_hits))
+
+
+def expectation_names(frame: DataFrame, name_col: str, cluster: str, expected_high: list[str],
+                      expected_low: list[str], k: int) -> DataFrame:
+    """One row per expected name: (side, name, hit). A name that is not in the frame is a miss."""
+    wanted = frame.sparkSession.createDataFrame([("high", n) for n in expected_high] + [("low", n) for n in expected_low],
+                                                "side string, name string")
+    found = (frame.select(F.when(F.col(cluster) == 0, "high").when(F.col(cluster) == k - 1, "low").alias("side"),
+                          F.col(name_col).alias("name")).where(F.col("side").isNotNull()).distinct().withColumn("hit", F.lit(True)))
+    return wanted.join(found, ["side", "name"], "left").select("side", "name", F.coalesce("hit", F.lit(False)).alias("hit"))

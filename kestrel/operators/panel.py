@@ -3,6 +3,8 @@ complete cases. Guards that must fail loudly use one cheap action each."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +52,20 @@ def cross_section(panel: DataFrame, spec: PanelSpec, period: int | None = None,
 
 def complete_cases(df: DataFrame, features: list[str]) -> DataFrame:
     return df.dropna(subset=list(features))
+
+
+def case_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """One row: rows, complete rows, rows dropped for a missing feature."""
+    whole = F.count_if(reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features]))
+    return df.agg(F.count(F.lit(1)).alias("rows"), whole.alias("complete"), (F.count(F.lit(1)) - whole).alias("dropped"))
+
+
+def require_cases(snapshot: DataFrame, features: list[str], least: int = 3) -> int:
+    """Guard of a modelling snapshot (one small action): it must have rows, and at least ``least``
+    complete ones. Returns the number of rows dropped for a missing feature."""
+    counts = case_counts(snapshot, features).first()
+    if not counts["rows"]:
+        raise RuntimeError("the snapshot has no rows")
+    if counts["complete"] < least:
+        raise RuntimeError(f"only {counts['complete']} complete rows, at least {least} are needed ({counts['dropped']} dropped)")
+    return counts["dropped"]

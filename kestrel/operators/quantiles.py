@@ -1,19 +1,15 @@
-"""Exact linear-interpolated quantiles that do not hold every distinct value in one task.
+"""Exact linear-interpolated quantiles that never bring a whole column into one task.
 
-Spark's exact ``percentile`` aggregate keeps a value → count map of the whole group and
-merges it in a single task: fine for rounded or low-cardinality columns, not for a
-billion distinct doubles. Here the exact answer is found in three lazy steps:
+Spark's exact ``percentile`` keeps a value -> count map of the group and merges it in a single
+task. Here, at every size alike:
 
-1. ``percentile_approx`` (rank error <= n / accuracy) brackets each wanted rank between
-   two values ``lo`` and ``hi`` taken 3 / accuracy below and above p; for
-   n <= 4 * accuracy the bracket is the whole column (the rank slack would be < 2);
-2. one pass counts the values below ``lo`` and keeps only the values inside the bracket
-   (about 4 n / accuracy of them);
-3. the bracket's distinct values are ordered with running counts, which locate the
-   values at ranks floor(r) and floor(r) + 1, r = (n - 1) p, and interpolate as numpy's
-   default ('linear') method does.
+1. the columns are stacked into (column, value) pairs, equal pairs are counted (with partial
+   counts before the shuffle), and the distinct pairs are range-partitioned and written once;
+2. the partitions' totals (one row per column and partition) give the rank each starts at;
+3. for every wanted rank only the partition that holds it is ordered, with running counts.
 
-Every step is a DataFrame operation; only one-row frames are broadcast.
+The values at ranks floor(r) and floor(r) + 1, r = (n - 1) p, are interpolated as numpy's default
+('linear') method does.
 """
 
 from __future__ import annotations
@@ -21,66 +17,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.operators.joins import join_small
+from kestrel.session import cut_lineage
 
 
-def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], accuracy: int = 100_000) -> DataFrame:
-    """Rows (col, prob_index, prob, value) for every column and probability, in one plan:
-    the columns are stacked into (col, x) and every step groups by the column too.
-    Null values are ignored; an all-null column gives null values."""
-    k = len(probs)
-    slack = 3.0 / accuracy
-    marks = []
-    for p in probs:
-        marks += [max(0.0, p - slack), min(1.0, p + slack)]
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("__col"), F.col(c).cast("double").alias("__x"))
-                                        for c in cols]))).where(F.col("__x").isNotNull())
-    stats = long.groupBy("__col").agg(F.count(F.lit(1)).alias("__n"),
-                                      F.percentile_approx("__x", marks, accuracy).alias("__a"))
-    small = F.col("__n") <= 4 * accuracy
-    inf = float("inf")
-    bounds = stats.select("__col", "__n", *[x for i in range(k) for x in (
-        F.when(small, F.lit(-inf)).otherwise(F.col("__a")[2 * i]).alias(f"lo{i}"),
-        F.when(small, F.lit(inf)).otherwise(F.col("__a")[2 * i + 1]).alias(f"hi{i}"))])
-    # one broadcast row per column with all k brackets (bounded by the number of columns)
-    j = join_small(long, bounds, "__col", "inner", bound=len(cols))
-    below = j.groupBy("__col").agg(*[F.count_if(F.col("__x") < F.col(f"lo{i}")).alias(f"b{i}") for i in range(k)])
-    below = below.select("__col", F.inline(F.array(*[F.struct(F.lit(i).alias("pi"), F.col(f"b{i}").alias("below"))
-                                                     for i in range(k)])))
-    inside = F.array(*[F.when((F.col("__x") >= F.col(f"lo{i}")) & (F.col("__x") <= F.col(f"hi{i}")), F.lit(i))
-                       for i in range(k)])
-    band = (j.select("__col", "__x", F.explode(F.filter(inside, lambda v: v.isNotNull())).alias("pi"))
-            .groupBy("__col", "pi", "__x").agg(F.count(F.lit(1)).alias("__c")))
-    wanted = stats.select("__col", "__n", F.inline(F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p"))
-                                                             for i, p in enumerate(probs)])))
-    wanted = wanted.withColumn("r", (F.col("__n") - 1) * F.col("p")).withColumn("rf", F.floor("r"))
-    w = Window.partitionBy("__col", "pi").orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (band.join(below, ["__col", "pi"]).join(wanted.select("__col", "pi", "rf"), ["__col", "pi"])
-              .withColumn("__upto", F.col("below") + F.sum("__c").over(w)))  # ranks [.., upto) end here
-    # value at 0-based rank q = smallest x whose cumulative count exceeds q
-    at = ranked.groupBy("__col", "pi").agg(
-        F.min_by("__x", F.when(F.col("__upto") > F.col("rf"), F.col("__x"))).alias("v0"),
-        F.min_by("__x", F.when(F.col("__upto") > F.col("rf") + 1, F.col("__x"))).alias("v1"))
-    out = wanted.join(at, ["__col", "pi"], "left")
-    frac = F.col("r") - F.col("rf")
-    value = F.when(F.col("__n") == 0, F.lit(None).cast("double")) \
-        .when(frac == 0, F.col("v0")) \
-        .otherwise(F.col("v0") + frac * (F.coalesce(F.col("v1"), F.col("v0")) - F.col("v0")))
-    return out.select(F.col("__col").alias("col"), F.col("pi").alias("prob_index"), F.col("p").alias("prob"),
-                      value.alias("value"))
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Rows (col, prob_index, prob, value) for every column and probability. Null values are
+    ignored; an all-null column gives no row."""
+    stacked = F.array(*[F.struct(F.lit(c).alias("__col"), F.col(c).cast("double").alias("__x")) for c in cols])
+    counted = (df.select(F.inline(stacked)).where(F.col("__x").isNotNull())
+               .groupBy("__col", "__x").agg(F.count(F.lit(1)).alias("__c")))
+    # written once, so that the totals and the look-up see the same partitions
+    ranged = cut_lineage(counted.repartitionByRange("__col", "__x").withColumn("__part", F.spark_partition_id()))
+    parts = ranged.groupBy("__col", "__part").agg(F.sum("__c").alias("__m"))
+    before = Window.partitionBy("__col").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("__from", F.coalesce(F.sum("__m").over(before), F.lit(0))) \
+        .withColumn("__n", F.sum("__m").over(Window.partitionBy("__col")))
+    wanted = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    targets = (parts.select("__col", "__part", "__m", "__from", "__n", F.inline(wanted))
+               .withColumn("r", (F.col("__n") - 1) * F.col("p"))
+               .withColumn("next", F.explode(F.array(F.lit(0), F.lit(1))))
+               .withColumn("rank", F.least(F.floor("r") + F.col("next"), F.col("__n") - 1))
+               .where((F.col("rank") >= F.col("__from")) & (F.col("rank") < F.col("__from") + F.col("__m"))))
+    running = Window.partitionBy("__col", "pi", "next").orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # targets has two rows per column and probability
+    ranked = ranged.join(F.broadcast(targets.drop("__m", "__n")), ["__col", "__part"]).withColumn("__upto", F.col("__from") + F.sum("__c").over(running))
+    values = ranked.where(F.col("__upto") > F.col("rank")).groupBy("__col", "pi", "p", "r", "next").agg(F.min("__x").alias("v"))
+    both = values.groupBy("__col", "pi", "p", "r").agg(F.max(F.when(F.col("next") == 0, F.col("v"))).alias("v0"),
+                                                       F.max(F.when(F.col("next") == 1, F.col("v"))).alias("v1"))
+    share = F.col("r") - F.floor("r")
+    value = F.when(share == 0, F.col("v0")).otherwise(F.col("v0") + share * (F.col("v1") - F.col("v0")))
+    return both.select(F.col("__col").alias("col"), F.col("pi").alias("prob_index"), F.col("p").alias("prob"), value.alias("value"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 100_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     """One row per probability: (prob_index, prob, value)."""
-    return exact_quantiles_multi(df, [col], probs, accuracy).drop("col")
+    return exact_quantiles_multi(df, [col], probs).drop("col")
 
 
-def quantile_row(df: DataFrame, col: str | list[str], probs: list[float], names: list[str],
-                 accuracy: int = 100_000) -> DataFrame:
+def quantile_row(df: DataFrame, col: str | list[str], probs: list[float], names: list[str]) -> DataFrame:
     """Quantiles pivoted into one row. For several columns ``names`` lists the output
     names column by column (len(cols) * len(probs) names)."""
     cols = [col] if isinstance(col, str) else list(col)
-    q = exact_quantiles_multi(df, cols, probs, accuracy)
+    q = exact_quantiles_multi(df, cols, probs)
     k = len(probs)
     return q.agg(*[F.max(F.when((F.col("col") == c) & (F.col("prob_index") == i), F.col("value"))).alias(names[ci * k + i])
                    for ci, c in enumerate(cols) for i in range(k)])

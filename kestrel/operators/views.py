@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators.joins import join_small
+from kestrel.session import cut_lineage
 
 # Side labels of the effect-size view.
 SIDE_A = "Lebih tinggi di urban-industri"
@@ -61,24 +62,19 @@ def latest_and_previous(series: DataFrame, order: str, value_cols: list[str]) ->
     return both.select(*cols)
 
 
-def global_ordinal(df: DataFrame, score: str, tie: str, name: str = "order_no", buckets: int = 1024) -> DataFrame:
-    """1..n sequence by (score desc, tie asc) without a single-partition window.
+def global_ordinal(df: DataFrame, score: str, tie: str, name: str = "order_no") -> DataFrame:
+    """1..n sequence by (score desc, nulls last, tie asc) without a single-partition window.
 
-    Rows are cut into equal-width score buckets; bucket sizes (<= ``buckets`` rows) give
-    each bucket's offset, and rows are numbered inside their bucket only.
-    """
-    stats = df.agg(F.min(score).alias("__lo"), F.max(score).alias("__hi"))
-    j = join_small(_one(df), _one(stats), "__one", "inner", bound=1)
-    width = F.col("__hi") - F.col("__lo")
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("__hi") - F.col(score)) / width * buckets), F.lit(buckets - 1))).cast("int")
-    jb = j.withColumn("__b", b).drop("__one", "__lo", "__hi")
-    sizes = jb.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__n").over(
-        Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("__b").orderBy(F.col(score).desc(), F.col(tie)))
-    out = join_small(jb, offsets.select("__b", "__off"), "__b", "inner", bound=buckets)
-    return out.withColumn(name, (F.col("__off") + within).cast("bigint")).drop("__b", "__off")
+    Rows are range-partitioned by the whole order (so neither an outlier nor a common score fills
+    one task) and written once; the partitions' sizes, one row each, give every partition its
+    first number, and rows are numbered inside their partition only."""
+    order = [F.col(score).desc_nulls_last(), F.col(tie).asc()]
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    sizes = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return ranged.join(offsets, "__part").withColumn(name, (F.col("__off") + within).cast("bigint")).drop("__part", "__off")
 
 
 def members_filter(df: DataFrame, col: str, values: list, period: str | None = None,

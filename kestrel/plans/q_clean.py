@@ -21,28 +21,36 @@ DS_TAX = C.DatasetSpec("tax_lines", metric="l_tax", entity="l_orderkey",
 DS_QTY = C.DatasetSpec("quantity_lines", metric="l_quantity", entity="l_orderkey",
                        period="l_linenumber", id_col="l_partkey")
 
-SOURCES = {  # dataset → (spec, row filter on line items; the same text serves Spark and the oracle)
-    DS_DISC.name: (DS_DISC, "l_returnflag <> 'N'", "l_returnflag <> 'N'"),
-    DS_TAX.name: (DS_TAX, "l_linestatus = 'O'", "l_linestatus = 'O'"),
-    DS_QTY.name: (DS_QTY, "TRUE", "TRUE"),
+SOURCES = {  # dataset → (spec, row filter on line items); every text here serves Spark and the oracle
+    DS_DISC.name: (DS_DISC, "l_returnflag <> 'N'"),
+    DS_TAX.name: (DS_TAX, "l_linestatus = 'O'"),
+    DS_QTY.name: (DS_QTY, "TRUE"),
 }
+# Dirt derived from the rows themselves: keys and metrics go missing, ids vanish, rows come twice.
+DIRTY_KEY = "CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE l_orderkey END"
+DIRTY_ID = "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_partkey END"
+DIRTY_METRIC = "CASE WHEN l_partkey % 29 = 0 THEN NULL ELSE {m} END"
+TWICE = "l_suppkey % 13 = 0"
 
 
 def raw_source(spark, sf_dir, name):
-    ds, cond, _ = SOURCES[name]
-    return table(spark, sf_dir, "lineitem").where(F.expr(cond)).select(ds.entity, ds.period, ds.id_col, ds.metric)
+    ds, cond = SOURCES[name]
+    return (table(spark, sf_dir, "lineitem").where(F.expr(cond))
+            .select(F.expr(DIRTY_KEY).alias(ds.entity), ds.period, F.expr(DIRTY_ID).alias(ds.id_col), F.expr(DIRTY_METRIC.format(m=ds.metric)).alias(ds.metric),
+                    F.explode(F.expr(f"CASE WHEN {TWICE} THEN array(1, 2) ELSE array(1) END")).alias("copy")).drop("copy"))
 
 
-def cleaned(spark, sf_dir, name, materialize=False):
-    ds = SOURCES[name][0]
-    return C.clean_dataset(raw_source(spark, sf_dir, name), ds, materialize)
+def cleaned(spark, sf_dir, name):
+    return C.clean_dataset(raw_source(spark, sf_dir, name), SOURCES[name][0])
 
 
 def clean_sql(name: str) -> str:
     """CTE chain raw → dedup → keep-last → zero-null → interpolated, ending in ``{name}_clean``."""
-    ds, _, cond = SOURCES[name]
+    ds, cond = SOURCES[name]
     e, p, i, m = ds.entity, ds.period, ds.id_col, ds.metric
-    return clean_ctes(name, f"SELECT {e}, {p}, {i}, {m} FROM lineitem WHERE {cond}", e, p, i, m)
+    cols = f"{DIRTY_KEY} AS {e}, {p}, {DIRTY_ID} AS {i}, {DIRTY_METRIC.format(m=m)} AS {m}"
+    raw = f"SELECT {cols} FROM lineitem WHERE {cond} UNION ALL SELECT {cols} FROM lineitem WHERE ({cond}) AND {TWICE}"
+    return clean_ctes(name, raw, e, p, i, m)
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -171,7 +179,7 @@ def dedup_keep_last(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus", "l_shipdate"]
-    out = C.keep_last(C.exact_dedup(li), ["l_orderkey", "l_linenumber"], order)
+    out = C.keep_last(li, ["l_orderkey", "l_linenumber"], order)  # identical rows share the key: no pass of their own
     return canonical(out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount"))
 
 
@@ -209,7 +217,7 @@ def interpolate_linear(spark, sf_dir):
 
 
 def _profile_sql(name: str) -> str:
-    ds, _, cond = SOURCES[name]
+    ds, _ = SOURCES[name]
     e, p, i, m = ds.entity, ds.period, ds.id_col, ds.metric
     return f"""SELECT '{name}' AS logical_name, '{m}' AS metric,
   (SELECT count(*) FROM {name}_raw) AS rows_raw,
@@ -219,9 +227,9 @@ def _profile_sql(name: str) -> str:
   (SELECT count_if({m}_zeroed IS NULL) FROM {name}_clean) AS missing_metric_before_impute,
   (SELECT count_if({m}_was_imputed) FROM {name}_clean) AS imputed_values,
   (SELECT count_if({m}_orig = 0) FROM {name}_clean) AS invalid_zero_values,
-  CAST(0 AS BIGINT) AS rows_dropped_missing_keys,
-  (SELECT CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {name}_raw GROUP BY {e}, {p}) g) AS duplicate_key_rows,
-  (SELECT count(*) FROM {name}_raw) - (SELECT count(*) FROM {name}_dist) AS exact_duplicate_rows"""
+  (SELECT count_if({e} IS NULL OR {p} IS NULL) FROM {name}_raw) AS rows_dropped_missing_keys,
+  (SELECT CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {name}_raw WHERE {e} IS NOT NULL GROUP BY {e}, {p}) g) AS duplicate_key_rows,
+  (SELECT count_if({e} IS NOT NULL) FROM {name}_raw) - (SELECT count(*) FROM {name}_dist) AS exact_duplicate_rows"""
 
 
 @query("quality_profile", "WITH " + ",\n".join(clean_sql(n) for n in SOURCES) + "\n"
@@ -235,7 +243,7 @@ def quality_profile(spark, sf_dir):
     return out
 
 
-_SOURCE_INFO = [(n, ds.metric, "parquet", "lineitem.parquet") for n, (ds, _, _) in SOURCES.items()]
+_SOURCE_INFO = [(n, ds.metric, "parquet", "lineitem.parquet") for n, (ds, _) in SOURCES.items()]
 
 
 @query("quality_summary", "WITH " + ",\n".join(clean_sql(n) for n in SOURCES) + ",\nprof AS (\n"

@@ -110,11 +110,11 @@ def change_extremes(spark, sf_dir):
     return canonical(X.change_extremes(ch, "entity", "change", 10))
 
 
-@query("histogram", f"""WITH b AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
-x AS (SELECT CASE WHEN hi = lo THEN 1 ELSE least(CAST(floor((value - lo) / (hi - lo) * 12) AS BIGINT) + 1, 12) END AS bin, lo, hi
-      FROM events, b WHERE value IS NOT NULL)
-SELECT bin, count(*) AS count, {r('lo + (bin - 1) * (hi - lo) / 12')} AS lower, {r('lo + bin * (hi - lo) / 12')} AS upper
-FROM x GROUP BY bin, lo, hi""")
+@query("histogram", f"""WITH b AS (SELECT CAST(min(value) AS DOUBLE) AS lo, CAST(max(value) AS DOUBLE) AS hi FROM events),
+e AS (SELECT i AS bin, lo + (i - 1) * (hi - lo) / 12 AS a, lo + i * (hi - lo) / 12 AS z, lo, hi FROM b, range(1, 13) t(i))
+SELECT bin, (SELECT count(*) FROM events, b WHERE value IS NOT NULL
+             AND least(CAST(floor((value - b.lo) / (b.hi - b.lo) * 12) AS BIGINT) + 1, 12) = e.bin) AS count,
+       {r('a')} AS lower, {r('z')} AS upper FROM e""")
 def histogram(spark, sf_dir):
     """12 equal-width bins over every event value (maximum in the last bin)."""
     return canonical(X.histogram(table(spark, sf_dir, "events"), "value", 12))

@@ -100,11 +100,22 @@ def repeated_pages(spark, sf_dir):
 
 @query("run_manifest", None)
 def run_manifest(spark, sf_dir):
-    """Manifest rows an ingest run appends (one per batch, success or skipped)."""
+    """Manifest rows an ingest run appends (one per batch, success or skipped); the ingest time is a
+    parameter, here the last event's."""
     _, batches = _batches(spark, sf_dir)
     dec = I.ingest_decisions(batches, _manifest(batches)).withColumn("name", F.lit("events"))
     return I.manifest_rows(dec, "name", F.concat(F.lit("events_day_"), F.col("batch_day").cast("string"), F.lit(".parquet")),
-                           F.lit(f"{sf_dir}/events.parquet"))
+                           F.lit("events.parquet"), F.lit("2024-01-31 00:00:00").cast("timestamp"))
+
+
+@query("run_manifest_status", """
+SELECT '2024-01-31T00:00:00.000000Z' AS ingest_time, 'events' AS logical_name, 'events_day_' || CAST(day(ts) AS VARCHAR) || '.parquet' AS stored_filename,
+       'events.parquet' AS source_url, CASE WHEN day(ts) <= 15 AND day(ts) % 2 = 0 THEN 'skipped' ELSE 'success' END AS status,
+       CASE WHEN day(ts) <= 15 AND day(ts) % 2 = 0 THEN 'duplicate_checksum' ELSE '' END AS notes
+FROM events GROUP BY day(ts)""")
+def run_manifest_status(spark, sf_dir):
+    """The same rows without the checksum (whose digest only Spark computes)."""
+    return run_manifest(spark, sf_dir).drop("checksum")
 
 
 @query("retention_plan", """
@@ -138,25 +149,19 @@ SELECT 'orders' AS source, count(*) AS rows, CAST(6 AS BIGINT) AS n_columns, CAS
        CAST(max(year(o_orderdate)) AS BIGINT) AS year_max, 'usable_columns' AS kind FROM orders
 UNION ALL SELECT 'lineitem', count(*), 11, min(year(l_shipdate)), max(year(l_shipdate)), 'usable_columns' FROM lineitem
 UNION ALL SELECT 'events', count(*), 6, min(year(ts)), max(year(ts)), 'usable_columns' FROM events
-UNION ALL SELECT 'customer', count(*), 5, NULL, NULL, 'usable_columns' FROM customer""")
+UNION ALL SELECT 'customer', count(*), 5, NULL, NULL, 'not_statistical_records' FROM customer""")
 def source_catalog(spark, sf_dir):
     """Per source: rows, columns, first and last year (one aggregate per source)."""
     parts = [I.source_summary("orders", table(spark, sf_dir, "orders"), "o_orderdate"),
              I.source_summary("lineitem", table(spark, sf_dir, "lineitem"), "l_shipdate"),
-             I.source_summary("events", table(spark, sf_dir, "events"), "ts"),
-             I.source_summary("customer", table(spark, sf_dir, "customer"), None)]
+             I.source_summary("events", table(spark, sf_dir, "events"), "ts", ["event_id", "ts", "value"]),
+             I.source_summary("customer", table(spark, sf_dir, "customer"), None, ["c_custkey", "year"])]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-@query("newest_version", None)
-def newest_version(spark, sf_dir):
-    """Newest landed parquet file by (modification time, name), from file metadata only."""
-    return SF.newest_file(spark, sf_dir, "*.parquet").select("name")
-
-
 @query("scan_csv", """
 SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
        round_even(CAST(c_acctbal AS DOUBLE) * 10000e0, 0) / 10000e0 AS c_acctbal, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment

@@ -18,14 +18,14 @@ KEYS = ["l_orderkey", "l_linenumber"]
 
 def metric_frames(spark, sf_dir):
     frames = []
-    for name, (ds, _, _) in SOURCES.items():
+    for name, (ds, _) in SOURCES.items():
         out, _ = cleaned(spark, sf_dir, name)
         frames.append(out.select(*KEYS, ds.metric, f"{ds.metric}_was_imputed"))
     return frames
 
 
 _CLEAN = ",\n".join(clean_sql(n) for n in SOURCES)
-_METRICS = [ds.metric for ds, _, _ in SOURCES.values()]
+_METRICS = [ds.metric for ds, _ in SOURCES.values()]
 _JOINED_SQL = f"""WITH {_CLEAN},
 joined AS (
   SELECT * FROM (SELECT l_orderkey, l_linenumber, l_discount, l_discount_was_imputed FROM discount_lines_clean) a

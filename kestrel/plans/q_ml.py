@@ -5,11 +5,15 @@ from __future__ import annotations
 
 
 
+from pyspark.ml.feature import StandardScaler
+from pyspark.sql import functions as F
+
 from kestrel.functions.labels import tier_name
 from kestrel.operators import ml as ML
 from kestrel.operators import model as M
 from kestrel.plans.catalog import query
 from kestrel.plans.output import canonical, r
+from kestrel.session import cut_lineage
 from kestrel.plans.q_model import (CONTEXT_METRIC, DEV_METRIC, FEATURES, K, MF_SQL, PROFILE_COLS, SPEC,
                                    model_frame)
 
@@ -64,7 +68,7 @@ pd AS (SELECT z.entity, z.cluster_id AS own, c.cluster_id AS other, c.n,
        FROM z JOIN c ON TRUE),
 ab AS (SELECT entity, max(CASE WHEN own = other THEN d * n / (n - 1) END) AS a, min(CASE WHEN own <> other THEN d END) AS b,
               max(CASE WHEN own = other THEN n END) AS nown FROM pd GROUP BY entity)
-SELECT {r('avg(CASE WHEN nown <= 1 THEN 0.0e0 ELSE coalesce((b - a) / NULLIF(greatest(a, b), 0), 0.0e0) END)')} AS silhouette FROM ab""")
+SELECT {r('avg(CASE WHEN nown <= 1 THEN 0.0e0 ELSE coalesce((b - a) / NULLIF(greatest(a, b), 0), 0.0e0) END)')} AS silhouette_sq_euclidean FROM ab""")
 def silhouette(spark, sf_dir):
     """Silhouette (squared Euclidean) of the tertile partition on standardised features."""
     return canonical(ML.silhouette_sq(scaled_frame(spark, sf_dir), FEATURES, "cluster_id"))
@@ -111,43 +115,97 @@ def region_table(spark, sf_dir):
     model, _ = ML.kmeans_best(vec, K)
     labelled = M.relabel_by_score(model.transform(vec), "raw_cluster", SPEC.score_col, "cluster_id")
     raw = labelled
-    prof = M.cluster_profiles(raw, K, PROFILE_COLS, DEV_METRIC, "m_ret", None, None)
+    prof = M.cluster_profiles(raw, K, PROFILE_COLS, DEV_METRIC, "m_ret")
     out = M.attach_cluster_labels(raw, prof)
     pcs = ML.pca_scores(vec, 2).select("entity", "pc1", "pc2")
     out = out.join(pcs, "entity", "left").withColumn("tier", tier_name("cluster_id", K))
     cols = ["entity", "entity_name", "period", *FEATURES, CONTEXT_METRIC, SPEC.score_col, "cluster_id", "tier",
             "archetype", "entity_type", "pc1", "pc2", "trend_slope", "trend_label", "vulnerability_level",
             "priority_action"]
-    return canonical(out.select(*cols))
-
-
-
+    # output order of the table: cluster, then score (highest first)
+    return canonical(out.select(*cols)).orderBy("cluster_id", F.col(SPEC.score_col).desc_nulls_last(), "entity")
 
-def _embedding_frame(spark, sf_dir):
-    from pyspark.sql import functions as F
 
-    from kestrel.plans.testdata import table
-    emb = table(spark, sf_dir, "embeddings")
-    dim = len(emb.select("embedding").first()[0])  # one row: the vector width (schema-level fact)
-    cols = [f"e{i}" for i in range(dim)]
-    flat = emb.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
-    return flat, cols
 
 
 @query("embedding_kmeans", None)
 def embedding_kmeans(spark, sf_dir):
     """k-means on the stored embedding vectors (k = 10, best of 10 seeds) and its agreement
     (adjusted Rand) with the stored labels."""
-    flat, cols = _embedding_frame(spark, sf_dir)
-    vec = ML.prepare(flat, cols)
-    model, _ = ML.kmeans_best(vec, 10)
+    from pyspark.ml.functions import array_to_vector
+
     from kestrel.operators.model import adjusted_rand
+    from kestrel.plans.testdata import table
+    emb = table(spark, sf_dir, "embeddings").select("label", array_to_vector(F.col("embedding").cast("array<double>")).alias("raw"))
+    scaled = StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features").fit(emb).transform(emb)
+    vec = cut_lineage(scaled.select("label", "features"))
+    model, _ = ML.kmeans_best(vec, 10)
     return canonical(adjusted_rand(model.transform(vec), "label", "raw_cluster"))
 
 
-@query("embedding_label_quality", None)
+@query("embedding_label_quality", f"""
+WITH e AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+g AS (SELECT label, i, avg(x) AS c FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e) t GROUP BY 1, 2),
+c AS (SELECT a.label, a.n, a.m2, b.c FROM (SELECT label, count(*) AS n, avg(list_inner_product(v, v)) AS m2 FROM e GROUP BY label) a
+      JOIN (SELECT label, list(c ORDER BY i) AS c FROM g GROUP BY label) b USING (label)),
+grand AS (SELECT list(m ORDER BY i) AS gm FROM (SELECT i, avg(x) AS m FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e) t GROUP BY i) u),
+p AS (SELECT row_number() OVER () AS id, e.label, e.v, list_inner_product(e.v, e.v) AS xx FROM e),
+d AS (SELECT p.id, p.label, c.label AS o, c.n, p.xx - 2 * list_inner_product(c.c, p.v) + c.m2 AS md,
+             p.xx - 2 * list_inner_product(c.c, p.v) + list_inner_product(c.c, c.c) AS sq FROM p, c),
+s AS (SELECT id, max(CASE WHEN label = o THEN md * n / (n - 1) END) AS a, min(CASE WHEN label <> o THEN md END) AS b, max(CASE WHEN label = o THEN sq END) AS own,
+             any_value(label) AS label FROM d GROUP BY id),
+w AS (SELECT label, avg(sqrt(own)) AS spread FROM s GROUP BY label),
+db AS (SELECT x.label, max((wx.spread + wy.spread) / sqrt(list_distance(x.c, y.c) * list_distance(x.c, y.c))) AS r
+       FROM c x JOIN c y ON x.label <> y.label JOIN w wx ON wx.label = x.label JOIN w wy ON wy.label = y.label GROUP BY x.label),
+b AS (SELECT sum(c.n * list_distance(c.c, grand.gm) * list_distance(c.c, grand.gm)) AS ssb, count(*) AS k FROM c, grand)
+SELECT (SELECT {r('avg((b - a) / greatest(a, b))')} FROM s) AS silhouette_sq_euclidean,
+       (SELECT {r('b.ssb * (t.n - b.k) / (t.ssw * (b.k - 1))')} FROM b, (SELECT sum(own) AS ssw, count(*) AS n FROM s) t) AS calinski_harabasz,
+       (SELECT {r('avg(r)')} FROM db) AS davies_bouldin, (SELECT {r('sum(own)')} FROM s) AS inertia""")
 def embedding_label_quality(spark, sf_dir):
     """Silhouette (squared Euclidean), CH, DB and inertia of the stored labels as a partition
     of the embedding space."""
-    flat, cols = _embedding_frame(spark, sf_dir)
-    return canonical(ML.quality_row(flat, cols, "label"))
+    from kestrel.plans.testdata import table
+    return canonical(ML.quality_row(table(spark, sf_dir, "embeddings"), "embedding", "label"))
+
+
+@query("kmeans_invariants", """SELECT true AS nearest_centre, true AS sizes_add_up, CAST(3 AS BIGINT) AS n_clusters""")
+def kmeans_invariants(spark, sf_dir):
+    """What any fitted k-means must satisfy: every point is at its nearest centre, the cluster sizes
+    add up to the points, and no cluster is empty."""
+    vec = _vectors(spark, sf_dir)
+    model, _ = ML.kmeans_best(vec, K)
+    labelled = model.transform(vec)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    point = F.array(*[F.col(f).cast("double") for f in FEATURES])
+    distance = F.transform(centres, lambda c: ML._sqdist(c, point))
+    own = F.element_at(distance, F.col("raw_cluster") + 1)
+    return canonical(labelled.agg(F.every(own <= F.array_min(distance) + 1e-9).alias("nearest_centre"),
+                                  (F.count(F.lit(1)) == F.count("raw_cluster")).alias("sizes_add_up"),
+                                  F.count_distinct("raw_cluster").alias("n_clusters")))
+
+
+@query("pca_invariants", """SELECT true AS uncorrelated, true AS ordered_by_variance, true AS centred""")
+def pca_invariants(spark, sf_dir):
+    """What principal-component scores must satisfy: uncorrelated, ordered by variance, centred."""
+    pcs = ML.pca_scores(_vectors(spark, sf_dir), 2)
+    return pcs.agg((F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"), (F.var_pop("pc1") >= F.var_pop("pc2")).alias("ordered_by_variance"),
+                   ((F.abs(F.avg("pc1")) < 1e-6) & (F.abs(F.avg("pc2")) < 1e-6)).alias("centred"))
+
+
+@query("auto_k", None)
+def auto_k(spark, sf_dir):
+    """The k chosen when none is given: argmax of the silhouette over k = 2..6, with its table."""
+    table = cut_lineage(ML.select_k(_vectors(spark, sf_dir), FEATURES))
+    return canonical(table.withColumn("chosen", F.col("k") == ML.best_k(table)))
+
+
+@query("model_manifest", None)
+def model_manifest(spark, sf_dir):
+    """The modelling run's manifest row: snapshot period, chosen k, silhouette, stability, entities."""
+    vec = _vectors(spark, sf_dir)
+    model, _, k = ML.kmeans_auto(vec, FEATURES)
+    labelled = cut_lineage(model.transform(vec).select("entity", "period", *FEATURES, "features", "raw_cluster"))
+    agreement = ML.stability(labelled, k, "raw_cluster", features=FEATURES).select(F.col("adjusted_rand").alias("stability_ari"), F.lit(1).alias("one"))
+    quality = ML.silhouette_sq(labelled, FEATURES, "raw_cluster").withColumn("one", F.lit(1))
+    size = labelled.agg(F.max("period").alias("snapshot_period"), F.count(F.lit(1)).alias("n_entities")).withColumn("one", F.lit(1))
+    return canonical(size.join(quality, "one").join(agreement, "one").withColumn("k", F.lit(k)).drop("one"))

@@ -24,7 +24,6 @@ FEATURES = list(CLUSTER_FEATURES)
 LABELS = {m.name: m.label for m in METRICS}
 PROFILE_COLS = FEATURES + [CONTEXT_METRIC, SPEC.score_col]
 K = 3
-BOUND = SPEC.expected_entities  # entities per snapshot: bounds member strings
 # Fixed expectation lists for the face-validity check on the test tables.
 EXPECTED_HIGH = ["NATION_3", "NATION_8", "NATION_13", "NATION_18"]
 EXPECTED_LOW = ["NATION_0", "NATION_5", "NATION_10", "NATION_15"]
@@ -39,8 +38,8 @@ def model_frame(spark, sf_dir):
     mf = M.add_priority_action(mf)
     cluster = F.element_at(F.create_map(*[x for k, v in LEVEL_TO_CLUSTER.items() for x in (F.lit(k), F.lit(v))]),
                            F.col("vulnerability_level"))
-    # The snapshot is reused by every downstream statistic: materialise it once in the
-    # shared checkpoint folder (cuts lineage; survives executor loss).
+    # The snapshot is reused by every downstream statistic: it is written once in the shared
+    # folder (cuts lineage; survives executor loss).
     return cut_lineage(mf.withColumn("cluster_id", cluster.cast("int")))
 
 
@@ -98,20 +97,33 @@ _TREND_ORD = " ".join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(S.TREND_ORDER
 
 
 @query("priority_matrix", f"""{MF_SQL},
-cells AS (SELECT vulnerability_level, trend_label, count(*) AS n_entities,
-                 string_agg(entity_name, '; ' ORDER BY entity_name) AS members FROM cl GROUP BY ALL),
+cells AS (SELECT vulnerability_level, trend_label, count(*) AS n_entities FROM cl GROUP BY ALL),
 cc AS (SELECT vulnerability_level, trend_label, cluster_id, count(*) AS cnt FROM cl GROUP BY 1, 2, 3),
 modes AS (SELECT vulnerability_level, trend_label, cluster_id FROM (
   SELECT vulnerability_level, trend_label, cluster_id,
          row_number() OVER (PARTITION BY vulnerability_level, trend_label ORDER BY cnt DESC, cluster_id) AS rn
   FROM cc) x WHERE rn = 1)
-SELECT c.vulnerability_level, c.trend_label, c.n_entities, CAST(m.cluster_id AS BIGINT) AS dominant_cluster_id, c.members,
+SELECT c.vulnerability_level, c.trend_label, c.n_entities, CAST(m.cluster_id AS BIGINT) AS dominant_cluster_id,
        {case_priority_action('c.vulnerability_level', 'c.trend_label')} AS priority_action,
        CAST((CASE c.vulnerability_level {_LEVEL_ORD} END) * 10 + (CASE c.trend_label {_TREND_ORD} END) AS BIGINT) AS cell_order
 FROM cells c JOIN modes m USING (vulnerability_level, trend_label)""")
 def priority_matrix(spark, sf_dir):
-    """Level x trend matrix: action, size, modal cluster (smallest on tie), member list."""
-    return canonical(M.priority_matrix(model_frame(spark, sf_dir), "entity_name", BOUND))
+    """Level x trend matrix: action, size, modal cluster (smallest on tie)."""
+    return canonical(M.priority_matrix(model_frame(spark, sf_dir)))
+
+
+@query("priority_members", f"""{MF_SQL}
+SELECT vulnerability_level, trend_label, entity_name AS member FROM cl""")
+def priority_members(spark, sf_dir):
+    """Members of every cell of the priority matrix, one row each."""
+    return M.group_members(model_frame(spark, sf_dir), ["vulnerability_level", "trend_label"], "entity_name")
+
+
+@query("cluster_members", f"""{MF_SQL}
+SELECT CAST(cluster_id AS BIGINT) AS cluster_id, entity_name AS member FROM cl""")
+def cluster_members(spark, sf_dir):
+    """Members of every cluster, one row each."""
+    return canonical(M.group_members(model_frame(spark, sf_dir), ["cluster_id"], "entity_name"))
 
 
 _TIER = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(S.TIER_NAMES_K3))
@@ -122,16 +134,15 @@ th AS (SELECT quantile_cont({DEV_METRIC}, 0.33) AS dl, quantile_cont({DEV_METRIC
               quantile_cont(m_ret, 0.33) AS pl, quantile_cont(m_ret, 0.67) AS ph FROM cl),
 p AS (SELECT cluster_id, count(*) AS n_entities, count_if(entity_type = 'kota') AS n_city,
              count_if(entity_type = 'kabupaten') AS n_regency,
-             {', '.join(f'avg({c}) AS a_{c}' for c in PROFILE_COLS)},
-             string_agg(entity_name, '; ' ORDER BY entity_name) AS members FROM cl GROUP BY cluster_id)
+             {', '.join(f'avg({c}) AS a_{c}' for c in PROFILE_COLS)} FROM cl GROUP BY cluster_id)
 SELECT CAST(cluster_id AS BIGINT) AS cluster_id, CASE cluster_id {_TIER} END AS tier,
        CASE WHEN a_{DEV_METRIC} >= dh AND a_m_ret <= pl THEN '{S.ARCHETYPE_URBAN}'
             WHEN a_{DEV_METRIC} <= dl AND a_m_ret >= ph THEN '{S.ARCHETYPE_RURAL}' ELSE '{S.ARCHETYPE_MIXED}' END AS archetype,
-       n_entities, n_city, n_regency, {', '.join(f'{r("a_" + c)} AS mean_{c}' for c in PROFILE_COLS)}, members
+       n_entities, n_city, n_regency, {', '.join(f'{r("a_" + c)} AS mean_{c}' for c in PROFILE_COLS)}
 FROM p JOIN th ON TRUE""")
 def cluster_profiles(spark, sf_dir):
     mf = model_frame(spark, sf_dir)
-    return canonical(M.cluster_profiles(mf, K, PROFILE_COLS, DEV_METRIC, "m_ret", "entity_name", BOUND))
+    return canonical(M.cluster_profiles(mf, K, PROFILE_COLS, DEV_METRIC, "m_ret"))
 
 
 def _anova_sql(f):
@@ -149,7 +160,17 @@ def feature_importance(spark, sf_dir):
     return canonical(M.anova(model_frame(spark, sf_dir), FEATURES, labels=LABELS, with_p=False))
 
 
-@query("feature_importance_p", None)
+def _anova_p_sql(f):
+    # with k = 3 clusters the F tail has a closed form: (1 + 2 F / d2) ** (-d2 / 2)
+    return f"""SELECT feature, label, eta_squared, anova_f, round_even(power(1 + 2 * f / (n - g), -(n - g) / 2.0e0) * 1000000e0, 0) / 1000000e0 AS anova_p
+FROM (SELECT '{f}' AS feature, '{LABELS[f]}' AS label, {r("CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END")} AS eta_squared,
+        {r("(ssb / (g - 1)) / NULLIF(ssw / (n - g), 0)")} AS anova_f, (ssb / (g - 1)) / NULLIF(ssw / (n - g), 0) AS f, n, g
+  FROM (SELECT sum(nc * (mc - mu) * (mc - mu)) AS ssb, sum(sswc) AS ssw, max(sst) AS sst, max(n) AS n, count_if(nc > 0) AS g
+      FROM (SELECT cluster_id, count({f}) AS nc, avg({f}) AS mc, coalesce(var_pop({f}), 0) * count({f}) AS sswc FROM cl GROUP BY cluster_id) c
+      JOIN (SELECT avg({f}) AS mu, var_pop({f}) * count({f}) AS sst, count({f}) AS n FROM cl) t ON TRUE) x) y"""
+
+
+@query("feature_importance_p", MF_SQL + "\n" + "\nUNION ALL\n".join(_anova_p_sql(f) for f in FEATURES))
 def feature_importance_p(spark, sf_dir):
     """Same with the ANOVA p-value (F tail; a pandas UDF over one row per feature)."""
     return canonical(M.anova(model_frame(spark, sf_dir), FEATURES, labels=LABELS, with_p=True), 6)
@@ -174,13 +195,13 @@ def effect_size(spark, sf_dir):
 
 @query("two_group_comparison", None)
 def two_group_comparison(spark, sf_dir):
-    """Urban vs rural archetype: means, Cohen's d and Welch p, ordered by |d| at the sink."""
+    """Urban vs rural archetype: means, Cohen's d and Welch p, largest |d| first."""
     mf = model_frame(spark, sf_dir)
-    prof = M.cluster_profiles(mf, K, PROFILE_COLS, DEV_METRIC, "m_ret", None, None)
+    prof = M.cluster_profiles(mf, K, PROFILE_COLS, DEV_METRIC, "m_ret")
     labelled = M.attach_cluster_labels(mf, prof)
     out = M.two_group_stats(labelled, "archetype", S.ARCHETYPE_URBAN, S.ARCHETYPE_RURAL,
                             FEATURES + [CONTEXT_METRIC], LABELS, with_p=True)
-    return canonical(out, 6)
+    return canonical(out, 6).orderBy(F.abs("cohens_d").desc_nulls_last(), "feature")
 
 
 @query("adjusted_rand", """
@@ -214,6 +235,17 @@ def expectation_check(spark, sf_dir):
     return M.expectation_check(model_frame(spark, sf_dir), "entity_name", "cluster_id", EXPECTED_HIGH, EXPECTED_LOW, K)
 
 
+_NAMES = ", ".join([f"('high', '{n}', 0)" for n in EXPECTED_HIGH] + [f"('low', '{n}', {K - 1})" for n in EXPECTED_LOW])
+
+
+@query("expectation_names", f"""{MF_SQL}
+SELECT w.side, w.name, EXISTS (SELECT 1 FROM cl WHERE cl.entity_name = w.name AND cl.cluster_id = w.want) AS hit
+FROM (VALUES {_NAMES}) w(side, name, want)""")
+def expectation_names(spark, sf_dir):
+    """The expected names of the face-validity check, found and not found."""
+    return M.expectation_names(model_frame(spark, sf_dir), "entity_name", "cluster_id", EXPECTED_HIGH, EXPECTED_LOW, K)
+
+
 @query("relabel_clusters", f"""{MF_SQL},
 raw AS (SELECT entity, entity % 3 AS raw_cluster, score FROM cl),
 m AS (SELECT raw_cluster, avg(score) AS ms FROM raw GROUP BY raw_cluster),

@@ -14,9 +14,10 @@ SPEC = SMALL_SPEC
 
 def features_panel(spark, sf_dir, rank_strategy="distinct", processed=True):
     """The processed panel. Later stages (validation, exploration, modelling) read it many
-    times, so it is materialised once, like the processed panel file of a batch pipeline."""
-    out = FT.add_features(small_panel(spark, sf_dir), SPEC, rank_strategy=rank_strategy, materialize=True)
-    return cut_lineage(out) if processed else out
+    times, so it is written once, partitioned by period, like the processed panel file of a batch
+    pipeline: queries on one period read that period alone."""
+    out = FT.add_features(small_panel(spark, sf_dir), SPEC, rank_strategy=rank_strategy, materialize=not processed)
+    return cut_lineage(out, SPEC.period) if processed else out
 
 
 FEATURES_SQL = f"""WITH {PANEL_CTE},
@@ -30,12 +31,6 @@ def priority_rank(spark, sf_dir):
     return canonical(features_panel(spark, sf_dir, processed=False))
 
 
-@query("priority_rank_window", FEATURES_SQL)
-def priority_rank_window(spark, sf_dir):
-    """Same result through the direct per-period window (cross-check of the rank strategy)."""
-    return canonical(features_panel(spark, sf_dir, rank_strategy="window", processed=False))
-
-
 @query("yoy_change", f"""WITH {PANEL_CTE}
 SELECT entity, period, {', '.join(f"{r(m + ' - lag(' + m + ') OVER (PARTITION BY entity ORDER BY period)')} AS {m}_yoy_change" for m in SPEC.metric_names)}
 FROM panel""")
@@ -125,3 +120,12 @@ SELECT {feature_select(LARGE_SPEC)} FROM feat"""
 def priority_rank_large(spark, sf_dir):
     """The flagship features on the large panel: one row per (customer, month)."""
     return canonical(FT.add_features(large_panel(spark, sf_dir), LARGE_SPEC, materialize=True))
+
+
+@query("preprocess_manifest", f"""WITH {PANEL_CTE}
+SELECT count(*) AS row_count, count(DISTINCT entity) AS entity_count, min(period) AS period_min, max(period) AS period_max,
+       'lineitem.parquet;orders.parquet;customer.parquet' AS source_refs FROM panel""")
+def preprocess_manifest(spark, sf_dir):
+    """What the preprocessing run records of its panel."""
+    from kestrel.sources.ingest import run_manifest_row
+    return canonical(run_manifest_row(small_panel(spark, sf_dir), "entity", "period", ["lineitem.parquet", "orders.parquet", "customer.parquet"]))

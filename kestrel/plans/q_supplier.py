@@ -64,12 +64,13 @@ def supplier_sources(spark, sf_dir):
     return out
 
 
-def supplier_panel(spark, sf_dir, materialize_sources: bool = False):
+def supplier_panel(spark, sf_dir):
     frames, profiles = [], []
     for name, raw in supplier_sources(spark, sf_dir).items():
         metric = SOURCES[name][0]
-        ds = C.DatasetSpec(name, metric=metric, entity="entity", period="period")
-        cleaned, profile = C.clean_dataset(raw, ds, materialize_sources)
+        # one row per key: the ordinal has nothing to decide
+        ds = C.DatasetSpec(name, metric=metric, entity="entity", period="period", order_col="period")
+        cleaned, profile = C.clean_dataset(raw, ds)
         frames.append(cleaned)
         profiles.append(profile)
     panel = J.union_aggregate(frames, ["entity", "period"])
@@ -113,7 +114,7 @@ def supplier_panel_features(spark, sf_dir):
   (SELECT count_if({SOURCES[n][0]}_zeroed IS NULL) FROM {n}_clean) AS missing_metric_before_impute""" for n in _NAMES))
 def supplier_quality_profile(spark, sf_dir):
     """Quality counters of the four supplier sources (before the period filter)."""
-    _, profiles = supplier_panel(spark, sf_dir, materialize_sources=True)
+    _, profiles = supplier_panel(spark, sf_dir)
     out = profiles[0]
     for p in profiles[1:]:
         out = out.unionByName(p)

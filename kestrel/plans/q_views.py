@@ -24,8 +24,8 @@ _TIER = " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(S.TIER_NAMES_K3))
 _MEANS = [f"mean_{c}" for c in FEATURES]
 
 
-def _profiles(spark, sf_dir):
-    return M.cluster_profiles(model_frame(spark, sf_dir), K, PROFILE_COLS, DEV_METRIC, "m_ret", None, None)
+def _profiles(frame):
+    return M.cluster_profiles(frame, K, PROFILE_COLS, DEV_METRIC, "m_ret")
 
 
 _PROFILE_SQL = f"""{MF_SQL},
@@ -38,7 +38,7 @@ SELECT tier, indicator, {r('value')} AS value FROM (
   UNPIVOT INCLUDE NULLS (value FOR indicator IN ({', '.join(_MEANS)}))""")
 def unpivot_metrics(spark, sf_dir):
     """Cluster mean profile melted to (tier, indicator, value), nulls kept."""
-    prof = _profiles(spark, sf_dir).select("tier", *_MEANS)
+    prof = _profiles(model_frame(spark, sf_dir)).select("tier", *_MEANS)
     return canonical(VW.melt(prof, ["tier"], _MEANS))
 
 
@@ -73,8 +73,9 @@ SELECT CASE cluster_id {_TIER} END AS tier, {', '.join(f"{r(f'(mean_{c} - min(me
 FROM p""")
 def minmax_profile(spark, sf_dir):
     """Cluster means rescaled to 0..1 per indicator (constant indicator → null)."""
-    prof = _profiles(spark, sf_dir)
-    raw = model_frame(spark, sf_dir).groupBy("cluster_id").agg(*[F.avg(c).alias(f"mean_{c}") for c in FEATURES])
+    frame = model_frame(spark, sf_dir)
+    prof = _profiles(frame)
+    raw = frame.groupBy("cluster_id").agg(*[F.avg(c).alias(f"mean_{c}") for c in FEATURES])
     tiers = prof.select("cluster_id", "tier")
     out = VW.minmax_normalize(raw, _MEANS).join(tiers, "cluster_id")
     return canonical(out.select("tier", *_MEANS))

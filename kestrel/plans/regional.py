@@ -58,7 +58,7 @@ def panel_spec(available: list[str] | None = None) -> PanelSpec:
 
 def dataset_spec(name: str, metric: str) -> C.DatasetSpec:
     return C.DatasetSpec(
-        name, metric=metric, entity=ENTITY, period=PERIOD, entity_name=ENTITY_NAME, id_col="id",
+        name, metric=metric, entity=ENTITY, period=PERIOD, entity_name=ENTITY_NAME, id_col="id", order_col="ingest_order",
         dims=(PROVINCE_CODE, PROVINCE_NAME), dim_filter=(PROVINCE_NAME, "JAWA BARAT"),
         defaults=((PROVINCE_CODE, 32), (PROVINCE_NAME, "JAWA BARAT")),
         int_cols=("id", PROVINCE_CODE), name_cols=(PROVINCE_NAME, "satuan"), extra_cols=("satuan",))
@@ -73,7 +73,7 @@ def build_panel(spark: SparkSession, paths: dict[str, str], start: int = START,
     for name, metric, *_ in SOURCES:
         if name not in paths:
             continue
-        out, prof = C.clean_dataset(scan_csv(spark, paths[name]), dataset_spec(name, metric))
+        out, prof = C.clean_dataset(scan_csv(spark, paths[name], ingest_order="ingest_order"), dataset_spec(name, metric))
         cleaned.append(out.select(ENTITY, PERIOD, metric, f"{metric}_was_imputed"))
         dim_frames.append(out.select(*DIMS))
         profiles.append(prof)

@@ -45,10 +45,10 @@ def clean_ctes(name: str, raw_sql: str, e: str, p: str, i: str | None, m: str) -
     """Scrub chain as CTEs: raw → exact dedup → keep-last per (e, p) → zero-null →
     interior interpolation by position; the last CTE is ``{name}_clean``."""
     w = f"PARTITION BY {e} ORDER BY {p}"
-    order = f"{i} IS NULL DESC, {i} DESC, {m} DESC" if i else f"{m} DESC"
+    order = f"{i} IS NULL DESC, {i} DESC, {m} DESC NULLS LAST" if i else "1"  # without an id keys are unique
     idc = f"{i}, " if i else ""
     return f"""{name}_raw AS ({raw_sql}),
-{name}_dist AS (SELECT DISTINCT * FROM {name}_raw),
+{name}_dist AS (SELECT DISTINCT * FROM {name}_raw WHERE {e} IS NOT NULL AND {p} IS NOT NULL),
 {name}_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {e}, {p}
      ORDER BY {order}) AS rn FROM {name}_dist) t WHERE rn = 1),
 {name}_z AS (SELECT {e}, {p}, {idc}{m} AS {m}_orig, NULLIF({m}, 0) AS v,

@@ -49,18 +49,9 @@ LARGE_SPEC = PanelSpec(
 )
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table; the (immutable) DataFrame is reused within a session so the file
-    listing and footer read happen once per table."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _TABLES[key] = df
-    return df
+    """Parquet table, listed anew at every call (files may have landed meanwhile)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def hundredths(c: str):

@@ -2,16 +2,19 @@
 
 Everything in the library is lazy DataFrame code; this module only holds the few
 places where we touch session state: building a local session for tests/bench,
-resolving the shared checkpoint folder, and cutting lineage.
+resolving the shared folder, and cutting lineage.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+FILES_PER_PERIOD = 32  # at most so many files of one period in a partitioned hand-off
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "kestrel") -> SparkSession:
@@ -28,6 +31,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "8g"))
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix=f"{app}-shared-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -49,36 +53,20 @@ CLUSTER_CONF = {
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
-
-    On a cluster this must be the shared folder named by ``spark.checkpoint.dir``.
-    Only a local-mode session (tests, bench) without that setting gets its own
-    scratch folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    if sc.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-        sc.setCheckpointDir(path)
-        return path
-    raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for this cluster")
+    """Shared folder for lineage cuts: the one named by ``spark.checkpoint.dir``. Only a session
+    without that setting (tests) gets a folder beside its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints").rstrip("/")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss); never a local
-    checkpoint. The frame is persisted while the checkpoint is written, otherwise Spark
-    computes it twice (once for the materialising job, once for the checkpoint files)."""
-    try:
-        checkpoint_dir(df.sparkSession)
-    except AttributeError:  # Spark Connect: the server's spark.checkpoint.dir applies
-        pass
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = staged.checkpoint(eager=True)
-    staged.unpersist()
-    return out
+def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write the frame once as Parquet in the shared folder and read it back: several readers
+    share one computation, a lost executor costs nothing, and later steps keep column pruning,
+    filter pushdown, file statistics and (with ``partition_by``) partition pruning."""
+    path = f"{checkpoint_dir(df.sparkSession)}/handoff/{uuid.uuid4().hex}"
+    writer = df.write
+    if partition_by:
+        # one task per period's share of rows, not one file per task and period
+        writer = df.repartition(partition_by, F.pmod(F.spark_partition_id(), F.lit(FILES_PER_PERIOD))).write.partitionBy(partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -12,9 +12,10 @@ from kestrel.functions.text import standardize_columns
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             null_tokens=S.CSV_NULL_TOKENS, standardize: bool = True) -> DataFrame:
+             null_tokens=S.CSV_NULL_TOKENS, standardize: bool = True, ingest_order: str | None = None) -> DataFrame:
     """Header CSV scan. Without a schema every column is read as string (no inference
-    pass over the data); the usual missing-value tokens become null."""
+    pass over the data); the usual missing-value tokens become null. ``ingest_order`` names a
+    column for each row's place in its file (see :func:`with_ingest_order`)."""
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is None:
         header = spark.read.option("header", True).csv(path).schema  # header only
@@ -26,10 +27,20 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None,
         if isinstance(f.dataType, StringType):
             c = F.when(F.trim(c).isin(*null_tokens), F.lit(None).cast("string")).otherwise(c)
         cols.append(c.alias(f.name))
+    if ingest_order:
+        df, cols = with_ingest_order(df, ingest_order), [*cols, F.col(ingest_order)]
     out = df.select(*cols)
     return standardize_columns(out) if standardize else out
 
 
+def with_ingest_order(scan: DataFrame, name: str = "ingest_order") -> DataFrame:
+    """Adds the place of each row in its landed file: (file, block, row in the block), an ordinal that
+    orders rows as they stand in the file. Call it on the file scan itself."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    return scan.select("*", place.alias(name))
+
+
 def file_versions(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """(path, name, modified) of landed files, from file metadata only (content not read)."""
     reader = spark.read.format("binaryFile")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Status words and manifest columns.
 SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
 MANIFEST_COLUMNS = ("ingest_time", "logical_name", "stored_filename", "source_url", "checksum", "status", "notes")
 
@@ -57,10 +58,18 @@ def page_signatures(df: DataFrame, batch_cols: list[str], page_col: str, record_
     return sig.withColumn("repeated", F.coalesce(F.col("signature") == F.lag("signature").over(w), F.lit(False)))
 
 
-def manifest_rows(decisions: DataFrame, name_col: str, file_col: Column, url_col: Column) -> DataFrame:
-    """Rows for the append-only manifest (fixed column order)."""
+def require_new_pages(signatures: DataFrame) -> DataFrame:
+    """Raise if any page repeats the one before it (one small action); else the signatures."""
+    again = signatures.where("repeated").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*signatures.columns)).alias("first")).first()
+    if again["n"]:
+        raise RuntimeError(f"{again['n']} pages repeat the page before them, first: {again['first'].asDict()}")
+    return signatures
+
+
+def manifest_rows(decisions: DataFrame, name_col: str, file_col: Column, url_col: Column, time: Column | None = None) -> DataFrame:
+    """Rows for the append-only manifest (fixed column order); ``time``: of the ingest, else now."""
     return decisions.select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ingest_time"),
+        F.date_format(time if time is not None else F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ingest_time"),
         F.col(name_col).cast("string").alias("logical_name"), file_col.alias("stored_filename"),
         url_col.alias("source_url"), F.col("checksum"), F.col("status"), F.col("notes"))
 
@@ -86,8 +95,29 @@ def latest_per_key(df: DataFrame, key: str, time_col: str, tie: str) -> DataFram
     return picked.select(key, "__r.*")
 
 
-def source_summary(name: str, df: DataFrame, time_col: str | None) -> DataFrame:
-    """One catalog row: rows, column count (schema metadata), first/last year."""
+def run_manifest_row(panel: DataFrame, entity: str, period: str, source_refs: list[str]) -> DataFrame:
+    """What a preprocessing run records of its panel: rows, entities, period range, sources."""
+    return panel.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(entity).alias("entity_count"),
+                     F.min(period).alias("period_min"), F.max(period).alias("period_max")).withColumn("source_refs", F.lit(";".join(source_refs)))
+
+
+# Kinds of sources in the catalog.
+USABLE, NOT_STATISTICAL, OPENAPI, NOT_FOUND, READ_ERROR = "usable_columns", "not_statistical_records", "openapi_doc", "not_found", "read_error"
+
+
+def source_kind(columns: list[str] | None, required: list[str], error: Exception | None = None) -> str:
+    """Kind of a source from its columns (None: there is no such source)."""
+    if error is not None:
+        return READ_ERROR
+    if columns is None:
+        return NOT_FOUND
+    if {"openapi", "paths"} <= set(columns):
+        return OPENAPI
+    return USABLE if set(required) <= set(columns) else NOT_STATISTICAL
+
+
+def source_summary(name: str, df: DataFrame, time_col: str | None, required: list[str] = ()) -> DataFrame:
+    """One catalog row: rows, column count and kind (schema metadata), first/last year."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     if time_col:
         aggs += [F.min(F.year(time_col)).cast("bigint").alias("year_min"),
@@ -95,4 +125,4 @@ def source_summary(name: str, df: DataFrame, time_col: str | None) -> DataFrame:
     else:
         aggs += [F.lit(None).cast("bigint").alias("year_min"), F.lit(None).cast("bigint").alias("year_max")]
     return df.agg(*aggs).select(F.lit(name).alias("source"), "rows", F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-                                "year_min", "year_max", F.lit("usable_columns").alias("kind"))
+                                "year_min", "year_max", F.lit(source_kind(df.columns, list(required))).alias("kind"))

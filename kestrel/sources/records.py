@@ -15,31 +15,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _objects(arr: Column) -> Column:
-    return F.filter(arr, lambda e: F.startswith(F.ltrim(e), F.lit("{")))
+def _is(variant: Column, kind: str) -> Column:
+    return F.startswith(F.schema_of_variant(variant), F.lit(kind))
+
+
+def _objects(variants: Column) -> Column:
+    """The objects among the variants, as JSON text. A string that looks like an object is none."""
+    return F.transform(F.filter(variants, lambda v: _is(v, "OBJECT")), lambda v: F.to_json(v))
+
+
+def _elements(variant: Column) -> Column:
+    return F.try_variant_get(variant, "$", "array<variant>")
 
 
 def record_array(text: Column, allow_openapi: bool = False) -> Column:
-    """array<string> of record objects found in a JSON payload (see module doc)."""
-    t = F.trim(text)
-    as_array = F.from_json(t, "array<string>")
-    as_map = F.from_json(t, "map<string,string>")
-    data = F.element_at(as_map, F.lit("data"))
-    data_t = F.ltrim(data)
-    values = F.map_values(as_map)
-    lists = F.transform(F.filter(values, lambda v: F.startswith(F.ltrim(v), F.lit("["))),
-                        lambda v: _objects(F.from_json(v, "array<string>")))
+    """array<string> of record objects found in a JSON payload (see module doc). What is an array or
+    an object is decided by its JSON type, never by how a text begins."""
+    empty = F.array().cast("array<string>")
+    as_array = F.from_json(text, "array<variant>")
+    as_map = F.from_json(text, "map<string,variant>")  # keeps the order of the document
+    whole = F.try_parse_json(text)
+    data = F.try_element_at(as_map, F.lit("data"))
+    lists = F.transform(F.filter(F.map_values(as_map), lambda v: _is(v, "ARRAY")), lambda v: _objects(_elements(v)))
     first_list = F.try_element_at(F.filter(lists, lambda a: F.size(a) > 0), F.lit(1))
     is_openapi = F.map_contains_key(as_map, F.lit("openapi")) & F.map_contains_key(as_map, F.lit("paths"))
-    empty = F.array().cast("array<string>")
-    out = (F.when(F.startswith(t, F.lit("[")), _objects(as_array))
-           .when(~F.startswith(t, F.lit("{")) | as_map.isNull(), empty))
+    out = F.when(_is(whole, "ARRAY"), _objects(as_array)).when(~_is(whole, "OBJECT") | whole.isNull() | as_map.isNull(), empty)
     if not allow_openapi:
         out = out.when(is_openapi, empty)
-    out = (out.when(F.startswith(data_t, F.lit("[")), _objects(F.from_json(data, "array<string>")))
-           .when(F.startswith(data_t, F.lit("{")), F.array(data))
-           .otherwise(F.coalesce(first_list, empty)))
-    return out
+    return (out.when(_is(data, "ARRAY"), _objects(_elements(data)))
+            .when(_is(data, "OBJECT"), F.array(F.to_json(data)))
+            .otherwise(F.coalesce(first_list, empty)))
 
 
 def extract_records(df: DataFrame, text_col: str, keep: list[str] | None = None,
@@ -60,8 +65,8 @@ def json_file_records(spark: SparkSession, path: str, schema: StructType | str |
     files = spark.read.text(path, wholetext=True).withColumn("source_file", F.input_file_name())
     recs = extract_records(files, "value", ["source_file"])
     if schema is None:
-        # schema inference over the record texts (Spark's JSON reader takes an RDD of strings)
-        schema = spark.read.json(recs.select("record").rdd.map(lambda r: r[0])).schema
+        found = recs.select(F.expr("schema_of_variant_agg(try_parse_json(record))").alias("s")).first()["s"]
+        schema = found.replace("OBJECT<", "STRUCT<") if found and found.startswith("OBJECT<") else "STRUCT<>"
     return type_records(recs, schema)
 
 

@@ -8,16 +8,17 @@ append a manifest row) becomes a file-source stream with ``foreachBatch``:
 * files whose content already has a ``success`` row in the manifest are recorded as
   ``skipped`` / ``duplicate_checksum``; within one micro-batch the first file (by path)
   of identical content wins;
-* new content is appended to the archive partitioned by version, then manifest rows are
-  appended.
+* new content is written to the archive as one version per micro-batch, then its manifest rows.
 
-The streaming checkpoint records which files were consumed; the manifest check makes a
-re-run of a half-finished micro-batch harmless (its content is then a duplicate), so the
-job survives executor or driver loss.
+Version and manifest rows are named by the stream's id and the micro-batch's number and are
+overwritten by a replay, which leaves its own earlier manifest rows out of the duplicate check: a
+crash at any point, followed by a replay, archives each landed row exactly once.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -27,11 +28,23 @@ from kestrel.sources import ingest as I
 MANIFEST_SCHEMA = StructType([StructField(c, StringType(), True) for c in I.MANIFEST_COLUMNS])
 
 
-def _read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no manifest yet
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _read_manifest(spark: SparkSession, path: str, but: str) -> DataFrame:
+    """All manifest rows but those of the run ``but`` (a batch never counts as its own duplicate).
+    No folder means no manifest yet; any other trouble is raised."""
+    if not _exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    rows = spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+    return rows.where(~F.contains(F.col("_metadata.file_path"), F.lit(f"/run={but}/")))
+
+
+def _stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The identity a stream keeps as long as its checkpoint: two streams never share a version."""
+    return json.loads(spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def decide_batch(batch: DataFrame, manifest: DataFrame, record_cols: list[str]) -> DataFrame:
@@ -45,6 +58,10 @@ def decide_batch(batch: DataFrame, manifest: DataFrame, record_cols: list[str])
     })
 
 
+def write_manifest(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").parquet(path)
+
+
 def start_landing_ingest(spark: SparkSession, landing_dir: str, schema: StructType, archive_dir: str,
                          manifest_dir: str, checkpoint_location: str, name: str, fmt: str = "parquet",
                          record_cols: list[str] | None = None, available_now: bool = True,
@@ -57,15 +74,16 @@ def start_landing_ingest(spark: SparkSession, landing_dir: str, schema: StructTy
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         bs = batch.sparkSession
-        decisions = decide_batch(batch, _read_manifest(bs, manifest_dir), record_cols)
+        run = f"{_stream_id(bs, checkpoint_location)}-{epoch_id:010d}"
+        decisions = decide_batch(batch, _read_manifest(bs, manifest_dir, run), record_cols)
         decisions = decisions.cache()  # small: one row per landed file of this micro-batch
-        version = F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss'Z'")
         keep = decisions.where(F.col("status") == I.SUCCESS).select("source_file")
-        (batch.join(keep, "source_file", "left_semi").withColumn("version", version)
-         .write.mode("append").partitionBy("version").parquet(archive_dir))
+        # A replayed micro-batch has the same id and files: it overwrites its own archive version and
+        # its own manifest rows, and touches nothing else.
+        batch.join(keep, "source_file", "left_semi").write.mode("overwrite").parquet(f"{archive_dir.rstrip('/')}/version={run}")
         rows = I.manifest_rows(decisions.withColumn("__name", F.lit(name)), "__name",
                                F.element_at(F.split("source_file", "/"), -1), F.col("source_file"))
-        I.append_manifest(rows, manifest_dir)
+        write_manifest(rows, f"{manifest_dir.rstrip('/')}/run={run}")
         decisions.unpersist()
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)

@@ -181,11 +181,14 @@ def test_slopes_levels_actions(frame, regions):
 def test_cluster_statistics_with_published_labels(frame):
     feats = list(RG.CLUSTER_FEATURES)
     prof = {r.cluster_id: r for r in M.cluster_profiles(
-        frame, 3, feats + ["skor_kerentanan_sosial"], "indeks_pembangunan_manusia", "persentase_penduduk_miskin",
-        "nama_kabupaten_kota", 27).collect()}
+        frame, 3, feats + ["skor_kerentanan_sosial"], "indeks_pembangunan_manusia", "persentase_penduduk_miskin").collect()}
+    members = lambda cols: {k: "; ".join(sorted(v)) for k, v in M.group_members(frame, cols, "nama_kabupaten_kota").toPandas()
+                            .groupby(cols)["member"].apply(list).items()}
+    by_cluster = members(["cluster_id"])
+    by_cluster = {k[0] if isinstance(k, tuple) else k: v for k, v in by_cluster.items()}
     for _, g in golden("anggota").iterrows():
         r = prof[g.cluster_id]
-        assert (r.tier, r.archetype, r.n_entities, r.n_city, r.n_regency, r.members) == \
+        assert (r.tier, r.archetype, r.n_entities, r.n_city, r.n_regency, by_cluster[g.cluster_id]) == \
             (g.cluster_vulnerability_tier, g.profil_ekonomi, g.jumlah_wilayah, g.jumlah_kota, g.jumlah_kabupaten, g.anggota)
         for c in feats + ["skor_kerentanan_sosial"]:
             assert r[f"mean_{c}"] == pytest.approx(g[f"mean_{c}"], abs=TOL)
@@ -195,7 +198,7 @@ def test_cluster_statistics_with_published_labels(frame):
         assert (r.eta_squared, r.anova_f) == (pytest.approx(g.eta_squared, abs=TOL), pytest.approx(g.anova_f, abs=TOL))
         assert r.anova_p == pytest.approx(g.anova_p, abs=2e-6)
     labelled = M.attach_cluster_labels(frame, M.cluster_profiles(
-        frame, 3, feats, "indeks_pembangunan_manusia", "persentase_penduduk_miskin", None, None))
+        frame, 3, feats, "indeks_pembangunan_manusia", "persentase_penduduk_miskin"))
     cmp = {r.feature: r for r in M.two_group_stats(labelled, "archetype", "urban_industri", "rural_agraris",
                                                     feats).collect()}
     for _, g in golden("cohens_d").iterrows():
@@ -207,12 +210,13 @@ def test_cluster_statistics_with_published_labels(frame):
         assert r.cohens_d == pytest.approx(g.cohens_d, abs=TOL)
         assert r.welch_p == pytest.approx(g.welch_p, abs=2e-6)
     mat = {(r.vulnerability_level, r.trend_label): r for r in
-           M.priority_matrix(frame, "nama_kabupaten_kota", 27).collect()}
+           M.priority_matrix(frame).collect()}
+    by_cell = members(["vulnerability_level", "trend_label"])
     gold = golden("dominant_cluster_id")
     assert len(mat) == len(gold)
     for _, g in gold.iterrows():
         r = mat[(g.level_kerentanan, g.tren_kemiskinan)]
-        assert (r.priority_action, r.n_entities, r.dominant_cluster_id, r.members) == \
+        assert (r.priority_action, r.n_entities, r.dominant_cluster_id, by_cell[(g.level_kerentanan, g.tren_kemiskinan)]) == \
             (g.prioritas_aksi, g.jumlah_wilayah, g.dominant_cluster_id, g.wilayah)
 
 

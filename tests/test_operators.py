@@ -164,8 +164,8 @@ def test_histogram_max_in_last_bin(spark):
 def test_mode_tie_smallest(spark):
     df = spark.createDataFrame([("tinggi", "stabil", 2, "B"), ("tinggi", "stabil", 1, "A")],
                                "vulnerability_level string, trend_label string, cluster_id int, name string")
-    r = M.priority_matrix(df, "name", 10).first()
-    assert r.dominant_cluster_id == 1 and r.members == "A; B" and r.priority_action == "intervensi_intensif"
+    r = M.priority_matrix(df).first()
+    assert r.dominant_cluster_id == 1 and r.priority_action == "intervensi_intensif"
 
 
 def test_outer_join_key_in_one_input(spark):
