@@ -141,7 +141,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """SCORED columns, one row per row of ``docs``. ``labels`` is (id_col, quality)."""
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     trusted = labels.filter("quality = 1").select(F.col(id_col).cast("bigint").alias(KEY)).distinct()
-    # only documents that may be trusted are shuffled to meet the labels
-    target = bucket_counts(sieved(slim.select(F.col("id").alias(KEY), "text"), trusted)[0].join(trusted, KEY, "left_semi"))
+    # only documents that may be trusted are shuffled to meet the labels; the same way at every size
+    likely = sieved(slim.select(F.col("id").alias(KEY), "text"), trusted)[0]
+    target = bucket_counts(likely.join(trusted.hint("merge"), KEY, "left_semi"))
     ratios = log_ratios(target, bucket_counts(slim))
     return slim.mapInArrow(_scorer(ratios, threshold), SCORED)
