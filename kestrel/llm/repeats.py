@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from kestrel.llm import textscan as ts
 from kestrel.llm.common import KEY, partitions, sieved, stored
 
-FLUSH_GROUPS = 1 << 21  # groups a task holds before it sends them off (about 40 bytes each)
+FLUSH_GROUPS = 1 << 20  # groups a task holds before it sends them off (28 bytes each, a few copies)
 
 SPAN_BYTES = 6  # of a span's hash; with the anchor's 8 bytes a decision rests on 112 bits
 SPAN_MASK = np.uint64((1 << 8 * SPAN_BYTES) - 1)
@@ -47,7 +47,7 @@ PACKED = "part int, key bigint, spans binary, anchor binary, span binary, keys b
 SETTLED = f"{KEY} bigint, kind int, spans binary"
 #: Kinds of SETTLED rows: spans that repeat, open spans, and open spans of an anchor with more than CROWD of them.
 REPEATED, OPEN, CROWDED = 0, 1, 2
-CROWD = 4096
+CROWD = 1024
 PACKED_SPANS = "part int, keys binary, at binary, n binary, anchor binary, symbols binary"
 
 #: (data, bounds) of a slice -> (symbols as uint64, first symbol of each document)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # bytes of text handled at once; one longer document is a slice of its own
+SLICE_BYTES = 1 << 20  # bytes of text handled at once; one longer document is a slice of its own
 
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240501))
