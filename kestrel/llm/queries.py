@@ -88,3 +88,28 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("found").withColumnRenamed("id", "doc_id")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES["op9_minhash_near_dedup"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w),
+n AS (SELECT w.doc_id, count(sh.s) AS n FROM w LEFT JOIN sh USING (doc_id) GROUP BY w.doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.y FROM reach JOIN links ON links.x = reach.b)
+SELECT n.doc_id, n.n AS n_shingles, min(reach.b) AS component_id, n.doc_id = min(reach.b) AS kept
+FROM n JOIN reach ON reach.a = n.doc_id GROUP BY n.doc_id, n.n"""
+
+ORACLES["op10_substring_dedup"] = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+starts AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(ws[i:i + 19], ' ')) ORDER BY doc_id, i) AS nth
+           FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w) x),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM starts, range(0, 20) r(j) WHERE nth > 1),
+k AS (SELECT t.doc_id, count(*) AS n_words, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY t.i) FILTER (WHERE gone.i IS NULL) AS kept
+      FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)"""
