@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from kestrel.llm.common import ship  # noqa: E402
+from kestrel.session import local_session  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session("*", shuffle_partitions=8, app="kestrel-tests")
+    ship(session)
+    return session
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def frame(spark, rows):
+    """documents from (doc_id, text) pairs, with columns whose names operators use inside."""
+    return spark.createDataFrame([(i, t, None, None, 0, 1, "x", [b"y"], True) for i, t in rows],
+                                 DOCS + ", id int, score string, spans array<binary>, kept boolean")
