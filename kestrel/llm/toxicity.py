@@ -27,8 +27,9 @@ ignored. Words of more than MAX_WORD bytes are scored in overlapping pieces.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections import Counter
+from array import array
 from itertools import combinations
 
 import numpy as np
@@ -40,13 +41,14 @@ from kestrel.llm.common import text_id
 from kestrel.llm.linear import train_svm
 
 SAMPLE_PER_CLASS = 3000  # labelled documents of either label used for training
-TRAIN_CHARS = 12000      # of each of them
+TRAIN_CHARS = 8000      # of each of them
 LANDMARKS = 240
 SPAN = 6                 # characters a subsequence of three may span
 DECAY = 0.7
 COST = 30.0
 ROUNDS = 3
 MAX_WORD = 24
+INSERTIONS = 1           # variants of every witness with a letter put in, for training
 SPACED = 4               # so many single letters in a row are read as one word
 CACHE_WORDS = 1 << 20    # margins a Python worker remembers
 
@@ -106,6 +108,7 @@ class Kernel:
     """The kernel against fixed landmark words."""
 
     def __init__(self, landmarks: list[bytes]):
+        self.words = landmarks
         codes, weights = subsequences(matrix(landmarks))
         length = norms(codes, weights)
         self.codes = np.unique(codes[codes > 0])
@@ -223,11 +226,11 @@ def sentences(text: str) -> list[list[bytes]]:
 
 
 def with_insertions(words: list[bytes]) -> list[bytes]:
-    """Two variants of each word of five letters or more, with one letter put in (fixed choice)."""
+    """Variants of each word of five letters or more, with one letter put in (a fixed choice)."""
     out = []
     for w in words:
         if 5 <= len(w) < MAX_WORD and w.isascii():
-            for turn in (1, 2):
+            for turn in range(INSERTIONS):
                 draw = int(ts.mix(np.array([sum(c * 31 ** i for i, c in enumerate(w)) % (1 << 61) + turn], dtype=np.uint64))[0])
                 at = 1 + draw % (len(w) - 1)
                 out.append(w[:at] + bytes([97 + (draw >> 20) % 26]) + w[at:])
@@ -236,55 +239,103 @@ def with_insertions(words: list[bytes]) -> list[bytes]:
 
 # ---------------------------------------------------------------- training
 
+class Sample:
+    """Training documents as numbers: words by id, and each document's word ids by sentence."""
+
+    def __init__(self, texts: list[str]):
+        ids_of: dict[bytes, int] = {}
+        self.ids, self.sentence = [], []
+        for text in texts:
+            ids, sentence = array("i"), array("i")
+            for s, words in enumerate(sentences(text)):
+                for w in words:
+                    ids.append(ids_of.setdefault(w, len(ids_of)))
+                    sentence.append(s)
+            self.ids.append(np.array(ids, dtype=np.int32))
+            self.sentence.append(np.array(sentence, dtype=np.int32))
+        self.words = list(ids_of)
+        self.rank = np.empty(len(self.words), dtype=np.int32)  # alphabetical, to break ties
+        self.rank[sorted(range(len(self.words)), key=self.words.__getitem__)] = np.arange(len(self.words))
+
+    def counts(self, which: np.ndarray) -> np.ndarray:
+        """In how many of the chosen documents each word occurs."""
+        out = np.zeros(len(self.words), dtype=np.int64)
+        for ids, ok in zip(self.ids, which):
+            if ok:
+                out[np.unique(ids)] += 1
+        return out
+
+    def strengths(self, toxic: np.ndarray) -> np.ndarray:
+        """How far a word sets toxic documents apart: by its best substring of four bytes, so that
+        the forms of a rare stem add up."""
+        part_ids: dict[bytes, int] = {}
+        flat, size = array("i"), array("i")
+        for w in self.words:
+            parts = substrings(w)
+            size.append(len(parts))
+            flat.extend(part_ids.setdefault(p, len(part_ids)) for p in parts)
+        flat, size = np.array(flat, dtype=np.int32), np.array(size, dtype=np.int64)
+        start = np.cumsum(size) - size
+        counts = np.zeros((2, len(part_ids)))
+        for ids, bad in zip(self.ids, toxic):
+            own = np.unique(ids)
+            n = size[own]
+            at = np.repeat(start[own], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            counts[int(bad), np.unique(flat[at])] += 1
+        clean, dirty = counts
+        n1, n0 = toxic.sum(), (~toxic).sum()
+        odds = (np.log((dirty + 0.5) / (n1 - dirty + 0.5)) - np.log((clean + 0.5) / (n0 - clean + 0.5))) * np.log1p(dirty)
+        out = np.zeros(len(self.words))
+        np.maximum.at(out, np.repeat(np.arange(len(self.words)), size), odds[flat])
+        return out
+
+    def best(self, doc: int, value: np.ndarray, by_sentence: bool) -> np.ndarray:
+        """The word of the largest value in the document, or in each of its sentences."""
+        ids = self.ids[doc]
+        if not len(ids):
+            return ids
+        sentence = self.sentence[doc] if by_sentence else np.zeros(len(ids), dtype=np.int32)
+        order = np.lexsort((self.rank[ids], value[ids], sentence))
+        return ids[order][np.append(np.diff(sentence[order]) != 0, True)]
+
+
 def fit_texts(texts: list[str], toxic: np.ndarray, share: float = 0.5) -> Machine | None:
-    """Train on documents and their labels (1 toxic, 0 clean); ``share`` of all labelled documents
-    are toxic, whatever their share of the sample."""
+    """Train on documents and their labels (1 toxic, 0 clean); toxic documents carry ``share`` of the
+    weight when the logistic curve is fitted."""
     toxic = np.asarray(toxic) == 1
     if not toxic.any() or toxic.all():
         return None
-    parts = [sentences(t) for t in texts]
-    bags = [sorted({w for s in p for w in s}) for p in parts]
-    in_toxic, in_clean = Counter(), Counter()
-    parts_toxic, parts_clean = Counter(), Counter()
-    for bag, bad in zip(bags, toxic):
-        (in_toxic if bad else in_clean).update(bag)
-        (parts_toxic if bad else parts_clean).update({g for w in bag for g in substrings(w)})
-    n1, n0 = toxic.sum(), (~toxic).sum()
-
-    def odds(part: bytes) -> float:
-        a, b = parts_toxic[part], parts_clean[part]
-        return (np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))) * np.log1p(a)
-
-    # how far a word sets toxic documents apart: by its best substring, so that forms of a rare stem add up
-    of_part = {g: odds(g) for g in parts_toxic}
-    strength = {w: max((of_part[g] for g in substrings(w)), default=0.0) for w in in_toxic}
-    landmarks = choose_landmarks(strength, in_clean)
-    kernel = Kernel(landmarks)
-    gram = kernel(landmarks)
+    sample = Sample(texts)
+    words = sample.words
+    in_clean = sample.counts(~toxic)
+    strength = sample.strengths(toxic)
+    strength[sample.counts(toxic) == 0] = 0.0
+    frequent = np.lexsort((sample.rank, -in_clean))  # clean words, the most frequent first
+    frequent = frequent[:np.count_nonzero(in_clean)]
+    kernel = Kernel(choose_landmarks(sample, strength, in_clean, frequent))
+    gram = kernel(kernel.words)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors * np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0.0) @ vectors.T  # K_mm^-1/2
 
     # first witnesses: the strongest word of a toxic document; then the machine's own choice
-    strongest = [max(bag, key=lambda w: (strength[w], w)) for bag, bad in zip(bags, toxic) if bad and bag]
-    clean_words = [w for w, _ in sorted(in_clean.items(), key=lambda x: (-x[1], x[0]))]
-    negatives = clean_words[:2000] + clean_words[2000::max(1, (len(clean_words) - 2000) // 4000)]
-    vocabulary = sorted(set(in_toxic) | set(in_clean))
-    as_matrix = matrix(vocabulary)
+    bad_docs = np.flatnonzero(toxic)
+    strongest = np.unique(np.concatenate([sample.best(d, strength, False) for d in bad_docs]))
+    negatives = np.concatenate([frequent[:2000], frequent[2000::max(1, (len(frequent) - 2000) // 4000)]])
+    as_matrix = matrix(words)
     machine = None
     for _ in range(ROUNDS):
-        positives = sorted({*strongest, *with_insertions(sorted(set(strongest)))} - set(clean_words))
-        words = positives + sorted(set(negatives) - set(positives))
-        y = np.where(np.arange(len(words)) < len(positives), 1, -1)
-        phi = kernel(words) @ root
-        weights = train_svm(phi, y, cost=COST, passes=10)
-        folded = kernel.table[:-1] @ (root @ weights[:-1])
-        machine = Machine(kernel.codes, folded, float(weights[-1]), (1.0, 0.0))
-        margin = dict(zip(vocabulary, machine.margins(as_matrix)))
-        strongest = [best for p, bad in zip(parts, toxic) if bad for best in (max(s, key=lambda w: (margin[w], w)) for s in p) if margin[best] > 0]
-        strongest += [max(bag, key=lambda w: (margin[w], w)) for bag, bad in zip(bags, toxic) if bad and bag]
-        hard = sorted(in_clean, key=lambda w: (-margin[w], w))[:4000]
-        negatives = clean_words[:1000] + hard
-    best = np.array([max((margin[w] for w in bag), default=machine.bias) for bag in bags])
+        wanted = {words[i] for i in strongest}
+        positives = sorted({*wanted, *with_insertions(sorted(wanted))} - {words[i] for i in frequent})
+        others = sorted({words[i] for i in negatives} - set(positives))
+        y = np.where(np.arange(len(positives) + len(others)) < len(positives), 1, -1)
+        weights = train_svm(kernel(positives + others) @ root, y, cost=COST, passes=10)
+        machine = Machine(kernel.codes, kernel.table[:-1] @ (root @ weights[:-1]), float(weights[-1]), (1.0, 0.0))
+        margin = machine.margins(as_matrix)
+        witnesses = np.concatenate([sample.best(d, margin, True) for d in bad_docs])
+        strongest = np.unique(np.concatenate([witnesses[margin[witnesses] > 0], *[sample.best(d, margin, False) for d in bad_docs]]))
+        hard = np.lexsort((sample.rank, -np.where(in_clean > 0, margin, -np.inf)))[:min(4000, len(frequent))]
+        negatives = np.concatenate([frequent[:1000], hard])
+    best = np.array([margin[ids].max(initial=machine.bias) for ids in sample.ids])
     machine.curve = logistic(best, toxic, share)
     return machine
 
@@ -295,23 +346,24 @@ def substrings(word: bytes) -> set[bytes]:
     return {word[i:i + 4] for i in range(len(word) - 3)}
 
 
-def choose_landmarks(strength: dict[bytes, float], in_clean: Counter) -> list[bytes]:
+def choose_landmarks(sample: Sample, strength: np.ndarray, in_clean: np.ndarray, frequent: np.ndarray) -> list[bytes]:
     """Half of the landmarks set toxic texts apart (each unlike those picked before), half are
     everyday words of clean texts, spread over their frequencies."""
-    ranked = sorted((w for w in strength if len(w) >= 3 and w not in in_clean), key=lambda w: (-strength[w], w))[:1500]
-    chosen: list[bytes] = []
+    long = np.array([len(w) >= 3 for w in sample.words])
+    ranked = [i for i in np.lexsort((sample.rank, -strength))[:20_000] if long[i] and not in_clean[i] and strength[i] > 0][:1500]
+    chosen: list[int] = []
     if ranked:
-        gram = Kernel(ranked)(ranked)
-        left = np.array([max(strength[w], 0.0) for w in ranked])
-        nearest = np.zeros(len(ranked))
+        names = [sample.words[i] for i in ranked]
+        gram = Kernel(names)(names)
+        left, nearest = strength[ranked].copy(), np.zeros(len(ranked))
         for _ in range(min(LANDMARKS // 2, len(ranked))):
             best = int(np.argmax(left * (1 - nearest)))
             chosen.append(ranked[best])
             nearest = np.maximum(nearest, gram[:, best])
             left[best] = -1.0
-    everyday = [w for w, _ in sorted(in_clean.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 3 and w not in chosen][:4000]
+    everyday = [i for i in frequent[:8000] if long[i] and i not in set(chosen)][:4000]
     step = max(1, len(everyday) // max(1, LANDMARKS - len(chosen)))
-    return chosen + everyday[::step][:LANDMARKS - len(chosen)]
+    return [sample.words[i] for i in chosen + everyday[::step][:LANDMARKS - len(chosen)]]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
@@ -341,7 +393,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, TRAIN_CHARS).alias("text")).filter("text is not null")
     got = texts.join(F.broadcast(picked), "id").select("rank", "id", "text", "y").toArrow()  # at most 2 * per_class labels are sent
     got = got.sort_by([("rank", "ascending"), ("id", "ascending"), ("text", "ascending")])
-    return fit_texts(got["text"].to_pylist(), got["y"].to_numpy(), counts["bad"] / counts["n"]) if got.num_rows else None
+    # the curve weighs toxic documents midway between equal weights and their share of all labels
+    share = (counts["bad"] / counts["n"] + 0.5) / 2 if got.num_rows else 0.5
+    machine = fit_texts(got["text"].to_pylist(), got["y"].to_numpy(), share) if got.num_rows else None
+    del got
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    return machine
 
 
 # ---------------------------------------------------------------- scoring
