@@ -320,6 +320,10 @@ def fit_texts(texts: list[str], toxic: np.ndarray, share: float = 0.5) -> Machin
     # first witnesses: the strongest word of a toxic document; then the machine's own choice
     bad_docs = np.flatnonzero(toxic)
     strongest = np.unique(np.concatenate([sample.best(d, strength, False) for d in bad_docs]))
+    # a substring of one toxic document alone says nothing: a word must share one with another
+    alone = (np.log(1.5 / (toxic.sum() - 0.5)) - np.log(0.5 / ((~toxic).sum() + 0.5))) * np.log(2)
+    if (strength[strongest] > alone + 1e-9).any():
+        strongest = strongest[strength[strongest] > alone + 1e-9]
     negatives = np.concatenate([frequent[:2000], frequent[2000::max(1, (len(frequent) - 2000) // 4000)]])
     as_matrix = matrix(words)
     machine = None
@@ -332,7 +336,7 @@ def fit_texts(texts: list[str], toxic: np.ndarray, share: float = 0.5) -> Machin
         machine = Machine(kernel.codes, kernel.table[:-1] @ (root @ weights[:-1]), float(weights[-1]), (1.0, 0.0))
         margin = machine.margins(as_matrix)
         witnesses = np.concatenate([sample.best(d, margin, True) for d in bad_docs])
-        strongest = np.unique(np.concatenate([witnesses[margin[witnesses] > 0], *[sample.best(d, margin, False) for d in bad_docs]]))
+        strongest = np.union1d(strongest, witnesses[margin[witnesses] > 0])
         hard = np.lexsort((sample.rank, -np.where(in_clean > 0, margin, -np.inf)))[:min(4000, len(frequent))]
         negatives = np.concatenate([frequent[:1000], hard])
     best = np.array([margin[ids].max(initial=machine.bias) for ids in sample.ids])
