@@ -25,8 +25,8 @@ from kestrel.llm import textscan as ts
 from kestrel.llm.common import KEY, sieved
 
 BUCKETS = 1 << 16
-SMOOTHING = 1.0          # added to every bucket's count, in both multinomials
-THRESHOLD = -0.4         # nats per n-gram
+SMOOTHING = 10.0         # added to every bucket's count, in both multinomials
+THRESHOLD = -0.25        # nats per n-gram
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30

@@ -51,7 +51,7 @@ def brute_scores(texts, trusted):
     raw = Counter(g for gs in grams for g in gs)
     target = Counter(g for gs, ok in zip(grams, trusted) if ok for g in gs)
     def share(c, g):
-        return (c[g] + 1) / (sum(c.values()) + llr_quality.BUCKETS)
+        return (c[g] + llr_quality.SMOOTHING) / (sum(c.values()) + llr_quality.SMOOTHING * llr_quality.BUCKETS)
     return [sum(np.log(share(target, g) / share(raw, g)) for g in gs) / max(len(gs), 1) for gs in grams]
 
 
