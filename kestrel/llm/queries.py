@@ -87,7 +87,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents")).drop("found").withColumnRenamed("id", "doc_id")
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("found").withColumnRenamed("id", "doc_id").withColumn("score", F.round("score", 6))
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -113,3 +113,53 @@ k AS (SELECT t.doc_id, count(*) AS n_words, count(gone.i) AS n_removed, string_a
       FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id)
 SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)"""
+
+
+def _escaped_sql(col: str, lines: bool = False) -> str:
+    out = f"replace({col}, '\\', '\\e')"
+    for word in chat_format.CONTROL:
+        out = f"replace({out}, '{word}', '{chr(92)}{'l' if word[0] == '<' else 'b'}{word[1:]}')"
+    return f"replace({out}, chr(10), '\\n')" if lines else out
+
+
+ORACLES["op2_chat_formatting"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+p AS (SELECT *, len(regexp_extract_all(text, '\\w+|[^\\w\\s\\x0B]')) + {chat_format.MARKERS} AS tokens,
+             {len(chat_format.START) + len(chat_format.STOP) + 2} + length({_escaped_sql('role', True)}) + length({_escaped_sql('text')}) AS size FROM t),
+o AS (SELECT *, row_number() OVER w AS place, sum(tokens) OVER (w ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER (PARTITION BY conv_id) AS n
+      FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+s AS (SELECT conv_id, tokens, size FROM o WHERE place = 1 AND role = 'system' AND n > 1),
+b AS (SELECT o.conv_id, o.size, o.upto - coalesce(s.tokens, 0) - o.tokens AS a, o.upto - coalesce(s.tokens, 0) AS z, coalesce(s.size, 0) AS system,
+             greatest({chat_format.BUDGET - chat_format.HISTORY} - coalesce(s.tokens, 0), {chat_format.LEAST_BODY}) AS stretch
+      FROM o LEFT JOIN s USING (conv_id) WHERE s.conv_id IS NULL OR o.place > 1),
+h AS (SELECT *, a // stretch AS home, (z - 1) // stretch > a // stretch AS crosses FROM b),
+spans AS (SELECT conv_id, home, crosses, min(a) AS begin, any_value(system) + sum(size) AS size FROM h GROUP BY conv_id, home, crosses),
+chars AS (SELECT conv_id, sum(size) + sum((SELECT coalesce(sum(h.size), 0) FROM h WHERE h.conv_id = spans.conv_id AND h.z <= spans.begin AND h.a >= spans.begin - {chat_format.HISTORY})) AS formatted_chars
+          FROM spans GROUP BY conv_id),
+d AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS said,
+             coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss FROM o GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM d JOIN chars USING (conv_id)"""
+
+_PHRASES = (*licenses.BASE, *licenses.FURTHER)
+_LICENCE_WORDS = licenses.vocabulary(_PHRASES)
+
+
+def _places_sql(phrase: str) -> str:
+    words = phrase.split()
+    listed = ", ".join(f"'{w}'" for w in words)
+    return f"list_filter(range(0, greatest(len(ws) - {len(words) - 1}, 0)), lambda i: ws[i + 1:i + {len(words)}] = [{listed}])"
+
+
+ORACLES["op5_license_scan"] = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+idf AS (SELECT {', '.join(f"ln((count(*) + 1) / (count_if(list_contains(ws, '{v}')) + 1)) AS i_{v}" for v in _LICENCE_WORDS)} FROM w),
+m AS (SELECT {', '.join(' + '.join(f'i_{v}' for v in sorted(set(p.split()))) + f' AS m{k}' for k, (p, _) in enumerate(_PHRASES))} FROM idf),
+f AS (SELECT doc_id, len(ws) AS n, {', '.join(f'{_places_sql(p)} AS p{k}' for k, (p, _) in enumerate(_PHRASES))} FROM w),
+g AS (SELECT *, {' || '.join(f'p{k}' for k in range(len(licenses.BASE)))} AS starts FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(starts) AS BIGINT) AS n_base, list_min(starts) AS first_word, list_max(starts) AS last_word,
+       array_to_string(list_sort(list_distinct([{', '.join(f"CASE WHEN len(p{k}) > 0 THEN '{l}' END" for k, (_, l) in enumerate(licenses.BASE))}])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct([{', '.join(f"CASE WHEN len(p{k}) > 0 THEN '{l}' END" for k, (_, l) in enumerate(_PHRASES))}])), ',') AS labels,
+       round(coalesce(greatest({', '.join(f'CASE WHEN len(p{k}) > 0 THEN m{k} END' for k in range(len(_PHRASES)))}), 0) / greatest({', '.join(f'm{k}' for k in range(len(_PHRASES)))}, 1e-9), 6) AS score
+FROM g, m"""
