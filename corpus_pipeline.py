@@ -12,14 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kestrel.llm import curve_packing, decontam, minhash, rlz_dedup, toxicity
-from kestrel.llm.common import ship, stored, table
+from kestrel.llm.common import KEY, ship, sieved, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _rejected(docs: DataFrame, bad_ids: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is among bad_ids (doc_id)."""
-    return docs.alias("d").join(bad_ids.distinct().alias("b"), F.expr("d.doc_id <=> b.doc_id"), "left_anti").select(*COLUMNS)
+    """docs without the rows whose doc_id is among bad_ids (doc_id). Only rows that may be among them
+    are shuffled to find out."""
+    bad = stored(bad_ids.select(F.col("doc_id").alias(KEY)).distinct())
+    maybe, never = sieved(docs.select(*COLUMNS, F.col("doc_id").alias(KEY)), bad)
+    good = maybe.alias("d").join(bad.alias("b"), F.expr(f"d.{KEY} <=> b.{KEY}"), "left_anti")
+    return good.select(*COLUMNS).unionByName(never.select(*COLUMNS))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
