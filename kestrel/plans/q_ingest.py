@@ -81,19 +81,22 @@ def ingest_dedup(spark, sf_dir):
 
 
 @query("repeated_pages", """
-WITH p AS (SELECT CAST(day(ts) AS BIGINT) AS batch_day, user_id % 10 AS page, count(*) AS n_records,
-                  string_agg(CAST(event_id AS VARCHAR) || '|' || CAST(ts AS VARCHAR) || '|' || CAST(user_id AS VARCHAR)
-                             || '|' || event_type || '|' || CAST(value AS VARCHAR) || '|' || props, '#'
-                             ORDER BY event_id, ts, user_id, event_type, value, props) AS content
-           FROM events GROUP BY 1, 2)
+WITH e AS (SELECT *, CAST(day(ts) AS BIGINT) AS batch_day, 2 * (user_id % 10) AS page FROM events
+           UNION ALL SELECT *, CAST(day(ts) AS BIGINT), 2 * (user_id % 10) + 1 FROM events WHERE day(ts) % 2 = 0),
+p AS (SELECT batch_day, page, count(*) AS n_records,
+             string_agg(CAST(event_id AS VARCHAR) || '|' || CAST(ts AS VARCHAR) || '|' || CAST(user_id AS VARCHAR)
+                        || '|' || event_type || '|' || CAST(value AS VARCHAR) || '|' || props, '#'
+                        ORDER BY event_id, ts, user_id, event_type, value, props) AS content
+      FROM e GROUP BY 1, 2)
 SELECT batch_day, CAST(page AS BIGINT) AS page, n_records,
        coalesce(content = lag(content) OVER (PARTITION BY batch_day ORDER BY page), false) AS repeated
 FROM p""")
 def repeated_pages(spark, sf_dir):
-    """Pages (user_id mod 10) of each day batch, flagged when a page's records equal the
-    previous page's (compared by content fingerprint)."""
-    ev = table(spark, sf_dir, "events").withColumns({"batch_day": F.dayofmonth("ts").cast("bigint"),
-                                                     "page": (F.col("user_id") % 10).cast("bigint")})
+    """Pages of each day batch (by user_id mod 10; on even days every page comes twice), flagged when a
+    page's records equal the previous page's (compared by content fingerprint)."""
+    day, page = F.dayofmonth("ts").cast("bigint"), (F.col("user_id") % 10).cast("bigint")
+    ev = table(spark, sf_dir, "events").withColumn("batch_day", day).withColumn(
+        "page", F.explode(F.when(day % 2 == 0, F.array(2 * page, 2 * page + 1)).otherwise(F.array(2 * page))))
     sig = I.page_signatures(ev, ["batch_day"], "page", RECORD_COLS)
     return sig.select("batch_day", "page", "n_records", "repeated")
 

@@ -157,7 +157,7 @@ FROM (SELECT sum(nc * (mc - mu) * (mc - mu)) AS ssb, sum(sswc) AS ssw, max(sst)
 @query("feature_importance", MF_SQL + "\n" + "\nUNION ALL\n".join(_anova_sql(f) for f in FEATURES))
 def feature_importance(spark, sf_dir):
     """eta squared and one-way ANOVA F of each clustering feature across clusters."""
-    return canonical(M.anova(model_frame(spark, sf_dir), FEATURES, labels=LABELS, with_p=False))
+    return canonical(M.anova(model_frame(spark, sf_dir), FEATURES, labels=LABELS, with_p=False)).orderBy(F.desc("eta_squared"), "feature")
 
 
 def _anova_p_sql(f):

@@ -88,6 +88,24 @@ def validation_checks(spark, sf_dir):
     return canonical(V.validation_checks(features_panel(spark, sf_dir), SPEC))
 
 
+# The scored panel with dirt derived from its own rows, so that checks fail and warn.
+_DIRT = {"m_disc": "CASE WHEN entity % 5 = 0 THEN 0.0 ELSE m_disc END", "m_tax": "CASE WHEN entity % 7 = 0 THEN -1.0 ELSE m_tax END",
+         "score": "CASE WHEN entity % 6 = 0 THEN NULL ELSE score END", "entity_name": "CASE WHEN entity % 9 = 0 THEN NULL ELSE entity_name END"}
+_DIRTY_SQL = f"""dirty0 AS (SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in _DIRT.items())}) FROM feat WHERE entity <> 3),
+dirty AS (SELECT * FROM dirty0 UNION ALL SELECT * FROM dirty0 WHERE entity % 8 = 1)"""
+
+
+@query("validation_checks_dirty", FEAT + ",\n" + _DIRTY_SQL + ",\n" + _COUNTERS.replace("FROM feat", "FROM dirty") + "\n" + "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS BIGINT) AS check_order, '{n}' AS check_name, {st} AS status, {v} AS value, '{e}' AS expectation FROM cnt"
+    for i, n, st, v, e in _ROWS))
+def validation_checks_dirty(spark, sf_dir):
+    """The same checks over a panel with repeated rows, zeros, values outside their domain, missing
+    scores and names, and a missing entity."""
+    feat = features_panel(spark, sf_dir)
+    dirty = feat.where("entity <> 3").withColumns({c: F.expr(e) for c, e in _DIRT.items()})
+    return canonical(V.validation_checks(dirty.unionByName(dirty.where("entity % 8 = 1")), SPEC))
+
+
 @query("metric_coverage", f"""{FEAT}
 SELECT period, {', '.join(f'count({m}) AS {m}' for m in SPEC.metric_names)} FROM feat GROUP BY period""")
 def metric_coverage(spark, sf_dir):

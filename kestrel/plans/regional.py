@@ -90,6 +90,7 @@ def build_panel(spark: SparkSession, paths: dict[str, str], start: int = START,
 
 def rename_features(df: DataFrame) -> DataFrame:
     """Original output names of the derived columns."""
+    # Output names.
     mapping = {"priority_rank": "peringkat_prioritas_intervensi", "priority_bucket": "prioritas_intervensi",
                "trend_direction": "arah_tren_kemiskinan", "n_score_components": "jumlah_komponen_skor_kerentanan",
                "n_imputed": "jumlah_indikator_diimputasi", "n_available": "jumlah_indikator_tersedia",

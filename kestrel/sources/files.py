@@ -25,7 +25,7 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, StringType):
-            c = F.when(F.trim(c).isin(*null_tokens), F.lit(None).cast("string")).otherwise(c)
+            c = F.when(c.isin(*null_tokens), F.lit(None).cast("string")).otherwise(c)
         cols.append(c.alias(f.name))
     if ingest_order:
         df, cols = with_ingest_order(df, ingest_order), [*cols, F.col(ingest_order)]

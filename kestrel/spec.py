@@ -95,7 +95,8 @@ GROUP_LEAST = "paling_tidak_rentan"
 DEFAULT_PROVINCE_CODE = 32
 DEFAULT_PROVINCE_NAME = "JAWA BARAT"
 MISSING_TOKENS = ("", "nan", "none", "null", "-")
-CSV_NULL_TOKENS = ("", "NA", "N/A", "NULL", "NaN", "None", "nan", "null", "n/a", "<NA>")
+CSV_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                   "NULL", "NaN", "None", "n/a", "nan", "null")
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 # ---------------------------------------------------------------------------
