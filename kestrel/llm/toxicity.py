@@ -440,13 +440,13 @@ def document_margins(machine: Machine, mark: int, data: np.ndarray, bounds: np.n
     return out
 
 
-def _scorer(machine: Machine | None, text_col: str):
+def _scorer(machine: Machine | None, text_col: str, keep: list[str]):
     mark = hash((machine.bias, *machine.curve, len(machine.codes))) if machine else 0
 
     def run(batches):
         for batch, data, bounds in ts.slices(batches, text_col):
             score = machine.score(document_margins(machine, mark, data, bounds)) if machine else np.zeros(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, pa.array(score)], names=[*keep, "score"])
     return run
 
 
@@ -454,7 +454,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """docs with all columns and ``score``, trained on the labelled rows outside the held-out fold.
     (docs must have no column of that name yet.)"""
     machine = fit(docs, labels, id_col, text_col, label_col)
-    return docs.mapInArrow(_scorer(machine, text_col), f"{_ddl(docs)}, score double")
+    return docs.mapInArrow(_scorer(machine, text_col, docs.columns), f"{_ddl(docs)}, score double")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -462,6 +462,7 @@ def _ddl(df: DataFrame) -> str:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(id, score) per row of docs."""
-    slim = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias(text_col))
-    return scored(slim, labels, id_col, text_col, label_col).select(F.col(id_col).cast("bigint").alias("id"), "score")
+    """(id, score) per row of docs, by a machine trained in the same way; texts don't come back."""
+    machine = fit(docs, labels, id_col, text_col, label_col)
+    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(_scorer(machine, "text", ["id"]), "id bigint, score double")
