@@ -1,22 +1,17 @@
-import os
-import sys
+"""Small document tables and fixtures for the tests of this folder (the session is the one of all tests)."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from kestrel.llm.common import ship  # noqa: E402
-from kestrel.session import local_session  # noqa: E402
+from kestrel.llm.common import ship
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    session = local_session("*", shuffle_partitions=8, app="kestrel-tests")
-    ship(session)
-    return session
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    """The training-data package is at the workers."""
+    ship(spark)
 
 
 @pytest.fixture(scope="session")

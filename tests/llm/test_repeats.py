@@ -9,7 +9,7 @@ import pytest
 
 from kestrel.llm import minhash, queries, repeats, rlz_dedup, suffix_dedup, textscan as ts
 
-from conftest import SF, frame
+from llm_rows import SF, docs, frame, shipped  # noqa: F401 (fixtures)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

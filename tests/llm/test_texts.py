@@ -14,7 +14,7 @@ import corpus_pipeline
 from kestrel.llm import chat_format, curve_packing, decontam, langid, licenses, llr_quality, minhash, queries, toxicity
 from kestrel.llm import textscan as ts
 
-from conftest import SF, frame
+from llm_rows import SF, docs, frame, shipped  # noqa: F401 (fixtures)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = [(1, None), (2, ""), (3, " \n\t"), (4, "x"), (5, "x" * 30_000), (6, "a b c d e f g h " * 300), (7, "é ß 漢字 🙂"), (None, "no id here"), (7, "twice the id")]
