@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+ROWS_PER_BATCH = 1000  # of an Arrow batch between Spark and its Python workers
+
 #: Name under which operators carry a document's key; input columns may be called anything else.
 KEY = "__key"
 
@@ -98,7 +100,10 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application (they need not have it installed)."""
+    """Send this package to the executors, once per application (they need not have it installed),
+    and set the session's Arrow batch size."""
+    # documents are long rows: small batches keep both sides of the pipe to the workers small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -267,6 +267,8 @@ def settler(with_open: bool):
         if with_open:
             rows += open_rows(groups[lead])
         yield from settled_batches(rows)
+        del groups, rows
+        ts.give_back()
     return run
 
 

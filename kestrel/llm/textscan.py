@@ -8,6 +8,7 @@ byte table, finished with an integer mixer; equal input always gives an equal ha
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +76,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = min(max(stop, start + 1), len(texts))
             yield batch.slice(start, stop - start), raw[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start]
             start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class Words:
