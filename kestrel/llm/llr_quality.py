@@ -6,6 +6,11 @@ the raw corpus (every document). A document's score is the sum of log p_target /
 n-grams, divided by their number, so that long and short texts compare. Every document is judged
 by the same fixed threshold: no random keeping, no quantile of the batch.
 
+The target is smoothed towards the raw multinomial (``toward_raw`` pseudo-counts in all, dealt as
+the raw n-grams are): the fewer trusted n-grams there are, the nearer every ratio is to 0, and
+documents are not rejected for want of trusted text. Without ``toward_raw`` both multinomials get
+SMOOTHING in every bucket, which suits only trusted sets of millions of n-grams.
+
 Beside the score stand the plain rules: too few words, or too many words in repeated 8-word
 windows, reject a document whatever its score.
 
@@ -26,6 +31,7 @@ from kestrel.llm.common import KEY, sieved
 
 BUCKETS = 1 << 16
 SMOOTHING = 10.0         # added to every bucket's count, in both multinomials
+TOWARD_RAW = float(BUCKETS)  # pseudo-counts of the target that are dealt like the raw corpus
 THRESHOLD = -0.25        # nats per n-gram
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
@@ -67,10 +73,14 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
     return out
 
 
-def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
+def log_ratios(target: np.ndarray, raw: np.ndarray, toward_raw: float | None = None) -> np.ndarray:
     """log p_target / p_raw by bucket; zeros where there is no target at all."""
     if not target.sum():
         return np.zeros(BUCKETS)
+    if toward_raw is not None:
+        # every n-gram scored is in the raw corpus; buckets without any are never looked up
+        p_raw = np.maximum(raw, 1) / raw.sum()
+        return np.log((target / p_raw + toward_raw) / (target.sum() + toward_raw))
     return np.log((target + SMOOTHING) / (target.sum() + SMOOTHING * BUCKETS)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS))
 
 
@@ -137,12 +147,13 @@ def _scorer(ratios: np.ndarray, threshold: float):
     return run
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+          toward_raw: float | None = None) -> DataFrame:
     """SCORED columns, one row per row of ``docs``. ``labels`` is (id_col, quality)."""
     slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     trusted = labels.filter("quality = 1").select(F.col(id_col).cast("bigint").alias(KEY)).distinct()
     # only documents that may be trusted are shuffled to meet the labels; the same way at every size
     likely = sieved(slim.select(F.col("id").alias(KEY), "text"), trusted)[0]
     target = bucket_counts(likely.join(trusted.hint("merge"), KEY, "left_semi"))
-    ratios = log_ratios(target, bucket_counts(slim))
+    ratios = log_ratios(target, bucket_counts(slim), toward_raw)
     return slim.mapInArrow(_scorer(ratios, threshold), SCORED)

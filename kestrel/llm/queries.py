@@ -46,7 +46,7 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def op4_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = llr_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    out = llr_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), toward_raw=llr_quality.TOWARD_RAW)
     return out.withColumnRenamed("id", "doc_id")
 
 

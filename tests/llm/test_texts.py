@@ -80,6 +80,28 @@ def test_quality_keeps_trusted_documents_and_drops_junk(spark):
     assert share[1] >= 0.99 and share[0] <= 0.2
 
 
+@pytest.mark.parametrize("one_in", [1, 10, 100])
+def test_quality_keeps_good_documents_however_few_are_trusted(spark, tmp_path, one_in):
+    d = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{d}/labels.parquet")
+    good = sorted(r.doc_id for r in rows.where("quality = 1").select("doc_id").distinct().collect())
+    spark.read.parquet(f"{d}/documents.parquet").write.parquet(f"{tmp_path}/documents.parquet")
+    labelled(spark, [(i, 1, 0) for i in good[::one_in]]).write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.QUERIES["op4_llr_quality"](spark, str(tmp_path)).where("not base_failed").join(rows, "doc_id")
+    share = {r.quality: r.kept for r in got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert share[1] >= 0.97
+    assert one_in > 1 or share[0] <= 0.2
+
+
+def test_no_evidence_gives_ratio_zero():
+    raw = np.zeros(llr_quality.BUCKETS)
+    raw[:3] = 1_000_000, 1000, 1
+    target = np.zeros(llr_quality.BUCKETS)
+    target[1] = 1
+    assert np.abs(llr_quality.log_ratios(target, raw, llr_quality.TOWARD_RAW)[[0, 2]]).max() < 1e-4
+    assert np.allclose(llr_quality.log_ratios(raw, raw, llr_quality.TOWARD_RAW)[:3], 0)
+
+
 # ------------------------------------------------------------------ licences
 
 def licence_base(text):
