@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns documents again (the last one returns packed
 pieces). ``run`` writes every stage's result as Parquet in the shared folder and reads it back as
-the next stage's input. A null doc_id is an id like any other.
+the next stage's input. Rows whose doc_id is null or repeated are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from kestrel.llm.common import KEY, ship, sieved, stored, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _rejected(docs: DataFrame, bad_ids: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id is among bad_ids (doc_id). Only rows that may be among them
-    are shuffled to find out."""
-    bad = stored(bad_ids.select(F.col("doc_id").alias(KEY)).distinct())
-    maybe, never = sieved(docs.select(*COLUMNS, F.col("doc_id").alias(KEY)), bad)
-    good = maybe.alias("d").join(bad.alias("b"), F.expr(f"d.{KEY} <=> b.{KEY}"), "left_anti")
+def _rejected(rows: DataFrame, bad: DataFrame) -> DataFrame:
+    """rows (COLUMNS and KEY) without those whose KEY is among bad (KEY). Only rows that may be among
+    them are shuffled to find out."""
+    bad = stored(bad.select(KEY).distinct())
+    maybe, never = sieved(rows.select(*COLUMNS, KEY), bad)
+    good = maybe.join(bad, KEY, "left_anti")
     return good.select(*COLUMNS).unionByName(never.select(*COLUMNS))
 
 
@@ -35,7 +35,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked at similarity 0.8 or more the one with the smallest id stays."""
     ship(spark)
-    return _rejected(docs, minhash.groups(docs).filter("not kept").select(F.col("id").alias("doc_id")))
+    rows, _, named = minhash.linked(docs, keep=["lang", "source", "n_chars"])
+    return _rejected(rows.withColumnRenamed("id", "doc_id"), named.filter(f"{KEY} != root"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold at least half of a benchmark item's tokens, in whatever order, go."""
     ship(spark)
-    return _rejected(docs, decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("doc_id")))
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias(KEY))
+    return _rejected(rows, decontam.leaks(rows, table(spark, sf_dir, "benchmark"), id_col=KEY).select(F.col("id").alias(KEY)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

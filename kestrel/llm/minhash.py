@@ -250,12 +250,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * F.col("shared") >= percent * (F.size("of_a") + F.size("of_b") - F.col("shared"))).select("a", "b"))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(id, n_shingles, component_id, kept) per row of docs: documents of similarity percent / 100
-    or more are linked; a component is named by its smallest id, whose document is kept."""
+def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE,
+           keep: list[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The two tables of ``common.keyed``, and (KEY, n_shingles, root), one row per key: documents of
+    similarity percent / 100 or more are linked; root is the smallest key of the component."""
     spark = docs.sparkSession
     least = least_estimate(percent)
-    own, distinct = keyed(docs, id_col, text_col)
+    own, distinct = keyed(docs, id_col, text_col, keep)
     sketches = stored(distinct.select(KEY, "text").mapInArrow(_sketcher(shingle), SKETCH))
     classes = sketches.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min(KEY).alias("rep"))
     reps = classes.select("rep").join(sketches.select(F.col(KEY).alias("rep"), "n", "signature", "bands"), "rep")
@@ -295,6 +296,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
     named = (sketches.select(KEY, "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
              .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select(KEY, F.col("n").alias("n_shingles"), F.coalesce("root", "rep", KEY).alias("root")))
+    return own, distinct, named
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """(id, n_shingles, component_id, kept) per row of docs: documents of similarity percent / 100
+    or more are linked; a component is named by its smallest id, whose document is kept."""
+    own, distinct, named = linked(docs, id_col, text_col, percent, shingle)
     if own is distinct:
         out = named.select(F.col(KEY).alias("id"), "n_shingles", F.col("root").alias("component_id"))
     else:

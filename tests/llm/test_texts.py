@@ -424,6 +424,21 @@ def test_pipeline_stages_take_effect(spark, docs):
     assert ids["curve_packing"] == ids["benchmark_decontamination"]
 
 
+def numbered(word, n=60):
+    return " ".join(f"{word}{i}" for i in range(n))
+
+
+def test_one_bad_row_takes_no_other_row_of_its_id_along(spark, docs):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    clean = [(None, numbered("a")), (None, numbered("b")), (5, numbered("c")), (6, numbered("d")), (6, None), (None, None)]
+    start = frame(spark, clean + [(None, f"{numbered('e')} {bench}"), (6, f"{bench} {numbered('f')}")]).select(*docs.columns)
+    rows = lambda df: sorted((repr(r.doc_id), repr(r.text)) for r in df.collect())
+    want = sorted((repr(i), repr(t)) for i, t in clean)
+    assert rows(corpus_pipeline.drop_benchmark_leaks(spark, start, SF)) == want
+    start = frame(spark, clean + [(6, numbered("c") + " more")]).select(*docs.columns)
+    assert rows(corpus_pipeline.drop_near_duplicates(spark, start, SF)) == want
+
+
 def test_pipeline_registration():
     assert corpus_pipeline.QUERIES["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "substring_dedup", "benchmark_decontamination", "curve_packing"]
