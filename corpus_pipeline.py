@@ -33,9 +33,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked at similarity 0.8 or more the one with the smallest id stays."""
+    """Of each group of documents linked at similarity 0.8 or more the one with the smallest id stays;
+    of rows that repeat id and text, one."""
     ship(spark)
-    rows, _, named = minhash.linked(docs, keep=["lang", "source", "n_chars"])
+    _, rows, named = minhash.linked(docs, keep=["lang", "source", "n_chars"])
     return _rejected(rows.withColumnRenamed("id", "doc_id"), named.filter(f"{KEY} != root"))
 
 

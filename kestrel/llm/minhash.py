@@ -301,11 +301,10 @@ def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row of docs: documents of similarity percent / 100
-    or more are linked; a component is named by its smallest id, whose document is kept."""
+    or more are linked; a component is named by its smallest id. Its first document (by key) is kept."""
     own, distinct, named = linked(docs, id_col, text_col, percent, shingle)
+    named = named.withColumn("kept", F.expr(f"{KEY} = root"))
     if own is distinct:
-        out = named.select(F.col(KEY).alias("id"), "n_shingles", F.col("root").alias("component_id"))
-    else:
-        ids = distinct.select(F.col(KEY).alias("root"), F.col("id").alias("component_id"))
-        out = own.select(KEY, "id").join(named.join(ids, "root"), KEY).select("id", "n_shingles", "component_id")
-    return out.withColumn("kept", F.expr("id <=> component_id"))
+        return named.select(F.col(KEY).alias("id"), "n_shingles", F.col("root").alias("component_id"), "kept")
+    ids = distinct.select(F.col(KEY).alias("root"), F.col("id").alias("component_id"))
+    return own.select(KEY, "id").join(named.join(ids, "root"), KEY).select("id", "n_shingles", "component_id", "kept")

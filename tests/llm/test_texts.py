@@ -439,6 +439,15 @@ def test_one_bad_row_takes_no_other_row_of_its_id_along(spark, docs):
     assert rows(corpus_pipeline.drop_near_duplicates(spark, start, SF)) == want
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(spark, docs):
+    near = [(None, numbered("a") + f" end{i}") for i in range(4)]
+    rows = near + [(None, numbered("b"))] * 3 + [(7, numbered("c"))] * 2 + [(7, numbered("d")), (8, numbered("d") + " more"), (7, numbered("d") + " end")]
+    got = minhash.groups(frame(spark, near + rows[-3:])).collect()
+    assert sorted((str(r.component_id), r.kept) for r in got) == [("7", False), ("7", False), ("7", True)] + [("None", False)] * 3 + [("None", True)]
+    left = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows).select(*docs.columns), SF).collect()
+    assert sorted((str(r.doc_id), r.text[0]) for r in left) == [("7", "c"), ("7", "d"), ("None", "a"), ("None", "b")]
+
+
 def test_pipeline_registration():
     assert corpus_pipeline.QUERIES["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "substring_dedup", "benchmark_decontamination", "curve_packing"]
