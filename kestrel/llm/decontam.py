@@ -144,11 +144,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = stored(items.mapInArrow(_seeder(k, None), SEEDED).select(
         F.col("id").alias("item"), F.col("row").alias("item_row"), F.col("n_tokens").alias("item_tokens"),
         F.col("at").alias("item_at"), F.col("seeds").alias("item_seeds")).distinct())
-    lookup = items.select("item", "item_row", "item_tokens", F.explode(F.array_distinct("item_seeds")).alias("seed"))
+    lookup = (items.select("item", "item_row", "item_tokens", F.explode("item_seeds").alias("seed"))
+              .groupBy("item", "item_row", "item_tokens", "seed").agg(F.count("*").alias("times")))
     found = stored(slim.mapInArrow(_seeder(k, seed_bitmap(lookup)), SEEDED).distinct())
     met = (found.select("id", "row", F.explode(F.array_distinct("seeds")).alias("seed")).join(lookup, "seed")
-           .groupBy("id", "row", "item", "item_row").agg(F.count("*").alias("shared"), F.first("item_tokens").alias("item_tokens"))
-           # each shared seed covers at most k tokens of the item
+           .groupBy("id", "row", "item", "item_row").agg(F.sum("times").alias("shared"), F.first("item_tokens").alias("item_tokens"))
+           # each occurrence of a shared seed covers at most k tokens of the item
            .filter(F.col("shared") * k >= threshold * F.col("item_tokens")).drop("item_tokens"))
     pairs = (met.alias("m").join(found.alias("d"), F.expr("m.id <=> d.id and m.row = d.row"))
              .join(items.alias("i"), F.expr("m.item <=> i.item and m.item_row = i.item_row"))

@@ -290,6 +290,14 @@ def test_leaks(spark):
     assert decontam.leaks(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_leaks_of_items_with_repeated_runs(spark):
+    runs, verse = "0 1 " * 30, " ".join(f"line{i} la la la la la la la la" for i in range(6))
+    rows = [(1, f"{numbered('a')} {runs} {numbered('b')}"), (2, verse), (3, "0 1 " * 10 + numbered("c")), (4, numbered("d"))]
+    bench = spark.createDataFrame([(1, runs), (2, verse)], "item_id bigint, text string")
+    got = {(r.id, r.item): r.coverage for r in decontam.leaks(frame(spark, rows), bench).collect()}
+    assert got == {(1, 1): 1.0, (2, 2): 1.0}
+
+
 def test_benchmark_passages_in_the_table_are_caught(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     want = {(d.doc_id, b.item_id) for d in docs.collect() for b in bench if b.text in d.text}
