@@ -47,6 +47,7 @@ SPAN = 6                 # characters a subsequence of three may span
 DECAY = 0.7
 COST = 30.0
 ROUNDS = 3
+LEANING = 2.0            # a word with surely higher odds than that in toxic documents is no example of clean ones
 MAX_WORD = 24
 INSERTIONS = 1           # variants of every witness with a letter put in, for training
 SPACED = 4               # so many single letters in a row are read as one word
@@ -307,9 +308,11 @@ def fit_texts(texts: list[str], toxic: np.ndarray, share: float = 0.5) -> Machin
         return None
     sample = Sample(texts)
     words = sample.words
-    in_clean = sample.counts(~toxic)
+    in_clean, in_toxic = sample.counts(~toxic), sample.counts(toxic)
     strength = sample.strengths(toxic)
-    strength[sample.counts(toxic) == 0] = 0.0
+    strength[in_toxic == 0] = 0.0
+    # a toxic word in a few documents labelled clean (mislabelled, or quoting it) is no clean word
+    in_clean[leaning(in_toxic, in_clean, toxic.sum(), (~toxic).sum())] = 0
     frequent = np.lexsort((sample.rank, -in_clean))  # clean words, the most frequent first
     frequent = frequent[:np.count_nonzero(in_clean)]
     kernel = Kernel(choose_landmarks(sample, strength, in_clean, frequent))
@@ -344,6 +347,14 @@ def fit_texts(texts: list[str], toxic: np.ndarray, share: float = 0.5) -> Machin
     return machine
 
 
+def leaning(in_toxic: np.ndarray, in_clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Words whose odds to be in a toxic document are, beyond chance, LEANING times those to be in a
+    clean one or more: the odds ratio less two standard errors."""
+    a, b = in_toxic + 0.5, in_clean + 0.5
+    c, d = n_toxic - in_toxic + 0.5, n_clean - in_clean + 0.5
+    return np.log(a * d / (b * c)) - 2 * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d) > np.log(LEANING)
+
+
 def substrings(word: bytes) -> set[bytes]:
     """Four-byte substrings of the word with its marks."""
     word = b"\x02" + word + b"\x03"

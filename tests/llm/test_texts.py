@@ -218,6 +218,20 @@ def test_toxic_words_are_found_with_gaps_and_insertions():
     assert whole == pytest.approx(np.array(slow))
 
 
+def test_mislabelled_documents_do_not_make_insults_clean():
+    texts, labels = invented(1, 900)
+    rng = random.Random(9)
+    marks = np.array([1 - y if rng.random() < 0.02 else y for y in labels])
+    machine = toxicity.fit_texts(texts, marks, 1 / 3)
+    def score(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return machine.score(toxicity.document_margins(machine, 2, data, np.array([0, len(data)])))[0]
+    toxicity._known.clear()
+    held, want = invented(2, 150)
+    found = np.array([score(t) >= 0.5 for t in held])
+    assert found[np.array(want) == 1].mean() >= 0.95 and found[np.array(want) == 0].mean() <= 0.1
+
+
 def test_toxicity_edges(spark):
     texts, labels = invented(3, 120)
     rows = [(i + 100, t) for i, t in enumerate(texts)] + EDGES
