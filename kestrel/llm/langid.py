@@ -138,16 +138,16 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language
     """Train on at most ``per_language`` rows of each language outside the held-out fold."""
     rows = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
             .filter((F.trim("lang") != "") & F.col("text").isNotNull()).filter(F.coalesce(text_id("id"), F.lit(1)) != 0)
-            .select("lang", F.xxhash64(F.lit(1), "id").alias("rank"), F.substring("text", 1, TRAIN_CHARS).alias("text")))
-    # only ids are ranked; the texts of the few chosen rows are fetched by a range on the rank
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language
+            .select("lang", F.xxhash64(F.lit(1), "id", "text").alias("rank"), F.substring("text", 1, TRAIN_CHARS).alias("text")))
+    # ids and texts are ranked by hash, rows that repeat both count once; the few chosen rows are fetched by a range on the rank
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("rank").alias("n")).collect()  # one row per language
     if not counts:
         return None
     # a hash below this is expected for twice the wanted rows; the exact cut follows among those
     cut = F.lit(None).cast("double")
     for r in counts:
         cut = F.when(F.col("lang") == r["lang"], F.lit(-2.0**63 + 2.0**64 * min(1.0, 2 * per_language / r["n"] + 50 / r["n"]))).otherwise(cut)
-    few = rows.filter(F.col("rank") <= cut)
+    few = rows.filter(F.col("rank") <= cut).groupBy("lang", "rank").agg(F.min("text").alias("text"))
     chosen = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "text"))).filter(F.col("place") <= per_language)
     got = chosen.select("lang", "rank", "text").toArrow().sort_by([("lang", "ascending"), ("rank", "ascending"), ("text", "ascending")])
     langs = sorted(set(got["lang"].to_pylist()))

@@ -406,7 +406,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = one.agg(F.count("*").alias("n"), F.sum("y").alias("bad")).first()
     picked = one.filter("y = 1").orderBy("rank", "id").limit(per_class).unionByName(one.filter("y = 0").orderBy("rank", "id").limit(per_class))
     texts = docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, TRAIN_CHARS).alias("text")).filter("text is not null")
-    got = texts.join(F.broadcast(picked), "id").select("rank", "id", "text", "y").toArrow()  # at most 2 * per_class labels are sent
+    # one text of every picked id: at most 2 * per_class labels are sent, and as many texts come back
+    one_each = texts.join(F.broadcast(picked), "id").groupBy("rank", "id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    got = one_each.select("rank", "id", "text", "y").toArrow()
     got = got.sort_by([("rank", "ascending"), ("id", "ascending"), ("text", "ascending")])
     # the curve weighs toxic documents midway between equal weights and their share of all labels
     share = (counts["bad"] / counts["n"] + 0.5) / 2 if got.num_rows else 0.5

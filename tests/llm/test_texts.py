@@ -160,6 +160,13 @@ def test_language_edges(spark):
     assert langid.family_of("de") == langid.family_of("en-GB") == "germanic" and langid.family_of("xx") == "xx"
 
 
+def test_language_sample_takes_repeated_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(langid, "Model", lambda langs, x, y: x)
+    rows = [(None, "aaaa")] * 300 + [(None, f"text {chr(98 + i % 24)}{chr(98 + i // 24)}") for i in range(40)]
+    x = langid.fit(frame(spark, rows).withColumn("lang", F.lit("en")), "doc_id", "text", "lang", per_language=20)
+    assert len(x) == len(np.unique(x, axis=0)) == 20
+
+
 # ------------------------------------------------------------------ toxicity
 
 def slow_kernel(a, b):
@@ -232,6 +239,15 @@ def test_mislabelled_documents_do_not_make_insults_clean():
     assert found[np.array(want) == 1].mean() >= 0.95 and found[np.array(want) == 0].mean() <= 0.1
 
 
+def test_a_repeated_id_sends_one_text_to_the_driver(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(toxicity, "fit_texts", lambda texts, y, share: sent.append(texts))
+    ids = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(ids[0], f"text {i}") for i in range(300)] + [(i, f"other {i}") for i in ids[1:]]
+    toxicity.fit(frame(spark, rows), labelled(spark, [(i, 1, i % 2) for i in ids]))
+    assert len(sent[0]) == len(ids)
+
+
 def test_toxicity_edges(spark):
     texts, labels = invented(3, 120)
     rows = [(i + 100, t) for i, t in enumerate(texts)] + EDGES
