@@ -1,14 +1,11 @@
-"""Substring dedup by relative Lempel-Ziv parsing over words.
-
-Every document is parsed against one reference: all blocks of the corpus that come before it
-(documents with smaller keys, and its own beginning). The reference index holds the span hashes
-of ``repeats`` for every block. A phrase found in the index extends the current factor while
-source and distance stay the same, so the parse is greedy: factors are as long as the reference
-allows. A factor of at least ``window`` words is a duplicate span. A window of ``window`` words
-can also lie across two factors, or stick out of one at its ends, and still stand in the
-reference as a whole: those windows, and only those, are checked one by one at the factor
-boundaries. Together the spans are exactly the words covered by a window whose word sequence
-starts earlier in the corpus.
+"""Substring dedup over words by anchored window matching against all earlier text.
+
+The reference of a document is all text of the corpus that comes before it (documents with
+smaller keys, and its own beginning). ``repeats`` groups equal windows of ``window`` words by
+sampled anchors and their span hashes; a document's spans are its windows that stand in the
+reference. Together they are exactly the words covered by a window whose word sequence starts
+earlier in the corpus. This replaces a greedy relative Lempel-Ziv parse: a span's source is the
+earliest equal group, not the longest match, and no factor is extended word by word.
 
 Defined results: null text counts as empty; documents with fewer words than a window lose
 nothing; null or repeated ids are told apart as in ``common.keyed`` (null ids come first);
@@ -40,7 +37,7 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
           k: int = ANCHOR_WORDS, single_spaces: bool = True, keep: list[str] = ()) -> DataFrame:
     """(id, kept, n_words, n_removed, n_factors) per row of docs, and the columns ``keep`` of it. ``kept`` holds the words outside
     duplicate spans: joined by one space, or with ``single_spaces=False`` each followed by the white
-    space that stood after it. ``n_factors`` counts the duplicate factors of the parse."""
+    space that stood after it. ``n_factors`` counts the spans, touching ones of one source joined."""
     own, distinct = keyed(docs, id_col, text_col, keep)
     spans = rp.repeated_spans(distinct, word_symbols, window, k)
     extra = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) if keep else ""
@@ -48,7 +45,7 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 
 
 def factors(lists: list[bytes] | None) -> np.ndarray:
-    """The document's spans as greedy factors: sorted, touching spans of one source joined."""
+    """The document's spans, sorted, touching ones of one source joined."""
     if not lists:
         return np.empty(0, rp.SPAN)
     spans = np.concatenate([np.frombuffer(raw, rp.SPAN) for raw in lists])
