@@ -10,7 +10,8 @@ ranges, and only the very last one is not full.
 
 Tokenising: texts of ASCII and Latin-1 letters without apostrophes and special-token strings are
 cut into the tokenizer's pieces by array operations, and only pieces not met before are encoded;
-all other texts go to the tokenizer as a whole. Both give the tokenizer's own ids.
+all other texts go to the tokenizer as a whole, and so does one with a piece whose bytes differ
+from those remembered under its hash. All give the tokenizer's own ids.
 
 Defined results: null text is empty and packs as the end token alone; rows are packed one by one,
 so repeated and null ids each keep their pieces; an empty table gives an empty result; other
@@ -71,6 +72,7 @@ class Encoder:
     def forget(self):
         self.known, self.place, self.size = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint16)
+        self.raw, self.raw_at, self.raw_size = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         joined = [" ".join(pieces[i:i + 500]) for i in range(0, len(pieces), 500)]
@@ -81,15 +83,31 @@ class Encoder:
         known = np.concatenate([self.known, hashes])
         place = np.concatenate([self.place, len(self.pool) + last + 1 - size])
         size = np.concatenate([self.size, size])
+        raw = [piece.encode() for piece in pieces]
+        own_size = np.array([len(piece) for piece in raw], dtype=np.int64)
+        raw_at = np.concatenate([self.raw_at, len(self.raw) + np.cumsum(own_size) - own_size])
+        raw_size = np.concatenate([self.raw_size, own_size])
         order = np.argsort(known, kind="stable")
         self.known, self.place, self.size = known[order], place[order], size[order]
+        self.raw_at, self.raw_size = raw_at[order], raw_size[order]
         self.pool = np.concatenate([self.pool, ids])
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(raw), np.uint8)])
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.known, hashes)
         at[at == len(self.known)] = 0
         return np.where(self.known[at] == hashes if len(self.known) else False, at, -1)
 
+    def other_bytes(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Pieces that are not, byte by byte, those remembered under their hashes."""
+        length = ends - starts
+        wrong = length != self.raw_size[at]
+        inside = np.arange(length.sum(), dtype=np.int64) - np.repeat(np.cumsum(length) - length, length)
+        differ = low[np.repeat(starts, length) + inside] != self.raw[np.minimum(np.repeat(self.raw_at[at], length) + inside, max(len(self.raw) - 1, 0))]
+        if differ.any():
+            wrong[np.repeat(np.arange(len(starts)), length)[differ]] = True
+        return np.flatnonzero(wrong)
+
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all documents, their bounds, vectors)."""
         n_docs = len(bounds) - 1
@@ -108,6 +126,11 @@ class Encoder:
             flat = low.tobytes()
             self.learn(unique[new], [flat[starts[i]:ends[i]].decode() for i in first[new]])
         at = self.find(unique)[back]
+        odd = self.other_bytes(low, starts, ends, at)
+        if len(odd):  # never seen with real words: a hash met with other bytes
+            plain[doc[odd]] = False
+            use = plain[doc]
+            hashes, doc, at = hashes[use], doc[use], at[use]
         place, size = self.place[at], self.size[at]
         total = np.bincount(doc, weights=size, minlength=n_docs).astype(np.int64)
 

@@ -17,7 +17,8 @@ without a row per window:
 
 Hot keys: a task keeps the earliest group of each (anchor, span) it meets and decides the others
 itself, so a passage that a third of all documents share sends at most one row per task and
-flush. Decisions rest on 112 bits of hashes.
+flush. Decisions rest on two independent hashes modulo 2**61 - 1 of the whole span or window,
+beside its anchor's: 10**7 different spans of one anchor make 5 * 10**13 pairs against 2**121.
 
 What travels is packed: per task and target partition one row with a few numpy arrays.
 """
@@ -33,17 +34,16 @@ from pyspark.sql import DataFrame, functions as F
 from kestrel.llm import textscan as ts
 from kestrel.llm.common import KEY, partitions, sieved, stored
 
-FLUSH_GROUPS = 1 << 20  # groups a task holds before it sends them off (28 bytes each, a few copies)
-
-SPAN_BYTES = 6  # of a span's hash; with the anchor's 8 bytes a decision rests on 112 bits
-SPAN_MASK = np.uint64((1 << 8 * SPAN_BYTES) - 1)
+FLUSH_GROUPS = 1 << 20  # groups a task holds before it sends them off (40 bytes each, a few copies)
 
 #: A span of window starts: from ``at``, ``n`` of them; an equal run starts at ``src_at`` of ``src``.
 SPAN = np.dtype([("at", "<i4"), ("n", "<i4"), ("src", "<i8"), ("src_at", "<i4")])
 #: One of the groups: what it is known by, and where it is.
-GROUP = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("key", "<i8"), ("at", "<i4"), ("n", "<i4")])
+GROUP = np.dtype([("anchor", "<u8"), ("span", "<u8"), ("check", "<u8"), ("key", "<i8"), ("at", "<i4"), ("n", "<i4")])
+#: Columns of packed groups and the fields they hold.
+FIELDS = {"anchor": "anchor", "span": "span", "check": "check", "keys": "key", "at": "at", "n": "n"}
 
-PACKED = "part int, key bigint, spans binary, anchor binary, span binary, keys binary, at binary, n binary"
+PACKED = "part int, key bigint, spans binary, anchor binary, span binary, check binary, keys binary, at binary, n binary"
 SETTLED = f"{KEY} bigint, kind int, spans binary"
 #: Kinds of SETTLED rows: spans that repeat, open spans, and open spans of an anchor with more than CROWD of them.
 REPEATED, OPEN, CROWDED = 0, 1, 2
@@ -56,17 +56,12 @@ Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 def packed_column(values: np.ndarray) -> bytes:
     """The values byte by byte (all lowest bytes first): what is zero or alike then stands together
-    and the shuffle's compression removes it. Span hashes keep their SPAN_BYTES low bytes."""
-    size = SPAN_BYTES if values.dtype == np.uint64 and len(values) and values.max() >> np.uint64(8 * SPAN_BYTES) == 0 else values.dtype.itemsize
-    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize)[:, :size].T.tobytes()
+    and the shuffle's compression removes it."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
 
 
 def unpacked_column(raw, n: int, dtype) -> np.ndarray:
-    out = np.zeros((n, np.dtype(dtype).itemsize), dtype=np.uint8)
-    if n:
-        size = len(raw) // n
-        out[:, :size] = np.frombuffer(raw, np.uint8).reshape(size, n).T
-    return out.view(dtype).ravel()
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, n).T).view(dtype).ravel() if n else np.empty(0, dtype)
 
 
 def groups_of(values: np.ndarray, first: np.ndarray, keys: np.ndarray, window: int, k: int) -> np.ndarray:
@@ -87,19 +82,32 @@ def groups_of(values: np.ndarray, first: np.ndarray, keys: np.ndarray, window: i
     out = np.empty(len(head), GROUP)
     out["anchor"] = grams[anchor[head]]
     # the anchor's place within the span belongs to what must be equal
-    out["span"] = ts.mix(ts.range_hashes(values, begin, begin + n + window - 1) + (anchor[head] - begin).astype(np.uint64)) & SPAN_MASK
+    out["span"] = ts.mix(ts.range_hashes(values, begin, begin + n + window - 1) + (anchor[head] - begin).astype(np.uint64))
+    out["check"] = ts.range_hashes(values, begin, begin + n + window - 1, base=1)
     out["key"] = keys[doc[head]]
     out["at"] = begin - first[doc[head]]
     out["n"] = n
     return out
 
 
+def in_order(groups: np.ndarray) -> np.ndarray:
+    """Order by what groups are known by, then by place."""
+    return np.lexsort((groups["at"], groups["key"], groups["check"], groups["span"], groups["anchor"]))
+
+
+def leads(groups: np.ndarray) -> np.ndarray:
+    """Which of the ordered groups are the first of their kind."""
+    out = np.zeros(len(groups), dtype=bool)
+    out[:1] = True
+    for field in ("anchor", "span", "check"):
+        out[1:] |= groups[field][1:] != groups[field][:-1]
+    return out
+
+
 def settle(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(groups in order, which are the earliest of their kind, index of that earliest one)."""
-    order = np.lexsort((groups["at"], groups["key"], groups["span"], groups["anchor"]))
-    groups = groups[order]
-    lead = np.ones(len(groups), dtype=bool)
-    lead[1:] = (groups["anchor"][1:] != groups["anchor"][:-1]) | (groups["span"][1:] != groups["span"][:-1])
+    groups = groups[in_order(groups)]
+    lead = leads(groups)
     return groups, lead, np.maximum.accumulate(np.where(lead, np.arange(len(groups)), 0))
 
 
@@ -139,19 +147,19 @@ def _packed(groups: np.ndarray, parts: int, plain: bool = False) -> Iterator[pa.
     one packed row per target partition."""
     groups, lead, source = settle(groups)
     later = ~lead
-    rows = {name: [] for name in ("part", "key", "spans", "anchor", "span", "keys", "at", "n")}
+    rows = {name: [] for name in ("part", "key", "spans", *FIELDS)}
 
     def batch():
         return pa.RecordBatch.from_arrays(
             [pa.array(rows["part"], pa.int32()), pa.array(rows["key"], pa.int64())]
-            + [pa.array(rows[c], pa.binary()) for c in ("spans", "anchor", "span", "keys", "at", "n")], names=list(rows))
+            + [pa.array(rows[c], pa.binary()) for c in ("spans", *FIELDS)], names=list(rows))
 
     for key, spans in spans_by_key(groups[later], groups[source[later]], plain):
         rows["part"].append(key % parts)
         rows["key"].append(key)
         rows["spans"].append(spans)
     nothing = [None] * len(rows["part"])
-    for c in ("anchor", "span", "keys", "at", "n"):
+    for c in FIELDS:
         rows[c] += nothing
     if nothing:
         yield batch()
@@ -165,7 +173,7 @@ def _packed(groups: np.ndarray, parts: int, plain: bool = False) -> Iterator[pa.
         rows["part"].append(int(part[a]))
         rows["key"].append(None)
         rows["spans"].append(None)
-        for c, f in (("anchor", "anchor"), ("span", "span"), ("keys", "key"), ("at", "at"), ("n", "n")):
+        for c, f in FIELDS.items():
             rows[c].append(packed_column(groups[f][a:b]))
     if rows["part"]:
         yield batch()
@@ -206,7 +214,8 @@ def window_packer(symbols: Symbols, window: int, parts: int):
             found = np.empty(len(at), GROUP)
             begin = first[doc] + at
             found["anchor"] = ts.range_hashes(values, begin, begin + window)
-            found["span"] = ts.range_hashes(ts.mix(values), begin, begin + window) & SPAN_MASK
+            found["span"] = 0
+            found["check"] = ts.range_hashes(values, begin, begin + window, base=1)
             found["key"], found["at"], found["n"] = keys[doc], at, 1
             held.append(found)
             size += len(found)
@@ -229,7 +238,7 @@ def unpack(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, list[tuple[in
                 continue
             n = cols["n"][i].as_buffer().size // 4
             out = np.empty(n, GROUP)
-            for c, f in (("anchor", "anchor"), ("span", "span"), ("keys", "key"), ("at", "at"), ("n", "n")):
+            for c, f in FIELDS.items():
                 out[f] = unpacked_column(cols[c][i].as_py(), n, GROUP[f])
             held.append(out)
     return np.concatenate(held) if held else np.empty(0, GROUP), passed
@@ -356,7 +365,8 @@ def _settled_windows(groups, text, offset, own, window) -> list[tuple[int, int,
     begin = np.repeat(np.cumsum(length) - length, n) + nth
     out = np.empty(len(nth), GROUP)
     out["anchor"] = ts.range_hashes(values, begin, begin + window)
-    out["span"] = ts.range_hashes(ts.mix(values), begin, begin + window) & SPAN_MASK
+    out["span"] = 0
+    out["check"] = ts.range_hashes(values, begin, begin + window, base=1)
     out["key"], out["at"], out["n"] = np.repeat(groups["key"][own], n), np.repeat(groups["at"][own], n) + nth, 1
     out, lead, _ = settle(out)
     return [(key, REPEATED, spans) for key, spans in spans_by_key(out[~lead], None, plain=True)]

@@ -3,7 +3,7 @@
 The corpus comes in batches of ascending keys. A batch gets a suffix array: its anchor suffixes
 (see ``repeats``: the positions where a 100-byte window has its smallest 32-gram), sorted by the
 hash of their first 32 bytes, then of all bytes their windows span, then by place. It is kept in
-hash ranges, one row of arrays per range. The array is merge-scanned against every existing
+hash ranges, a range in rows of at most LEVEL_ROW suffixes. The array is merge-scanned against every existing
 level, range by range: equal neighbours in the merged order are long matches, and the later one
 is a duplicate. Level i holds the arrays of 2**i batches. A new batch takes the first empty
 level and merges the full ones below it into itself on the way (as a binary counter carries),
@@ -34,9 +34,9 @@ BATCHES = 3
 
 CUT = "id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"
 #: A scan's rows: settled spans (key set), or the arrays of one hash range of the new level (part set).
-SCANNED = f"part int, {rp.SETTLED}, anchor binary, span binary, keys binary, at binary, n binary"
-ARRAYS = ("anchor", "span", "keys", "at", "n")
-_FIELDS = {"anchor": "anchor", "span": "span", "keys": "key", "at": "at", "n": "n"}
+ARRAYS = tuple(rp.FIELDS)
+SCANNED = f"part int, {rp.SETTLED}, " + ", ".join(f"{c} binary" for c in ARRAYS)
+LEVEL_ROW = 1 << 20  # suffixes in one row of a level: no cell grows with the corpus
 
 
 def byte_symbols(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +90,9 @@ def _merge_scan(full: int, keep: bool):
                 level.append(np.full(len(got), one.column(one.schema.get_field_index("level"))[0].as_py(), np.int8))
         groups = np.concatenate(groups) if groups else np.empty(0, rp.GROUP)
         level = np.concatenate(level) if level else np.empty(0, np.int8)
-        order = np.lexsort((groups["at"], groups["key"], groups["span"], groups["anchor"]))
+        order = rp.in_order(groups)
         groups, level = groups[order], level[order]
-        same_anchor = groups["anchor"][1:] == groups["anchor"][:-1]
-        lead = np.append(True, ~(same_anchor & (groups["span"][1:] == groups["span"][:-1])))[:len(groups)]
+        lead = rp.leads(groups)
         later = ~lead  # always of the batch: a level's groups are the earliest of their kind
         rows = [(key, rp.REPEATED, spans) for key, spans in passed]
         rows += [(key, rp.REPEATED, spans) for key, spans in rp.spans_by_key(groups[later], None, plain=True)]
@@ -102,15 +101,16 @@ def _merge_scan(full: int, keep: bool):
         rows += rp.open_rows(leaders, lambda run: np.bincount(run, weights=own) > 0)
         for batch in rp.settled_batches(rows):
             n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), *batch.columns, *[pa.nulls(n, pa.binary())] * 5],
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), *batch.columns, *[pa.nulls(n, pa.binary()) for _ in ARRAYS]],
                                              names=["part", KEY, "kind", "spans", *ARRAYS])
         if keep and batches and len(leaders):
             merged = leaders[level[lead] < full]
             part = next(b.column(b.schema.get_field_index("part"))[0].as_py() for b in batches if b.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-                 *[pa.array([rp.packed_column(merged[_FIELDS[c]])], pa.binary()) for c in ARRAYS]],
-                names=["part", KEY, "kind", "spans", *ARRAYS])
+            for i in range(0, len(merged), LEVEL_ROW):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+                     *[pa.array([rp.packed_column(merged[f][i:i + LEVEL_ROW])], pa.binary()) for f in rp.FIELDS.values()]],
+                    names=["part", KEY, "kind", "spans", *ARRAYS])
     return run
 
 

@@ -2,8 +2,11 @@
 
 Every function works on one slice of an Arrow string column: ``data`` (the bytes as a uint8
 array) and ``bounds`` (the byte offset of each document, one more than documents). Python
-loops run over slices, never over words. Hashes are polynomials modulo 2**64 over a random
-byte table, finished with an integer mixer; equal input always gives an equal hash.
+loops run over slices, never over words. Hashes of ranges are polynomials modulo the prime
+2**61 - 1 in a fixed random base, so two different ranges of n symbols agree for at most n of
+2**61 bases, whatever their pattern; where more is at stake two bases are used side by side.
+Hashes of k-grams (k small and fixed) are cheaper polynomials modulo 2**64. Both are finished
+with an integer mixer; equal input always gives an equal hash.
 """
 
 from __future__ import annotations
@@ -21,7 +24,11 @@ U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240501))
 _BYTE_TABLE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
 _BASE = int(_RNG.integers(1, 1 << 63, dtype=np.uint64)) * 2 + 1 & (1 << 64) - 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+
+PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30 = U64(PRIME), U64((1 << 31) - 1), U64((1 << 30) - 1)
+#: Bases of the two independent range hashes.
+BASES = tuple(int(b) for b in _RNG.integers(1 << 60, PRIME, 2, dtype=np.uint64))
 
 #: Byte classes: white space as the contracts define it, and the identity / A-Z lower-casing maps.
 SPACE = np.zeros(256, dtype=bool)
@@ -39,11 +46,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    x = (x & _P) + (x >> U64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, both below it. The halves' products stay below 2**64, and 2**61 is 1."""
+    a1, a0, b1, b0 = a >> U64(31), a & _LOW31, b >> U64(31), b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return reduced(a1 * b1 * U64(2) + (middle >> U64(30)) + ((middle & _LOW30) << U64(31)) + a0 * b0)
+
+
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64 (kept and doubled as longer slices come)."""
+    """base**0 .. base**(n-1) modulo PRIME (kept and doubled as longer slices come)."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = max(n, 1 << 16)
@@ -52,7 +72,7 @@ def powers(base: int, n: int) -> np.ndarray:
         filled = 1
         while filled < size:
             step = min(filled, size - filled)
-            out[filled:filled + step] = out[:step] * U64(pow(base, filled, 1 << 64))
+            out[filled:filled + step] = times(out[:step], U64(pow(base, filled, PRIME)))
             filled += step
         _powers[base] = have = out
     return have[:n]
@@ -110,13 +130,18 @@ class Words:
         self.doc = np.repeat(np.arange(len(bounds) - 1), np.diff(self.first))
 
 
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[starts[i]:ends[i]] (uint64 values), whatever the length of each range."""
-    prefix = np.empty(len(values) + 1, dtype=np.uint64)
-    prefix[0] = 0
-    np.cumsum(values * powers(_BASE, len(values)), out=prefix[1:])
-    inverse = powers(_BASE_INV, len(values) + 1)
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
+    """Hash of values[starts[i]:ends[i]] (uint64 values), whatever the length of each range, in the
+    first or second of BASES. Running sums of the terms' upper and lower halves can't overflow."""
+    terms = times(reduced(values), powers(BASES[base], len(values)))
+    high, low = (np.empty(len(values) + 1, dtype=np.uint64) for _ in range(2))
+    high[0] = low[0] = 0
+    np.cumsum(terms >> U64(31), out=high[1:])
+    np.cumsum(terms & _LOW31, out=low[1:])
+    high, low = high[ends] - high[starts], low[ends] - low[starts]
+    total = reduced((high >> U64(30)) + ((high & _LOW30) << U64(31)) + reduced(low))
+    shifted = times(total, powers(pow(BASES[base], -1, PRIME), len(values) + 1)[starts])
+    return mix(shifted + (ends - starts).astype(np.uint64) * U64(0x9E3779B97F4A7C15))
 
 
 def byte_values(data: np.ndarray, fold: np.ndarray | None = None) -> np.ndarray:
