@@ -7,7 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kestrel.llm import chat_format, curve_packing, decontam, langid, licenses, llr_quality, minhash, rlz_dedup, suffix_dedup, toxicity
+from kestrel.llm import (centroids, chat_format, curve_packing, decontam, divergence, langid, licenses, llr_quality, minhash, rlz_dedup,
+                         suffix_dedup, token_files, toxicity)
 from kestrel.llm.common import ship, table, text_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +91,23 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("found").withColumnRenamed("id", "doc_id").withColumn("score", F.round("score", 6))
 
 
+@query
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.fresh_path(spark)
+    token_files.write(table(spark, sf_dir, "documents"), path)
+    return token_files.documents(token_files.shards(spark, path))
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES["op9_minhash_near_dedup"] = f"""
@@ -163,3 +181,49 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(starts) AS BIGINT) AS n_ba
        array_to_string(list_sort(list_distinct([{', '.join(f"CASE WHEN len(p{k}) > 0 THEN '{l}' END" for k, (_, l) in enumerate(_PHRASES))}])), ',') AS labels,
        round(coalesce(greatest({', '.join(f'CASE WHEN len(p{k}) > 0 THEN m{k} END' for k in range(len(_PHRASES)))}), 0) / greatest({', '.join(f'm{k}' for k in range(len(_PHRASES)))}, 1e-9), 6) AS score
 FROM g, m"""
+
+
+ORACLES["op11_divergence_audit"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= {divergence.MIN_DOCUMENTS}),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY 1),
+s AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             CAST(1 + ({divergence.SCALE}::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(s.n, 0) + v.v) AS BIGINT) AS p,
+             CAST(1 + ({divergence.SCALE}::HUGEINT * (k.n + 1)) // (v.n + v.v) AS BIGINT) AS q
+      FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= {divergence.RANKS}"""
+
+
+def _clustering_sql() -> str:
+    """Each round as its own steps: nearest centroid of every vector, floored means of every cluster."""
+    steps = [f"""x AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+      WHERE len(embedding) = {centroids.COMPONENTS} AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {centroids.COMPONENTS}),
+e AS MATERIALIZED (SELECT r, vec_id, i, CAST(floor({centroids.SCALE} * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS v FROM x, range(1, {centroids.COMPONENTS + 1}) t(i)),
+s AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k FROM x QUALIFY k < {centroids.CENTROIDS}),
+c0 AS MATERIALIZED (SELECT k, i, v FROM s JOIN e USING (r))"""]
+    for n in range(centroids.ROUNDS + 1):
+        steps.append(f"""d{n} AS (SELECT r, k, sum((e.v - c.v) * (e.v - c.v)) AS d FROM e JOIN c{n} c USING (i) GROUP BY r, k),
+a{n} AS MATERIALIZED (SELECT r, k, d FROM d{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)""")
+        if n < centroids.ROUNDS:
+            steps.append(f"""m{n} AS (SELECT k, i, CAST(sum(v) AS HUGEINT) AS s, count(*) AS n FROM a{n} JOIN e USING (r) GROUP BY k, i),
+c{n + 1} AS MATERIALIZED (SELECT c.k, c.i, CAST(coalesce((s - ((s % n) + n) % n) // n, v) AS BIGINT) AS v FROM c{n} c LEFT JOIN m{n} m ON m.k = c.k AND m.i = c.i)""")
+    n = centroids.ROUNDS
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT x.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{n} a JOIN x USING (r) JOIN (SELECT k, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{n} GROUP BY k) h ON h.k = a.k"""
+
+
+ORACLES["op13_centroid_clustering"] = _clustering_sql()
