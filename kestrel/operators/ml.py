@@ -3,10 +3,11 @@
 * Standardisation uses population moments (ddof=0; Spark ML's StandardScaler uses ddof=1).
 * K-means: Spark ML ``KMeans`` (k-means|| init), best of several seeds by training cost.
 * Quality measures take any label column, so they also work for non-fitted partitions:
-  inertia, Calinski–Harabasz and Davies–Bouldin from per-cluster aggregates; the
-  silhouette uses squared Euclidean distance, which decomposes into per-cluster sums
-  (the same definition as Spark's ``ClusteringEvaluator``). The plain-Euclidean
-  silhouette needs every pair of points and is deliberately not offered.
+  inertia, Calinski–Harabasz and Davies–Bouldin from per-cluster aggregates. The number
+  of clusters is chosen by the Euclidean silhouette (``silhouette``, exact, quadratic in the
+  clusters' sizes); the one with squared distances decomposes into per-cluster sums
+  (the same definition as Spark's ``ClusteringEvaluator``) and stays linear.
+* Stability compares with Ward's linkage (``ward``).
 * Per-cluster tables have k rows; they are packed into one array (bounded by k) and
   evaluated with higher-order functions instead of joining points to every cluster.
   Points are arrays, so the plan does not grow with the number of features.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 from kestrel.operators.joins import join_small
 from kestrel.operators.model import adjusted_rand
+from kestrel.operators.silhouette import silhouette
+from kestrel.operators.ward import ward_clusters
 from kestrel.session import cut_lineage
 
 SEEDS = tuple(42 + 1000 * i for i in range(10))
@@ -180,21 +183,23 @@ def prepare(frame: DataFrame, features: list[str]) -> DataFrame:
 
 def select_k(vectors: DataFrame, features: list[str], k_max: int = 6, n_rows: int | None = None,
              seeds=SEEDS) -> DataFrame:
-    """k = 2..min(k_max, n-1): silhouette, CH, DB, inertia of the best-of-seeds k-means."""
+    """k = 2..min(k_max, n-1): silhouettes (Euclidean and squared), CH, DB, inertia of the best-of-seeds k-means."""
     n = n_rows if n_rows is not None else vectors.count()
     out = None
     for k in range(2, min(k_max, n - 1) + 1):
         model, _ = kmeans_best(vectors, k, seeds)
         labelled = model.transform(vectors)
         # the labels are written once; the four measures read them
-        row = quality_row(cut_lineage(labelled.select(*features, "raw_cluster")), features, "raw_cluster").select(F.lit(k).alias("k"), "*")
+        labelled = cut_lineage(labelled.select(*features, "raw_cluster"))
+        both = join_small(_one(silhouette(labelled, features, "raw_cluster")), _one(quality_row(labelled, features, "raw_cluster")), "__one", "inner", bound=1)
+        row = both.drop("__one").select(F.lit(k).alias("k"), "*")
         out = row if out is None else out.unionByName(row)
     return out
 
 
 def best_k(selection: DataFrame) -> int:
     """The k of the largest silhouette, the smallest such k on a tie (one row per k)."""
-    return selection.orderBy(F.col("silhouette_sq_euclidean").desc_nulls_last(), "k").first()["k"]
+    return selection.orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
 
 
 def kmeans_auto(vectors: DataFrame, features: list[str], k: int | None = None, k_max: int = 6, seeds=SEEDS):
@@ -216,18 +221,6 @@ def pca_scores(vectors: DataFrame, n_components: int = 2, features: str = "featu
     return out.withColumns({f"pc{j + 1}": arr[j] * F.lit(signs[j]) for j in range(n_components)}).drop("__pcs", "__pcs_arr")
 
 
-def stability(vectors: DataFrame, k: int, labels: str = "raw_cluster", seed: int = 42,
-              features: list[str] | None = None, shift: float = 10.0) -> DataFrame:
-    """Agreement (adjusted Rand) between the k-means labels and a bisecting k-means fit.
-
-    The bisecting splits are seeded by perturbations scaled to the centre's norm, so the
-    standardised (zero-mean) vectors are shifted by a constant first; distances, and so
-    the clustering problem, are unchanged by the shift.
-    """
-    shifted = vectors
-    if features:
-        shifted = assemble(vectors.withColumns({f"__s_{f}": F.col(f) + shift for f in features}),
-                           [f"__s_{f}" for f in features], "__shifted")
-    bk = BisectingKMeans(k=k, seed=seed, featuresCol="__shifted" if features else "features",
-                         predictionCol="__bisect").fit(shifted)
-    return adjusted_rand(bk.transform(shifted), labels, "__bisect")
+def stability(vectors: DataFrame, k: int, labels: str = "raw_cluster", features: list[str] | str = "features") -> DataFrame:
+    """Agreement (adjusted Rand) between given labels, as of a k-means, and Ward's clusters at the same k."""
+    return adjusted_rand(ward_clusters(vectors, features, k, "__ward"), labels, "__ward")

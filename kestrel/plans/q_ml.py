@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from kestrel.functions.labels import tier_name
 from kestrel.operators import ml as ML
 from kestrel.operators import model as M
+from kestrel.operators.silhouette import silhouette as euclidean_silhouette
+from kestrel.operators.ward import ward_clusters as ward
 from kestrel.plans.catalog import query
 from kestrel.plans.output import canonical, r
 from kestrel.session import cut_lineage
@@ -74,6 +76,61 @@ def silhouette(spark, sf_dir):
     return canonical(ML.silhouette_sq(scaled_frame(spark, sf_dir), FEATURES, "cluster_id"))
 
 
+@query("silhouette_euclidean", f"""{Z_SQL},
+pd AS (SELECT x.entity, x.cluster_id AS own, y.cluster_id AS other, sum(sqrt({' + '.join(f'(x.{c} - y.{c}) * (x.{c} - y.{c})' for c in _X)})) AS s, count(*) AS n
+       FROM z x JOIN z y ON x.entity <> y.entity GROUP BY 1, 2, 3),
+ab AS (SELECT entity, max(CASE WHEN own = other THEN s / n END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM pd GROUP BY entity)
+SELECT {r('avg(CASE WHEN a IS NULL THEN 0.0e0 ELSE coalesce((b - a) / NULLIF(greatest(a, b), 0), 0.0e0) END)')} AS silhouette FROM ab""")
+def silhouette_euclidean(spark, sf_dir):
+    """Silhouette (Euclidean) of the tertile partition on standardised features."""
+    return canonical(euclidean_silhouette(scaled_frame(spark, sf_dir), FEATURES, "cluster_id"))
+
+
+@query("embedding_silhouette", f"""
+WITH e AS (SELECT row_number() OVER () AS p, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT x.p, x.label AS own, y.label AS other, sum(list_distance(x.v, y.v)) AS s, count(*) AS n FROM e x JOIN e y ON x.p <> y.p GROUP BY 1, 2, 3),
+ab AS (SELECT p, max(CASE WHEN own = other THEN s / n END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY p)
+SELECT {r('avg(CASE WHEN a IS NULL THEN 0.0e0 ELSE coalesce((b - a) / NULLIF(greatest(a, b), 0), 0.0e0) END)')} AS silhouette FROM ab""")
+def embedding_silhouette(spark, sf_dir):
+    """Silhouette (Euclidean) of the stored labels as a partition of the embedding space."""
+    from kestrel.plans.testdata import table
+    return canonical(euclidean_silhouette(table(spark, sf_dir, "embeddings"), "embedding", "label"))
+
+
+#: Ward's linkage step by step: a list of clusters loses the two that cost least to join and gains their union.
+WARD_SQL = f"""{Z_SQL.replace('WITH ', 'WITH RECURSIVE ', 1)},
+steps AS (
+  SELECT list({{'m': [entity], 'n': 1.0e0, 'c': [{', '.join(_X)}]}} ORDER BY entity) AS cl FROM z
+  UNION ALL
+  SELECT list_concat(list_filter(cl, lambda x, pos: pos <> best.i AND pos <> best.j),
+           [{{'m': list_concat(cl[best.i].m, cl[best.j].m), 'n': cl[best.i].n + cl[best.j].n,
+             'c': list_transform(range(1, {len(_X) + 1}), lambda t: (cl[best.i].n * cl[best.i].c[t] + cl[best.j].n * cl[best.j].c[t]) / (cl[best.i].n + cl[best.j].n))}}])
+  FROM (SELECT cl, list_min(flatten(list_transform(range(1, len(cl) + 1), lambda i: list_transform(range(i + 1, len(cl) + 1),
+          lambda j: {{'d': cl[i].n * cl[j].n / (cl[i].n + cl[j].n) * ({' + '.join(f'(cl[i].c[{t + 1}] - cl[j].c[{t + 1}]) * (cl[i].c[{t + 1}] - cl[j].c[{t + 1}])' for t in range(len(_X)))}), 'i': i, 'j': j}})))) AS best
+        FROM steps WHERE len(cl) > {K}) b),
+ward AS (SELECT unnest(c.m) AS entity, list_min(c.m) AS ward_cluster FROM (SELECT unnest(cl) AS c FROM steps WHERE len(cl) <= {K}) u)"""
+
+
+@query("ward_clusters", f"{WARD_SQL}\nSELECT entity, ward_cluster FROM ward")
+def ward_clusters(spark, sf_dir):
+    """Ward's clusters of the standardised features, each named by its smallest entity."""
+    out = cut_lineage(ward(scaled_frame(spark, sf_dir), FEATURES, K).select("entity", "ward_cluster"))
+    names = out.groupBy("ward_cluster").agg(F.min("entity").alias("name"))
+    return out.join(names, "ward_cluster").select("entity", F.col("name").alias("ward_cluster"))
+
+
+@query("ward_agreement", f"""{WARD_SQL},
+t AS (SELECT cluster_id, ward_cluster, count(*) AS n FROM z JOIN ward USING (entity) GROUP BY ALL),
+s AS (SELECT sum(n * (n - 1) / 2) AS sij, sum(n) AS total FROM t),
+a AS (SELECT sum(n * (n - 1) / 2) AS sa FROM (SELECT sum(n) AS n FROM t GROUP BY cluster_id) x),
+b AS (SELECT sum(n * (n - 1) / 2) AS sb FROM (SELECT sum(n) AS n FROM t GROUP BY ward_cluster) y)
+SELECT {r('CASE WHEN (sa + sb) / 2 = sa * sb / (total * (total - 1) / 2) THEN 1.0e0 ELSE (sij - sa * sb / (total * (total - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (total * (total - 1) / 2)) END')} AS adjusted_rand,
+       CAST(total AS BIGINT) AS n FROM s, a, b""")
+def ward_agreement(spark, sf_dir):
+    """Adjusted Rand agreement of the tertile partition with Ward's linkage."""
+    return canonical(ML.stability(scaled_frame(spark, sf_dir), K, "cluster_id", FEATURES))
+
+
 def _vectors(spark, sf_dir):
     # the SQL-checked queries carry a tertile partition as cluster_id; fitted labels replace it
     return ML.prepare(model_frame(spark, sf_dir).drop("cluster_id"), FEATURES)
@@ -102,7 +159,7 @@ def pca_scores(spark, sf_dir):
 
 @query("cluster_stability", None)
 def cluster_stability(spark, sf_dir):
-    """Adjusted Rand agreement of k-means with bisecting k-means on the same vectors."""
+    """Adjusted Rand agreement of k-means with Ward's linkage on the same vectors."""
     vec = _vectors(spark, sf_dir)
     model, _ = ML.kmeans_best(vec, K)
     return canonical(ML.stability(model.transform(vec), K, "raw_cluster", features=FEATURES))
@@ -206,6 +263,6 @@ def model_manifest(spark, sf_dir):
     model, _, k = ML.kmeans_auto(vec, FEATURES)
     labelled = cut_lineage(model.transform(vec).select("entity", "period", *FEATURES, "features", "raw_cluster"))
     agreement = ML.stability(labelled, k, "raw_cluster", features=FEATURES).select(F.col("adjusted_rand").alias("stability_ari"), F.lit(1).alias("one"))
-    quality = ML.silhouette_sq(labelled, FEATURES, "raw_cluster").withColumn("one", F.lit(1))
+    quality = euclidean_silhouette(labelled, FEATURES, "raw_cluster").withColumn("one", F.lit(1))
     size = labelled.agg(F.max("period").alias("snapshot_period"), F.count(F.lit(1)).alias("n_entities")).withColumn("one", F.lit(1))
     return canonical(size.join(quality, "one").join(agreement, "one").withColumn("k", F.lit(k)).drop("one"))

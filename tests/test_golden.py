@@ -15,6 +15,7 @@ from kestrel.operators import explore as X
 from kestrel.operators import ml as ML
 from kestrel.operators import model as M
 from kestrel.operators import validate as V
+from kestrel.operators.silhouette import silhouette
 from kestrel.plans import regional as RG
 
 GOLDEN_DIR = os.environ.get("KESTREL_GOLDEN_DIR")
@@ -231,9 +232,17 @@ def test_kmeans_not_worse_than_published_and_pca(frame, regions):
     for code, g in regions.iterrows():
         assert pcs[code].pc1 == pytest.approx(g.pc1, abs=1e-4)
         assert pcs[code].pc2 == pytest.approx(g.pc2, abs=1e-4)
-    # the published partition's quality measures (squared-Euclidean silhouette is ours, so not compared)
+    # the published partition's quality measures
     z = ML.standardize(frame, feats)
     q = ML.quality_row(z, feats, "cluster_id").first()
     assert q.inertia == pytest.approx(gold.loc[3, "inertia"], abs=TOL)
     assert q.calinski_harabasz == pytest.approx(gold.loc[3, "calinski_harabasz"], abs=TOL)
     assert q.davies_bouldin == pytest.approx(gold.loc[3, "davies_bouldin"], abs=TOL)
+    assert silhouette(z, feats, "cluster_id").first()[0] == pytest.approx(gold.loc[3, "silhouette"], abs=TOL)
+
+
+def test_ward_agreement_with_published_labels(frame):
+    feats = list(RG.CLUSTER_FEATURES)
+    gold = golden("kmeans_ward_ari")
+    got = ML.stability(ML.standardize(frame, feats), 3, "cluster_id", feats).first()["adjusted_rand"]
+    assert got == pytest.approx(gold.kmeans_ward_ari.iloc[-1], abs=TOL)
