@@ -20,9 +20,11 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20  # bytes of text handled at once; one longer document is a slice of its own
 
+HASH_BLOCK = 1 << 14  # symbols
+
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240501))
-_BYTE_TABLE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+_BYTE_TABLE = _RNG.integers(1, 1 << 30, 256, dtype=np.uint64) * U64(2) + U64(1)  # of 31 bits: their products are cheap
 _BASE = int(_RNG.integers(1, 1 << 63, dtype=np.uint64)) * 2 + 1 & (1 << 64) - 1
 
 PRIME = (1 << 61) - 1
@@ -52,11 +54,31 @@ def reduced(x: np.ndarray) -> np.ndarray:
     return np.where(x >= _P, x - _P, x)
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME but for a multiple of it, below 2**63 + 2**33. The halves' products stay
+    below 2**64, and 2**61 is 1."""
+    b1, b0 = b >> U64(31), b & _LOW31
+    if a.size and a.max() <= _LOW31:
+        middle = a * b1
+        out = a * b0
+    else:
+        a1, a0 = a >> U64(31), a & _LOW31
+        middle = a1 * b0
+        middle += a0 * b1
+        out = a0 * b0
+        a1 *= b1
+        a1 <<= U64(1)
+        out += a1
+    out += middle >> U64(30)
+    middle &= _LOW30
+    middle <<= U64(31)
+    out += middle
+    return out
+
+
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a * b modulo PRIME, both below it. The halves' products stay below 2**64, and 2**61 is 1."""
-    a1, a0, b1, b0 = a >> U64(31), a & _LOW31, b >> U64(31), b & _LOW31
-    middle = a1 * b0 + a0 * b1
-    return reduced(a1 * b1 * U64(2) + (middle >> U64(30)) + ((middle & _LOW30) << U64(31)) + a0 * b0)
+    """a * b modulo PRIME, both below it."""
+    return reduced(_product(a, b))
 
 
 _powers: dict[int, np.ndarray] = {}
@@ -133,11 +155,16 @@ class Words:
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = 0) -> np.ndarray:
     """Hash of values[starts[i]:ends[i]] (uint64 values), whatever the length of each range, in the
     first or second of BASES. Running sums of the terms' upper and lower halves can't overflow."""
-    terms = times(reduced(values), powers(BASES[base], len(values)))
+    power = powers(BASES[base], len(values))
     high, low = (np.empty(len(values) + 1, dtype=np.uint64) for _ in range(2))
     high[0] = low[0] = 0
-    np.cumsum(terms >> U64(31), out=high[1:])
-    np.cumsum(terms & _LOW31, out=low[1:])
+    for a in range(0, len(values), HASH_BLOCK):  # blocks that stay in the processor's cache
+        part = values[a:a + HASH_BLOCK]
+        terms = _product(part if part.max() <= _LOW31 else reduced(part), power[a:a + HASH_BLOCK])
+        np.right_shift(terms, U64(31), out=high[a + 1:a + 1 + len(terms)])
+        np.bitwise_and(terms, _LOW31, out=low[a + 1:a + 1 + len(terms)])
+    np.cumsum(high, out=high)
+    np.cumsum(low, out=low)
     high, low = high[ends] - high[starts], low[ends] - low[starts]
     total = reduced((high >> U64(30)) + ((high & _LOW30) << U64(31)) + reduced(low))
     shifted = times(total, powers(pow(BASES[base], -1, PRIME), len(values) + 1)[starts])

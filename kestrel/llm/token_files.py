@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from kestrel.llm.curve_packing import tokenizer_at
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 2
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 18
 CACHE_PIECES = 1 << 20  # a Python worker forgets its pieces beyond that many
 
 ENCODED = "id bigint, mark bigint, ids binary"
@@ -52,6 +54,28 @@ _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
 _KIND[0x30:0x3A] = _DIGIT
 _KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
 
+#: How byte-level tokenizers write a byte as a character: printable ones as themselves, the others from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_WRITTEN = np.arange(256, dtype="<u2")
+_WRITTEN[[b for b in range(256) if b not in _PRINTED]] = 0x100 + np.arange(256 - len(_PRINTED))
+
+_ODD_BASE = 0x9E3779B97F4A7C15
+_odd_powers: list[np.ndarray] = []
+
+
+def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Quick hashes of byte ranges (a polynomial modulo 2**64); whoever finds them equal compares the bytes."""
+    n = len(data) + 1
+    if not _odd_powers or len(_odd_powers[0]) < n:
+        _odd_powers[:] = [np.full(max(n, 1 << 20), base, dtype=np.uint64) for base in (_ODD_BASE, pow(_ODD_BASE, -1, 1 << 64))]
+        for factors in _odd_powers:
+            factors[0] = 1
+            np.cumprod(factors, out=factors)
+    up, down = _odd_powers
+    prefix = np.zeros(n, dtype=np.uint64)
+    np.cumsum(ts.byte_values(data) * up[:n - 1], out=prefix[1:])
+    return ts.mix((prefix[ends] - prefix[starts]) * down[starts])
+
 
 def kinds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(kind of every byte, documents of which array operations may cut the pieces): those of
@@ -64,6 +88,8 @@ def kinds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     bad = kind == _OTHER
     if len(data):
         bad[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)
+    if not bad.any():
+        return kind, np.ones(len(bounds) - 1, dtype=bool)
     return kind, np.diff(np.append(0, np.cumsum(bad))[bounds]) == 0
 
 
@@ -123,9 +149,18 @@ class Encoder:
         self.place, self.size, self.raw_at, self.raw_size = (np.empty(0, np.int64) for _ in range(4))
         self.pool, self.raw = np.empty(0, np.uint16), np.empty(0, np.uint8)
 
+    def ids_of(self, texts: list[bytes]) -> list[list[int]]:
+        """The ids of single pieces: what is left of the tokenizer's work once the pattern has cut."""
+        tokenize, number = self.tokenizer.model.tokenize, attrgetter("id")
+        written = _WRITTEN[np.frombuffer(b"".join(texts), np.uint8)].tobytes().decode("utf-16-le")
+        out, at = [], 0
+        for text in texts:
+            out.append(list(map(number, tokenize(written[at:at + len(text)]))))
+            at += len(text)
+        return out
+
     def learn(self, hashes: np.ndarray, texts: list[bytes]) -> None:
-        encodings = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        ids = [e.ids for e in encodings]
+        ids = self.ids_of(texts)
         size, raw_size = (np.array([len(x) for x in xs], dtype=np.int64) for xs in (ids, texts))
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known, kind="stable")
@@ -133,7 +168,7 @@ class Encoder:
         for name, new in (("place", len(self.pool) + np.cumsum(size) - size), ("size", size),
                           ("raw_at", len(self.raw) + np.cumsum(raw_size) - raw_size), ("raw_size", raw_size)):
             setattr(self, name, np.concatenate([getattr(self, name), new])[order])
-        self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], dtype=np.uint16)])
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint16)])
         self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(texts), np.uint8)])
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -145,8 +180,11 @@ class Encoder:
         """Whether each piece has other bytes than the one remembered under its hash."""
         size = ends - starts
         wrong = size != self.raw_size[at]
-        inside = np.arange(size.sum(), dtype=np.int64) - np.repeat(np.cumsum(size) - size, size)
-        other = data[np.repeat(starts, size) + inside] != self.raw[np.minimum(np.repeat(self.raw_at[at], size) + inside, max(len(self.raw) - 1, 0))]
+        step = np.arange(size.sum(), dtype=np.int32)
+        before = np.cumsum(size) - size
+        here = np.repeat((starts - before).astype(np.int32), size) + step
+        there = np.repeat((self.raw_at[at] - before).astype(np.int32), size) + step
+        other = data[here] != self.raw[np.minimum(there, max(len(self.raw) - 1, 0), out=there)]
         if other.any():
             wrong[np.repeat(np.arange(len(size)), size)[other]] = True
         return wrong
@@ -156,10 +194,11 @@ class Encoder:
         n_docs = len(bounds) - 1
         kind, plain = kinds(data, bounds)
         starts, ends = pieces(data, kind, bounds)
-        doc = np.searchsorted(bounds, starts, side="right") - 1
-        use = plain[doc]
-        starts, ends, doc = starts[use], ends[use], doc[use]
-        hashes = ts.range_hashes(ts.byte_values(data), starts, ends)
+        doc = np.repeat(np.arange(n_docs), np.diff(np.searchsorted(starts, bounds)))
+        if not plain.all():
+            use = plain[doc]
+            starts, ends, doc = starts[use], ends[use], doc[use]
+        hashes = piece_hashes(data, starts, ends)
         unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > CACHE_PIECES:
             self.forget()
@@ -182,9 +221,9 @@ class Encoder:
             total[d] = len(whole[d])
         edges = np.append(0, np.cumsum(total + 1))
         out = np.full(edges[-1], END, dtype=np.uint16)
-        step = np.arange(size.sum(), dtype=np.int64)
-        source = np.repeat(place - (np.cumsum(size) - size), size) + step
-        target = step + np.repeat(edges[:-1] - (np.cumsum(inner) - inner), inner)
+        step = np.arange(size.sum(), dtype=np.int32)
+        source = np.repeat((place - (np.cumsum(size) - size)).astype(np.int32), size) + step
+        target = step + np.repeat((edges[:-1] - (np.cumsum(inner) - inner)).astype(np.int32), inner)
         out[target] = self.pool[source]
         for d, ids in whole.items():
             out[edges[d]:edges[d] + len(ids)] = ids
@@ -200,7 +239,7 @@ def _encode(path: str):
         for batch, data, bounds in ts.slices(batches, "text", ts.SLICE_BYTES // 2):
             ids, edges = encoder(data, bounds)
             binary = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer((2 * edges).astype(np.int64)), pa.py_buffer(ids)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), ts.text_marks(data, bounds), binary.cast(pa.binary())], names=["id", "mark", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), binary.cast(pa.binary())], names=["id", "mark", "ids"])
     return run
 
 
@@ -235,7 +274,8 @@ def _shards(size: int):
 def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, shard_tokens: int = SHARD_TOKENS) -> None:
     """Write the ids of all documents, in ascending id order, as shards under ``path``."""
     spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    slim = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     encoded = stored(slim.mapInArrow(_encode(tokenizer), ENCODED))
     ordered = (encoded.repartitionByRange(partitions(spark), "id", "mark").sortWithinPartitions("id", "mark", "ids")
                .select(F.spark_partition_id().alias("part"), "id", "ids"))

@@ -54,7 +54,7 @@ def encode(tokens: np.ndarray, documents: np.ndarray) -> bytes:
     order = tokens
     blocks = -(-n // BLOCK_BITS)
     for level in range(LEVELS):
-        bit = (order >> np.uint16(LEVELS - 1 - level) & np.uint16(1)).astype(bool)
+        bit = (order & np.uint16(1 << LEVELS - 1 - level)) != 0
         raw = np.zeros(blocks * _BLOCK_BYTES, dtype=np.uint8)
         raw[:-(-n // 8)] = np.packbits(bit, bitorder="little")
         ones = np.bitwise_count(raw).reshape(blocks, _BLOCK_BYTES).sum(axis=1, dtype=np.int64)
@@ -67,7 +67,7 @@ def encode(tokens: np.ndarray, documents: np.ndarray) -> bytes:
         section = b"".join([plane.tobytes(), rank.tobytes(), offset.tobytes(), *packed])
         parts.append(section)
         at += len(section)
-        order = np.concatenate([order[~bit], order[bit]])
+        order = np.concatenate([np.compress(~bit, order), np.compress(bit, order)])
     return b"".join([MAGIC, header.tobytes(), *parts])
 
 
@@ -90,7 +90,7 @@ class _Plane:
 
     def bits(self) -> np.ndarray:
         raw = [self._block(i) for i in range(len(self.before) - 1)]
-        return np.unpackbits(np.concatenate(raw), bitorder="little")[:self.n].astype(bool) if raw else np.empty(0, bool)
+        return np.unpackbits(np.concatenate(raw), bitorder="little")[:self.n].view(bool) if raw else np.empty(0, bool)
 
     def bit(self, i: int) -> int:
         return int(self.block(i // BLOCK_BITS)[i % BLOCK_BITS // 8]) >> i % 8 & 1
@@ -138,8 +138,8 @@ class Shard:
             plane = self.planes[level]
             bit = plane.bits()
             above = np.empty_like(out)
-            above[~bit] = out[:plane.zeros]
-            above[bit] = out[plane.zeros:] | np.uint16(1 << LEVELS - 1 - level)
+            above[np.flatnonzero(~bit)] = out[:plane.zeros]
+            above[np.flatnonzero(bit)] = out[plane.zeros:] | np.uint16(1 << LEVELS - 1 - level)
             out = above
         return out
 
