@@ -9,7 +9,8 @@ Scale notes
   exchange instead of being sorted inside one task.
 * Interpolation needs the neighbours on both sides; the "next known value" is taken
   from a descending-ordered window with a growing frame (linear), never from an
-  ``UNBOUNDED FOLLOWING`` frame (quadratic per partition).
+  ``UNBOUNDED FOLLOWING`` frame (quadratic per partition). Entities whose periods span
+  several segments are scanned in two levels (``segments``), not in one task.
 * A source's profile and its cleaned rows come from one scan (see ``clean_dataset``).
 """
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType
 
 from kestrel import spec as S
+from kestrel.operators import segments as SG
 from kestrel.functions.text import coerce_numeric, normalize_name, standardize_columns
 
 
@@ -141,14 +143,17 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ interpolation
 def interpolate_linear(df: DataFrame, entity: str | list[str], order: list[str], value: str,
-                       out: str | None = None) -> DataFrame:
+                       out: str | None = None, segment: Column | None = None) -> DataFrame:
     """Interior linear interpolation by row position within each entity.
 
     Only gaps with a known value on both sides are filled; leading/trailing gaps stay
-    null. Position, not the order value, is the x-axis.
+    null. Position, not the order value, is the x-axis. With ``segment`` (see
+    ``segments.segment_of``) no entity need fit one task.
     """
     out = out or value
     groups = [entity] if isinstance(entity, str) else entity
+    if segment is not None:
+        return SG.interpolate(df, groups, order, value, out, segment)
     asc = Window.partitionBy(*groups).orderBy(*[F.col(c) for c in order])
     desc = Window.partitionBy(*groups).orderBy(*[F.col(c).desc() for c in order])
     before = asc.rowsBetween(Window.unboundedPreceding, -1)
@@ -186,6 +191,7 @@ class DatasetSpec:
     int_cols: tuple[str, ...] = ()     # further integer columns (typed like keys)
     name_cols: tuple[str, ...] = ()    # further name columns (normalised like the entity name)
     extra_cols: tuple[str, ...] = ()   # kept for the profile only (e.g. a unit column)
+    segment_width: int = SG.WIDTH      # periods of one entity that one task may hold
 
 
 def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame]:
@@ -249,7 +255,9 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame
     if ds.zero_is_missing:
         flow = zero_to_missing(flow, ds.metric)
     flow = flow.withColumn(flag, F.col(ds.metric).isNull())
-    flow = interpolate_linear(flow, [ds.entity, "__kept"], [ds.period], ds.metric)
+    # the raw column bounds the periods of the flow, and is one column's scan
+    segment = SG.segment_of(df.select(typed_cols[ds.period].alias(ds.period)), ds.period, ds.segment_width)
+    flow = interpolate_linear(flow, [ds.entity, "__kept"], [ds.period], ds.metric, segment=segment)
     flow = flow.withColumn(flag, F.col(flag) & F.col(ds.metric).isNotNull())
 
     out_cols = [c for c in [*ds.dims, *keys, *([ds.entity_name] if ds.entity_name else []), ds.metric, flag] if c in flow.columns]

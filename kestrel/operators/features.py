@@ -2,14 +2,16 @@
 
 Scale notes
 -----------
-* Entity-ordered features (lag / rolling) share one exchange on the entity key; one
-  entity's series sits in one task, which is bounded by the number of periods.
+* Entity-ordered features (lag / rolling) share one exchange on the entity key. Where the
+  periods span more than one segment (see ``segments``) an entity's series is cut into
+  segments, so one entity that holds a third of all rows spreads over tasks.
 * Per-period statistics never use a window partitioned by period (that would put a
   whole period, possibly a third of the data, in one task). They are aggregates with
   map-side partial aggregation, joined back to the panel.
 * Ranks within a period are computed over the *distinct* (period, score) values with
-  their multiplicities. The score is rounded to ``spec.score_digits``, so the distinct
-  set per period is bounded by the score range / 10^-digits, not by the row count.
+  their multiplicities, in two levels: inside buckets of the score, and over the buckets'
+  sums. The score is rounded to ``spec.score_digits``, so a bucket has at most
+  RANK_BUCKET distinct values, and no task ever holds a period's.
 """
 
 from __future__ import annotations
@@ -20,31 +22,44 @@ from pyspark.sql import functions as F
 from kestrel import spec as S
 from kestrel.functions.numeric import round_half_even
 from kestrel.functions.labels import priority_bucket, trend_direction
+from kestrel.operators import segments as SG
 from kestrel.operators.joins import join_small
 from kestrel.session import cut_lineage
 from kestrel.spec import PanelSpec
 
 
+RANK_BUCKET = 1 << 16  # distinct rounded scores of a period that one task may hold
+
+
 def entity_window(spec: PanelSpec):
     return Window.partitionBy(spec.entity).orderBy(spec.period)
 
 
-def add_changes(df: DataFrame, spec: PanelSpec, metrics: list[str] | None = None) -> DataFrame:
+def add_changes(df: DataFrame, spec: PanelSpec, metrics: list[str] | None = None, segment: Column | None = None) -> DataFrame:
     """Previous-row difference and percent change per entity (null if either side null)."""
     w = entity_window(spec)
     cols = {}
-    for m in metrics or spec.metric_names:
-        prev = F.lag(m).over(w)
+    names = metrics or spec.metric_names
+    if segment is not None:
+        df = SG.previous_rows(df, [spec.entity], [spec.period], names, 2, segment)
+        before = F.when(F.size("__rows") > 1, F.element_at("__rows", 1))
+    for m in names:
+        prev = F.lag(m).over(w) if segment is None else before[m]
         cols[f"{m}_yoy_change"] = F.col(m) - prev
         cols[f"{m}_yoy_pct_change"] = F.try_divide(F.col(m) - prev, prev) * F.lit(100.0)
-    return df.withColumns(cols)
+    return df.withColumns(cols).drop("__rows")
 
 
 def add_rolling_mean(df: DataFrame, spec: PanelSpec, metric: str | None = None,
-                     window: int | None = None, name: str | None = None) -> DataFrame:
+                     window: int | None = None, name: str | None = None, segment: Column | None = None) -> DataFrame:
     """Trailing mean over the last ``window`` rows, nulls skipped (min_periods=1)."""
     metric = metric or spec.trend
     n = window or spec.rolling_window
+    if segment is not None:
+        rows = SG.previous_rows(df, [spec.entity], [spec.period], [metric], n, segment)
+        known = F.filter(F.transform("__rows", lambda x: x[metric].cast("double")), lambda v: v.isNotNull())
+        mean = F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), F.size(known))
+        return rows.withColumn(name or f"{metric}_rolling_{n}", mean).drop("__rows")
     w = entity_window(spec).rowsBetween(-(n - 1), Window.currentRow)
     return df.withColumn(name or f"{metric}_rolling_{n}", F.avg(metric).over(w))
 
@@ -117,13 +132,20 @@ def rank_table(df: DataFrame, spec: PanelSpec, score: str | None = None,
     score = score or spec.score_col
     distinct = (df.where(F.col(score).isNotNull())
                 .groupBy(spec.period, score).agg(F.count(F.lit(1)).alias("__n")))
-    w = Window.partitionBy(spec.period).orderBy(F.col(score).desc())
-    before = F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("__n").over(Window.partitionBy(spec.period))
-    return distinct.select(
+    # bucket 0 holds the scores around zero; a bucket is RANK_BUCKET steps of the rounded score wide
+    distinct = distinct.withColumn("__bucket", F.floor(F.col(score) * F.lit(float(10 ** spec.score_digits)) / F.lit(float(RANK_BUCKET))))
+    inside = Window.partitionBy(spec.period, "__bucket").orderBy(F.col(score).desc())
+    higher = Window.partitionBy(spec.period).orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = distinct.groupBy(spec.period, "__bucket").agg(F.count(F.lit(1)).alias("__d"), F.sum("__n").alias("__s"))
+    carry = buckets.select(spec.period, "__bucket", F.coalesce(F.sum("__d").over(higher), F.lit(0)).alias("__ranks"),
+                           F.coalesce(F.sum("__s").over(higher), F.lit(0)).alias("__above"),
+                           F.sum("__s").over(Window.partitionBy(spec.period)).alias("__total"))
+    before = F.coalesce(F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = distinct.select(spec.period, score, "__bucket", F.row_number().over(inside).alias("__rank"), before.alias("__before"))
+    return placed.join(carry, [spec.period, "__bucket"]).select(
         spec.period, score,
-        F.row_number().over(w).cast("bigint").alias(rank_name),
-        ((before + 1) / total).alias(pct_name),
+        (F.col("__ranks") + F.col("__rank")).cast("bigint").alias(rank_name),
+        ((F.col("__above") + F.col("__before") + 1) / F.col("__total")).alias(pct_name),
     )
 
 
@@ -167,7 +189,7 @@ def add_row_reductions(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def add_features(panel: DataFrame, spec: PanelSpec, rank_strategy: str = "distinct",
-                 materialize: bool = False) -> DataFrame:
+                 materialize: bool = False, segment_width: int = SG.WIDTH) -> DataFrame:
     """All panel features in dependency order (mirrors the scrub stage's feature step).
 
     The feature plan reads the panel more than once (per-period statistics, ranks), so
@@ -175,10 +197,12 @@ def add_features(panel: DataFrame, spec: PanelSpec, rank_strategy: str = "distin
     runs once. (A file hand-off does not keep a hash partitioning, so no repartition is done
     before it: the entity windows shuffle once either way.)
     """
+    segment = None
     if materialize:
         panel = cut_lineage(panel)
-    out = add_changes(panel, spec)
-    out = add_rolling_mean(out, spec)
+        segment = SG.segment_of(panel, spec.period, segment_width)
+    out = add_changes(panel, spec, segment=segment)
+    out = add_rolling_mean(out, spec, segment=segment)
     out = add_trend_direction(out, spec)
     out = add_risk_zscores(out, spec)
     out = add_composite_score(out, spec)
