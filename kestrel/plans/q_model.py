@@ -172,7 +172,7 @@ FROM (SELECT '{f}' AS feature, '{LABELS[f]}' AS label, {r("CASE WHEN sst > 0 THE
 
 @query("feature_importance_p", MF_SQL + "\n" + "\nUNION ALL\n".join(_anova_p_sql(f) for f in FEATURES))
 def feature_importance_p(spark, sf_dir):
-    """Same with the ANOVA p-value (F tail; a pandas UDF over one row per feature)."""
+    """Same with the ANOVA p-value (F tail)."""
     return canonical(M.anova(model_frame(spark, sf_dir), FEATURES, labels=LABELS, with_p=True), 6)
 
 
@@ -193,7 +193,35 @@ def effect_size(spark, sf_dir):
     return canonical(out)
 
 
-@query("two_group_comparison", None)
+def _welch_sql(f, g, a, b, frame="cl"):
+    """The tail of Student's t by Simpson's rule: with x = sqrt(df) tan(u) its density is a power of cos(u)."""
+    return f"""SELECT '{f}' AS feature, '{LABELS[f]}' AS label, {r('ma')} AS mean_{a}, {r('mb')} AS mean_{b}, d AS cohens_d,
+  CASE WHEN na >= 2 AND nb >= 2 AND df > 0 THEN {r('1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi()) * u / 6000 * s', 6)} END AS welch_p
+FROM (SELECT *, list_sum(list_transform(range(0, 2001), lambda i: (CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * power(cos(i * u / 2000), df - 1))) AS s
+  FROM (SELECT *, atan(abs(ma - mb) / sqrt(e) / sqrt(df)) AS u FROM (SELECT *, va / na + vb / nb AS e, power(va / na + vb / nb, 2) / (power(va / na, 2) / (na - 1) + power(vb / nb, 2) / (nb - 1)) AS df
+    FROM (SELECT *, CASE WHEN na < 2 OR nb < 2 THEN NULL WHEN sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2)) = 0 THEN 0.0e0 ELSE {r('(ma - mb) / sqrt(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2))')} END AS d
+      FROM (SELECT count({f}) FILTER (WHERE {g} = '{a}') AS na, avg({f}) FILTER (WHERE {g} = '{a}') AS ma, var_samp({f}) FILTER (WHERE {g} = '{a}') AS va,
+             count({f}) FILTER (WHERE {g} = '{b}') AS nb, avg({f}) FILTER (WHERE {g} = '{b}') AS mb, var_samp({f}) FILTER (WHERE {g} = '{b}') AS vb
+            FROM {frame}) v) w) x) y) z"""
+
+
+ARCHETYPE_SQL = f"""{MF_SQL},
+th AS (SELECT quantile_cont({DEV_METRIC}, 0.33) AS dl, quantile_cont({DEV_METRIC}, 0.67) AS dh,
+              quantile_cont(m_ret, 0.33) AS pl, quantile_cont(m_ret, 0.67) AS ph FROM cl),
+pr AS (SELECT cluster_id, avg({DEV_METRIC}) AS a, avg(m_ret) AS b FROM cl GROUP BY cluster_id),
+ar AS (SELECT cl.*, CASE WHEN a >= dh AND b <= pl THEN '{S.ARCHETYPE_URBAN}' WHEN a <= dl AND b >= ph THEN '{S.ARCHETYPE_RURAL}' ELSE '{S.ARCHETYPE_MIXED}' END AS archetype
+       FROM cl JOIN pr USING (cluster_id) JOIN th ON TRUE)"""
+
+
+@query("administrative_comparison", MF_SQL + "\n" + "\nUNION ALL\n".join(
+    _welch_sql(f, "entity_type", "kota", "kabupaten") for f in FEATURES + [CONTEXT_METRIC]))
+def administrative_comparison(spark, sf_dir):
+    """Means, Cohen's d and Welch p between the two administrative types."""
+    return canonical(M.two_group_stats(model_frame(spark, sf_dir), "entity_type", "kota", "kabupaten", FEATURES + [CONTEXT_METRIC], LABELS), 6)
+
+
+@query("two_group_comparison", ARCHETYPE_SQL + "\n" + "\nUNION ALL\n".join(
+    _welch_sql(f, "archetype", S.ARCHETYPE_URBAN, S.ARCHETYPE_RURAL, "ar") for f in FEATURES + [CONTEXT_METRIC]))
 def two_group_comparison(spark, sf_dir):
     """Urban vs rural archetype: means, Cohen's d and Welch p, largest |d| first."""
     mf = model_frame(spark, sf_dir)
