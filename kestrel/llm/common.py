@@ -43,6 +43,15 @@ def text_id(col="doc_id"):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(5))
 
 
+def excerpts(text, chars: int, parts: int = 8):
+    """A text's whole content where it has at most ``chars`` characters, else ``parts`` stretches of together about
+    that many, evenly spread from its beginning to its end, less the words they cut."""
+    size = chars // parts
+    start = lambda i: (F.lit(1) + F.floor(i * (F.length(text) - size) / (parts - 1))).cast("int")
+    stretch = lambda i: F.regexp_replace(F.substring(text, start(i), F.lit(size)), r"^\S+\s|\s\S+$", " ")
+    return F.when(text.isNull() | (F.length(text) <= chars), text).otherwise(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), stretch)))
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """docs as (KEY bigint, id, text, and the columns ``keep``), one row per input row, where KEY orders documents as their
     ids do and tells them apart; and the same with one row per key.

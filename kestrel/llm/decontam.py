@@ -19,7 +19,6 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -83,39 +82,60 @@ def seed_bitmap(seeds: DataFrame) -> np.ndarray:
 
 
 def tile(doc_at: np.ndarray, doc_seeds: np.ndarray, item_at: np.ndarray, item_seeds: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (item start, document start, tokens). Ties: earlier in the item, then earlier
-    in the document."""
-    order = np.argsort(doc_seeds, kind="stable")
-    low = np.searchsorted(doc_seeds, item_seeds, side="left", sorter=order)
-    high = np.searchsorted(doc_seeds, item_seeds, side="right", sorter=order)
-    matches = [np.empty(0, np.int64)] * 2
-    if (high > low).any():
-        n = high - low
-        where = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        matches = [np.repeat(item_at, n).astype(np.int64), doc_at[order[where]].astype(np.int64)]
-    i, d = matches
-    order = np.lexsort((i, d - i))
-    i, d = i[order], d[order]
-    new = np.append(True, ((d - i)[1:] != (d - i)[:-1]) | (i[1:] != i[:-1] + 1))[:len(i)]
-    cut = np.flatnonzero(new)
-    length = np.diff(np.append(cut, len(i))) + k - 1
-    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, i[cut], d[cut])]
-    heapq.heapify(heap)
-    item_marks, doc_marks, tiles = set(), set(), []
-    while heap:
-        n, a, b = heapq.heappop(heap)
-        free = [a + j not in item_marks and b + j not in doc_marks for j in range(-n)]
-        if all(free):
-            tiles.append((a, b, -n))
-            item_marks.update(range(a, a - n))
-            doc_marks.update(range(b, b - n))
-            continue
-        begin = 0
-        for j, ok in enumerate([*free, False]):  # the free stretches compete again, with their own lengths
-            if not ok:
-                if j - begin >= k:
-                    heapq.heappush(heap, (begin - j, a + begin, b + begin))
-                begin = j + 1
+    """Greedy tiles (item start, document start, tokens), longest first. Ties: earlier in the item, then
+    earlier in the document.
+
+    Running Karp-Rabin by falling length: the longest common run of unmarked tokens is found by bisection
+    over its length, whose window hashes either side has or has not; then all matches of that length are
+    marked in order. Memory is that of text and item, whatever repeats in them, and no length is tried twice."""
+    order = np.argsort(doc_at, kind="stable")
+    sides = [(np.asarray(at, dtype=np.int64), np.asarray(seeds).astype(np.int64).view(np.uint64)) for at, seeds in ((item_at, item_seeds), (doc_at[order], doc_seeds[order]))]
+    sides = [(at[keep], seeds[keep]) for (at, seeds), keep in zip(sides, (np.isin(sides[0][1], sides[1][1]), np.isin(sides[1][1], sides[0][1])))]
+    if not len(sides[0][0]) or not len(sides[1][0]):
+        return []
+    marks = [np.zeros(int(at[-1]) + k, dtype=bool) for at, _ in sides]
+
+    def windows(side: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the unmarked runs of ``length`` tokens whose seeds are all there."""
+        at, seeds = sides[side]
+        n = length - k + 1  # seeds of a run
+        if len(at) < n:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        first = np.arange(len(at) - n + 1)
+        marked = np.append(0, np.cumsum(marks[side]))
+        first = first[(at[first + n - 1] - at[first] == n - 1) & (marked[at[first] + length] == marked[at[first]])]
+        return at[first], ts.range_hashes(seeds, first, first + n)
+
+    tiles: list[tuple[int, int, int]] = []
+    longest = int(min(len(sides[0][0]), len(sides[1][0]))) + k - 1
+    while longest >= k:
+        low, high = k - 1, longest  # a match of ``low`` tokens is known (or none is)
+        while low < high:
+            middle = (low + high + 1) // 2
+            (_, mine), (_, other) = windows(0, middle), windows(1, middle)
+            if len(mine) and len(other) and np.isin(mine, other).any():
+                low = middle
+            else:
+                high = middle - 1
+        if low < k:
+            break
+        (starts, hashes), (doc_starts, doc_hashes) = windows(0, low), windows(1, low)
+        group = np.argsort(doc_hashes, kind="stable")
+        left = np.searchsorted(doc_hashes[group], hashes, side="left")
+        right = np.searchsorted(doc_hashes[group], hashes, side="right")
+        passed: dict[int, int] = {}  # of each hash, the document's places already used up
+        for a, begin, end in zip(starts.tolist(), left.tolist(), right.tolist()):
+            if begin == end or marks[0][a:a + low].any():
+                continue
+            at = passed.get(begin, begin)
+            while at < end and marks[1][doc_starts[group[at]]:doc_starts[group[at]] + low].any():
+                at += 1
+            passed[begin] = at
+            if at < end:
+                b = int(doc_starts[group[at]])
+                marks[0][a:a + low] = marks[1][b:b + low] = True
+                tiles.append((a, b, low))
+        longest = low - 1  # what is left of this length is marked
     return tiles
 
 

@@ -6,7 +6,7 @@ predicts the language family with one-versus-rest linear support vector machines
 family, one-versus-one linear support vector machines separate each pair of languages and vote
 (ties go to the larger sum of margins). Each machine is trained by dual coordinate descent on a
 bounded sample: at most ``SAMPLE_PER_LANGUAGE`` documents of each language, those with the
-smallest hash of their id, and the first ``TRAIN_CHARS`` characters of each. Predictions read whole texts.
+smallest hash of their id, and ``TRAIN_CHARS`` characters of each, spread over its whole text. Predictions read whole texts.
 
 Defined results: null text, or text without letters, is `und` with score 0. Rows are predicted
 one by one, so repeated and null ids do no harm. Nulls and blanks in ``lang`` are not learned. With no language
@@ -24,14 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kestrel.llm import textscan as ts
-from kestrel.llm.common import text_id
+from kestrel.llm.common import excerpts, text_id
 from kestrel.llm.linear import train_svm
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 600   # training documents of a language
-TRAIN_CHARS = 4000          # of each training document
+TRAIN_CHARS = 4000          # of each training document, spread over its whole text
 
 #: Families of the languages with two-letter codes most often met. A language that
 #: is not listed is a family of its own.
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language
     """Train on at most ``per_language`` rows of each language outside the held-out fold."""
     rows = (docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
             .filter((F.trim("lang") != "") & F.col("text").isNotNull()).filter(F.coalesce(text_id("id"), F.lit(1)) != 0)
-            .select("lang", F.xxhash64(F.lit(1), "id", "text").alias("rank"), F.substring("text", 1, TRAIN_CHARS).alias("text")))
+            .select("lang", F.xxhash64(F.lit(1), "id", "text").alias("rank"), excerpts(F.col("text"), TRAIN_CHARS).alias("text")))
     # ids and texts are ranked by hash, rows that repeat both count once; the few chosen rows are fetched by a range on the rank
     counts = rows.groupBy("lang").agg(F.approx_count_distinct("rank").alias("n")).collect()  # one row per language
     if not counts:

@@ -4,8 +4,9 @@ One pass over the texts keeps, per document, the places of the words that occur
 (its licence words). Over all documents these give the words' document frequencies, hence IDF. The
 index lists for each template its RARE highest-IDF words with their offsets. A document is looked up by its
 licence words of highest IDF: a template's start is possible only where the places of all its
-rare words, less their offsets, agree. There the template's mandatory phrase is verified word by
-word; licence words of every place are at hand, so no text is read again.
+rare words, less their offsets, agree. There the template's mandatory phrase is verified with the
+places of its other words; licence words of every place are at hand, so no text is read again, and
+the work grows with the number of a document's licence words, however they repeat.
 
 Words are maximal runs of ASCII letters and digits and non-ASCII characters; A-Z compare like a-z.
 Score: 0 without a label, else the largest IDF mass of a found template relative to the heaviest template.
@@ -82,23 +83,23 @@ def rare_words(phrase: str, idf: dict[str, float], rare: int = RARE) -> list[tup
 
 
 def places(phrase: str, words: list[str], idf: dict[str, float]) -> Column:
-    """Column: sorted starts of the phrase, by intersecting its rare words' postings and verifying."""
+    """Column: sorted starts of the phrase. The rare words' postings, shifted by their offsets, are intersected; where
+    that leaves any start, the other words' are too, which verifies the phrase at all starts in one pass over the hits."""
     n = len(words)
 
     def posting(word, offset):
         code = words.index(word)
         return F.transform(F.filter("hits", lambda h: h % n == code), lambda h: F.floor(h / n) - offset)
 
-    def verified(start):
-        test = start >= 0
-        for j, word in enumerate(phrase.split()):
-            test = test & F.array_contains("hits", (start + j) * n + words.index(word))
-        return test
-
-    first, *others = (posting(word, offset) for word, offset in rare_words(phrase, idf))
+    rare = rare_words(phrase, idf)
+    rest = [(word, j) for j, word in enumerate(phrase.split()) if (word, j) not in rare]
+    possible, *others = (posting(word, offset) for word, offset in rare)
     for other in others:
-        first = F.array_intersect(first, other)
-    return F.filter(first, verified)
+        possible = F.array_intersect(possible, other)  # by hashing: linear in the postings
+    verified = possible
+    for word, offset in rest:
+        verified = F.array_intersect(verified, posting(word, offset))
+    return F.when(F.size(possible) > 0, verified).otherwise(possible)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, further=FURTHER) -> DataFrame:

@@ -37,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kestrel.llm import textscan as ts
-from kestrel.llm.common import text_id
+from kestrel.llm.common import excerpts, text_id
 from kestrel.llm.linear import train_svm
 
 SAMPLE_PER_CLASS = 3000  # labelled documents of either label used for training
-TRAIN_CHARS = 8000      # of each of them
+TRAIN_CHARS = 8000      # of each of them, spread over the whole text
 LANDMARKS = 240
 SPAN = 6                 # characters a subsequence of three may span
 DECAY = 0.7
@@ -405,7 +405,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
            .groupBy("id").agg(F.max("y").alias("y")).filter(text_id("id") != 0).withColumn("rank", F.xxhash64("id")))
     counts = one.agg(F.count("*").alias("n"), F.sum("y").alias("bad")).first()
     picked = one.filter("y = 1").orderBy("rank", "id").limit(per_class).unionByName(one.filter("y = 0").orderBy("rank", "id").limit(per_class))
-    texts = docs.select(F.col(id_col).alias("id"), F.substring(F.col(text_col).cast("string"), 1, TRAIN_CHARS).alias("text")).filter("text is not null")
+    texts = docs.select(F.col(id_col).alias("id"), excerpts(F.col(text_col).cast("string"), TRAIN_CHARS).alias("text")).filter("text is not null")
     # one text of every picked id: at most 2 * per_class labels are sent, and as many texts come back
     one_each = texts.join(F.broadcast(picked), "id").groupBy("rank", "id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     got = one_each.select("rank", "id", "text", "y").toArrow()
