@@ -29,7 +29,7 @@ def _rejected(rows: DataFrame, bad: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 stay."""
     ship(spark)
-    return toxicity.scored(docs, table(spark, sf_dir, "labels")).filter("score < 0.5").select(*COLUMNS)
+    return toxicity.scored(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).filter("score < 0.5").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
