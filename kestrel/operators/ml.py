@@ -1,7 +1,8 @@
 """Clustering on Spark ML plus cluster-quality measures written as aggregates.
 
 * Standardisation uses population moments (ddof=0; Spark ML's StandardScaler uses ddof=1).
-* K-means: Spark ML ``KMeans`` (k-means|| init), best of several seeds by training cost.
+* K-means: all seeds and all k are fitted together, one pass per step (``kmeans``); the best of the
+  seeds by cost is kept.
 * Quality measures take any label column, so they also work for non-fitted partitions:
   inertia, Calinski–Harabasz and Davies–Bouldin from per-cluster aggregates. The number
   of clusters is chosen by the Euclidean silhouette (``silhouette``, exact, quadratic in the
@@ -17,13 +18,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators import kmeans as KM
 from kestrel.operators.joins import join_small
 from kestrel.operators.model import adjusted_rand
 from kestrel.operators.silhouette import silhouette
@@ -57,15 +58,9 @@ def assemble(frame: DataFrame, features: list[str], out: str = "features") -> Da
 
 
 def kmeans_best(vectors: DataFrame, k: int, seeds=SEEDS, features: str = "features", max_iter: int = 300):
-    """Fit one model per seed and keep the lowest training cost (inertia)."""
-    best = None
-    for seed in seeds:
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-6, featuresCol=features,
-                       predictionCol="raw_cluster").fit(vectors)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
+    """(model, cost) of the seed with the lowest cost (inertia)."""
+    model = KM.best_of(KM.fit_many(vectors, [k], list(seeds), features, max_iter), k)
+    return model, model.cost
 
 
 # ------------------------------------------------------------------ quality measures
@@ -185,10 +180,13 @@ def select_k(vectors: DataFrame, features: list[str], k_max: int = 6, n_rows: in
              seeds=SEEDS) -> DataFrame:
     """k = 2..min(k_max, n-1): silhouettes (Euclidean and squared), CH, DB, inertia of the best-of-seeds k-means."""
     n = n_rows if n_rows is not None else vectors.count()
+    ks = list(range(2, min(k_max, n - 1) + 1))
+    if not ks:
+        raise ValueError(f"{n} rows leave no number of clusters to choose")
+    fits = KM.fit_many(vectors, ks, list(seeds))
     out = None
-    for k in range(2, min(k_max, n - 1) + 1):
-        model, _ = kmeans_best(vectors, k, seeds)
-        labelled = model.transform(vectors)
+    for k in ks:
+        labelled = KM.best_of(fits, k).transform(vectors)
         # the labels are written once; the four measures read them
         labelled = cut_lineage(labelled.select(*features, "raw_cluster"))
         both = join_small(_one(silhouette(labelled, features, "raw_cluster")), _one(quality_row(labelled, features, "raw_cluster")), "__one", "inner", bound=1)

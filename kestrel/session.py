@@ -14,8 +14,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILES_PER_PERIOD = 32  # at most so many files of one period in a partitioned hand-off
-
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "kestrel") -> SparkSession:
     """Session for tests, the bench and the driver smoke run (local mode only)."""
@@ -66,7 +64,7 @@ def cut_lineage(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession)}/handoff/{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
-        # one task per period's share of rows, not one file per task and period
-        writer = df.repartition(partition_by, F.pmod(F.spark_partition_id(), F.lit(FILES_PER_PERIOD))).write.partitionBy(partition_by)
+        # together by period, and by measured size: small periods share a task, a large one is written by as many as it fills
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
