@@ -19,6 +19,7 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from kestrel.llm.common import stored
 
 MIN_MATCH = 5
 THRESHOLD = 0.5
+LISTED_MATCHES = 1 << 14  # of seeds of one text and one item that are listed one by one
 FILTER_BITS = 1 << 23  # 1 MB, whatever the size of the benchmark
 
 #: Everything but ASCII letters, digits and non-ASCII bytes separates tokens.
@@ -83,9 +85,46 @@ def seed_bitmap(seeds: DataFrame) -> np.ndarray:
 
 def tile(doc_at: np.ndarray, doc_seeds: np.ndarray, item_at: np.ndarray, item_seeds: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """Greedy tiles (item start, document start, tokens), longest first. Ties: earlier in the item, then
-    earlier in the document.
+    earlier in the document. Few shared seeds are listed as matches; where they are many (what repeats in both
+    makes their number a product) the lengths are tried instead. Both give the same tiles."""
+    order = np.argsort(doc_seeds, kind="stable")
+    low = np.searchsorted(doc_seeds, item_seeds, side="left", sorter=order)
+    n = np.searchsorted(doc_seeds, item_seeds, side="right", sorter=order) - low
+    if n.sum() > LISTED_MATCHES:
+        return tile_by_length(doc_at, doc_seeds, item_at, item_seeds, k)
+    where = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return tile_by_matches(np.repeat(item_at, n).astype(np.int64), doc_at[order[where]].astype(np.int64), k)
+
+
+def tile_by_matches(i: np.ndarray, d: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """The same from matches of seeds (place in the item, place in the document): runs on a diagonal compete by length."""
+    order = np.lexsort((i, d - i))
+    i, d = i[order], d[order]
+    new = np.append(True, ((d - i)[1:] != (d - i)[:-1]) | (i[1:] != i[:-1] + 1))[:len(i)]
+    cut = np.flatnonzero(new)
+    length = np.diff(np.append(cut, len(i))) + k - 1
+    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, i[cut], d[cut])]
+    heapq.heapify(heap)
+    item_marks, doc_marks, tiles = set(), set(), []
+    while heap:
+        n, a, b = heapq.heappop(heap)
+        free = [a + j not in item_marks and b + j not in doc_marks for j in range(-n)]
+        if all(free):
+            tiles.append((a, b, -n))
+            item_marks.update(range(a, a - n))
+            doc_marks.update(range(b, b - n))
+            continue
+        begin = 0
+        for j, ok in enumerate([*free, False]):  # the free stretches compete again, with their own lengths
+            if not ok:
+                if j - begin >= k:
+                    heapq.heappush(heap, (begin - j, a + begin, b + begin))
+                begin = j + 1
+    return tiles
+
 
-    Running Karp-Rabin by falling length: the longest common run of unmarked tokens is found by bisection
+def tile_by_length(doc_at: np.ndarray, doc_seeds: np.ndarray, item_at: np.ndarray, item_seeds: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """Running Karp-Rabin by falling length: the longest common run of unmarked tokens is found by bisection
     over its length, whose window hashes either side has or has not; then all matches of that length are
     marked in order. Memory is that of text and item, whatever repeats in them, and no length is tried twice."""
     order = np.argsort(doc_at, kind="stable")

@@ -33,6 +33,20 @@ def test_tiling_a_million_tokens_of_runs_needs_little_memory():
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 800_000  # kB
 
 
+def test_both_ways_of_tiling_agree(monkeypatch):
+    rng = random.Random(9)
+    for _ in range(150):
+        words = "abcd" if rng.random() < 0.5 else "abcdefghijkl"
+        doc, item = (" ".join(rng.choice(words) for _ in range(rng.randint(0, 70))) for _ in range(2))
+        if rng.random() < 0.5 and doc:
+            item = doc[10:60].strip() + " " + item
+        a, b = seeds(doc, 3), seeds(item, 3)
+        monkeypatch.setattr(decontam, "LISTED_MATCHES", 1 << 14)
+        listed = decontam.tile(*a, *b, 3)
+        monkeypatch.setattr(decontam, "LISTED_MATCHES", -1)
+        assert decontam.tile(*a, *b, 3) == listed
+
+
 def test_a_licence_phrase_repeated_throughout_a_long_text(spark):
     n = 300_000  # 2.7 MB
     row = licenses.scan(frame(spark, [(1, "cc by nc " * n), (2, "cc by " * n)])).select("id", "n_base", "first_word", "last_word", "labels").collect()
