@@ -196,8 +196,9 @@ def select_k(vectors: DataFrame, features: list[str], k_max: int = 6, n_rows: in
 
 
 def best_k(selection: DataFrame) -> int:
-    """The k of the largest silhouette, the smallest such k on a tie (one row per k)."""
-    return selection.orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
+    """The k of the largest silhouette (the Euclidean one where the table has it), the smallest such k on a tie (one row per k)."""
+    column = "silhouette" if "silhouette" in selection.columns else "silhouette_sq_euclidean"
+    return selection.orderBy(F.col(column).desc_nulls_last(), "k").first()["k"]
 
 
 def kmeans_auto(vectors: DataFrame, features: list[str], k: int | None = None, k_max: int = 6, seeds=SEEDS):
