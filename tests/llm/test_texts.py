@@ -489,5 +489,5 @@ def test_one_row_of_each_group_stays_whatever_the_ids(spark, docs):
 def test_pipeline_registration():
     assert corpus_pipeline.QUERIES["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "minhash_near_dedup", "substring_dedup", "benchmark_decontamination", "curve_packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert minhash.PERCENT == 80 and minhash.SHINGLE == 5
