@@ -123,6 +123,34 @@ def test_silhouette_equals_all_pairs(spark, monkeypatch, seed, n, clusters, bloc
     assert math.isclose(SI.silhouette(named, cols, "c", block).first()[0], brute_silhouette(points, labels), rel_tol=1e-9)
 
 
+def test_sums_of_a_block_hold_far_from_zero_and_for_copies_and_close_pairs():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(700, 5)), rng.normal(size=(1500, 5))
+    y[:40], y[40:80], y[80:400] = x[:40], x[40:80] + 1e-9, x[0]  # copies, and pairs a product would cancel
+    x[-1], y[-1] = 1e4, 1e155  # long vectors; the last one's square is near the largest double
+    for shift in (0.0, 1e6):
+        got = SI.block_sums(x + shift, y + shift)
+        gap = (x + shift)[:, None, :] - (y + shift)[None]
+        assert np.allclose(got, np.sqrt((gap * gap).sum(axis=2)).sum(axis=1), rtol=1e-12, atol=0)
+    assert SI.block_sums(y[80:400], y[80:400]).max() == 0.0
+    near = y[:-1]  # without the far one, no small distance is lost in a large sum
+    gap = x[40:80, None, :] - near[40:80][None]
+    assert np.allclose([SI.block_sums(x[i:i + 1], near[i:i + 1])[0] for i in range(40, 80)], np.sqrt((gap * gap).sum(axis=2)).diagonal(), rtol=1e-9, atol=0)
+
+
+def test_rows_of_a_block_follow_the_width_of_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(SI, "BLOCK", 60)
+    rng = random.Random(4)
+    points, labels = blobs(4, 90, 3, 2), [rng.choice("ab") for _ in range(90)]
+    df, cols = frame(spark, points)
+    named = df.join(spark.createDataFrame(list(enumerate(labels)), "i bigint, c string"), "i")
+    seen = []
+    plain = F.ceil
+    monkeypatch.setattr(SI.F, "ceil", lambda c: (seen.append(str(c)), plain(c))[1])
+    assert math.isclose(SI.silhouette(named, cols, "c").first()[0], brute_silhouette(points, labels), rel_tol=1e-9)
+    assert seen and all("20" in c for c in seen)  # 60 numbers, three a row
+
+
 def test_bounds_leave_far_clusters_out(spark):
     points = np.concatenate([blobs(1, 40, 2, 1) * 0.01 + [100 * i, 0] for i in range(6)])
     df, cols = frame(spark, points)
