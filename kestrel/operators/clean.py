@@ -143,17 +143,19 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ interpolation
 def interpolate_linear(df: DataFrame, entity: str | list[str], order: list[str], value: str,
-                       out: str | None = None, segment: Column | None = None) -> DataFrame:
+                       out: str | None = None, segment: Column | None = None, tasks: int | None = None) -> DataFrame:
     """Interior linear interpolation by row position within each entity.
 
     Only gaps with a known value on both sides are filled; leading/trailing gaps stay
     null. Position, not the order value, is the x-axis. With ``segment`` (see
-    ``segments.segment_of``) no entity need fit one task.
+    ``segments.segment_of``) no entity need fit one task. With ``tasks`` the rows are dealt
+    over so many of them, else over as many as their bytes ask for.
     """
     out = out or value
     groups = [entity] if isinstance(entity, str) else entity
     if segment is not None:
-        return SG.interpolate(df, groups, order, value, out, segment)
+        return SG.interpolate(df, groups, order, value, out, segment, tasks)
+    df = df.repartition(tasks, *groups) if tasks else df
     asc = Window.partitionBy(*groups).orderBy(*[F.col(c) for c in order])
     desc = Window.partitionBy(*groups).orderBy(*[F.col(c).desc() for c in order])
     before = asc.rowsBetween(Window.unboundedPreceding, -1)
@@ -192,6 +194,7 @@ class DatasetSpec:
     name_cols: tuple[str, ...] = ()    # further name columns (normalised like the entity name)
     extra_cols: tuple[str, ...] = ()   # kept for the profile only (e.g. a unit column)
     segment_width: int = SG.WIDTH      # periods of one entity that one task may hold
+    task_rows: int = SG.TASK_ROWS      # rows, about, that one task of the entity windows holds
 
 
 def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame]:
@@ -256,8 +259,8 @@ def clean_dataset(raw: DataFrame, ds: DatasetSpec) -> tuple[DataFrame, DataFrame
         flow = zero_to_missing(flow, ds.metric)
     flow = flow.withColumn(flag, F.col(ds.metric).isNull())
     # the raw column bounds the periods of the flow, and is one column's scan
-    segment = SG.segment_of(df.select(typed_cols[ds.period].alias(ds.period)), ds.period, ds.segment_width)
-    flow = interpolate_linear(flow, [ds.entity, "__kept"], [ds.period], ds.metric, segment=segment)
+    segment, tasks = SG.extent(df.select(typed_cols[ds.period].alias(ds.period)), ds.period, ds.segment_width, ds.task_rows)
+    flow = interpolate_linear(flow, [ds.entity, "__kept"], [ds.period], ds.metric, segment=segment, tasks=tasks)
     flow = flow.withColumn(flag, F.col(flag) & F.col(ds.metric).isNotNull())
 
     out_cols = [c for c in [*ds.dims, *keys, *([ds.entity_name] if ds.entity_name else []), ds.metric, flag] if c in flow.columns]

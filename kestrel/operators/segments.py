@@ -21,18 +21,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 WIDTH = 1 << 20  # order values of a segment
+TASK_ROWS = 1 << 18  # rows of one task of the windows, however well they compress
 
 
 def segment_of(df: DataFrame, order: str, width: int = WIDTH) -> Column | None:
     """The segment number of a row, or None where all rows lie in one segment (or the order is no
     integer, whose values say nothing about the number of rows between them)."""
-    if not isinstance(df.schema[order].dataType, (ByteType, ShortType, IntegerType, LongType)):
-        return None
-    ends = df.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()  # one row; footers of Parquet files have it
-    if ends["low"] is None or ends["low"] // width == ends["high"] // width:
-        return None
+    return extent(df, order, width)[0] if _is_integer(df, order) else None
+
+
+def extent(df: DataFrame, order: str, width: int = WIDTH, task_rows: int = TASK_ROWS) -> tuple[Column | None, int]:
+    """The segment number as in :func:`segment_of`, and the tasks that hold all rows at about
+    ``task_rows`` each. Partitions sized by their bytes alone hold the more rows the better these compress."""
+    integer = _is_integer(df, order)
+    ends = df.agg(F.count(F.lit(1)).alias("rows"), *([F.min(order).alias("low"), F.max(order).alias("high")] if integer else [])).first()  # one row
+    tasks = -(-ends["rows"] // task_rows) or 1
+    if not integer or ends["low"] is None or ends["low"] // width == ends["high"] // width:
+        return None, tasks
     # floored, so that negative orders keep their sequence; null orders come first
-    return F.coalesce(F.floor(F.col(order) / F.lit(width)).cast("bigint"), F.lit(ends["low"] // width - 1))
+    return F.coalesce(F.floor(F.col(order) / F.lit(width)).cast("bigint"), F.lit(ends["low"] // width - 1)), tasks
+
+
+def _is_integer(df: DataFrame, order: str) -> bool:
+    return isinstance(df.schema[order].dataType, (ByteType, ShortType, IntegerType, LongType))
 
 
 def _windows(groups: list[str], order: list[str]):
@@ -51,9 +62,10 @@ def _with_carry(rows: DataFrame, carry: DataFrame, groups: list[str]) -> DataFra
     return rows.alias("r").join(carry.alias("k"), on, "left").select("r.*", *[f"k.{c}" for c in extra])
 
 
-def interpolate(df: DataFrame, groups: list[str], order: list[str], value: str, out: str, segment: Column) -> DataFrame:
+def interpolate(df: DataFrame, groups: list[str], order: list[str], value: str, out: str, segment: Column, tasks: int | None = None) -> DataFrame:
     """Interior linear interpolation by row position, over segments (same result as the plain windows)."""
     rows = df.withColumn("__seg", segment)
+    rows = rows.repartition(tasks, *groups, "__seg") if tasks else rows
     inside, before, after = _windows(groups, order)
     backward = Window.partitionBy(*groups, "__seg").orderBy(*[F.col(c).desc() for c in order])  # growing frames only
     rows = rows.withColumn("__pos", F.row_number().over(inside))

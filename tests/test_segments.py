@@ -94,3 +94,26 @@ def test_a_period_of_many_scores_is_balanced(spark, monkeypatch):
         assert ranks.agg(F.min("priority_rank"), F.max("priority_rank"), F.count_distinct("priority_rank")).first()[:] == (1, 200_000, 200_000)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _compressible(spark):
+    return spark.createDataFrame([(e, p, e * 100 + p, None if (e + p) % 3 == 0 else float(p + 1)) for e in range(40) for p in range(12)],
+                                 "e bigint, p bigint, i bigint, m double")
+
+
+def test_tasks_of_the_entity_windows_follow_the_rows(spark):
+    # rows that compress well are small in bytes: sized by these, one task would hold them all
+    raw, spec = _compressible(spark), dict(metric="m", entity="e", period="p", id_col="i")
+    plain, counts = C.clean_dataset(raw, C.DatasetSpec("d", **spec))
+    cut, cut_counts = C.clean_dataset(raw, C.DatasetSpec("d", **spec, task_rows=40))
+    assert sorted(cut.collect(), key=str) == sorted(plain.collect(), key=str)
+    assert cut_counts.collect() == counts.collect()
+    assert SG.extent(raw, "p", task_rows=40) == (None, 12) and SG.extent(raw.limit(0), "p") == (None, 1)
+    assert cut.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 480 / 3
+
+
+def test_segments_dealt_over_tasks_equal_the_plain_windows(spark):
+    raw = _compressible(spark)
+    segment, tasks = SG.extent(raw, "p", 4, 40)
+    cut = C.interpolate_linear(raw, "e", ["p"], "m", segment=segment, tasks=tasks)
+    assert segment is not None and sorted(cut.collect(), key=str) == sorted(C.interpolate_linear(raw, "e", ["p"], "m").collect(), key=str)
